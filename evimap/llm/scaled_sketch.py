@@ -23,7 +23,7 @@ from evimap.llm import hashing as H
 SHINGLE_BYTES = 12
 FRACTION = 1 / 16
 #: Text that one group of neighbouring rows holds, on average.
-GROUP_BYTES = 12_000_000
+GROUP_BYTES = 3_000_000
 
 
 def sketch_column(column, k: int = SHINGLE_BYTES, fraction: float = FRACTION) -> list[np.ndarray]:
