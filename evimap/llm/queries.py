@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evimap.llm import language_id, nbsvm, scaled_sketch, suffix_dedup
+from evimap.llm import jaccard_join, language_id, nbsvm, scaled_sketch, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def fold(n: int, held: int, key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string")) % n == held
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=90)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, sf_dir, "documents"))
 
@@ -39,5 +43,5 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op10_nbsvm_quality)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op10_nbsvm_quality)}
 ORACLE_SQL: dict[str, str] = {}
