@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evimap.llm import jaccard_join, language_id, nbsvm, scaled_sketch, suffix_dedup
+from evimap.llm import jaccard_join, language_id, nbsvm, projection_search, scaled_sketch, suffix_dedup, unigram_pieces
+
+#: Published vocabulary with byte fallback; not part of the repository.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +39,16 @@ def op7_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.half_edits(table(spark, sf_dir, "documents"))
 
 
+def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = unigram_pieces.encoded(docs, "text", unigram_pieces.load(PIECES), with_ids=False)
+    return out.select("doc_id", "n_pieces", "n_byte_pieces", "ids_sha256", "round_trip")
+
+
+def op9_projection_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_search.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0)
+
+
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = nbsvm.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", ~fold(4, 2))
@@ -43,5 +56,5 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op10_nbsvm_quality)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
 ORACLE_SQL: dict[str, str] = {}
