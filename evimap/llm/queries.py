@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evimap.llm import jaccard_join, language_id, nbsvm, projection_search, scaled_sketch, suffix_dedup, unigram_pieces
+from evimap.llm import jaccard_join, language_id, nbsvm, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, unigram_pieces
 
 #: Published vocabulary with byte fallback; not part of the repository.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=90)
 
 
+def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score(table(spark, sf_dir, "documents"), "doc_id", "text", fold(7, 2))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, sf_dir, "documents"))
 
@@ -56,5 +60,5 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
 ORACLE_SQL: dict[str, str] = {}
