@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint in the session's shared folder; a local one only where none is set."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a local one only where none is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Checkpoint in the session's shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -148,3 +148,8 @@ def distinct_by_row(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[
 def small_batches(spark, rows: int = 2000) -> None:
     """Bound the rows of one Arrow batch, as texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def without(df, *names: str):
+    """``df`` less the columns that an operator is about to add (names compare without case)."""
+    return df.drop(*(c for c in df.columns if c.lower() in names))

@@ -167,10 +167,12 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, share: int = 80) -> DataFrame:
-    """One row for each input row: ``key``, n_shingles, component_id, class_size.
+    """One row for each input row: ``key``, n_shingles, component_id, class_size, row_hash, label.
 
     Two rows link when 100 * intersection >= ``share`` * union of their sets of
-    ``words``-word shingles.  ``class_size`` counts the rows with an equal set.
+    ``words``-word shingles.  ``class_size`` counts the rows with an equal set,
+    ``row_hash`` is xxhash64 of key and text, and ``label`` numbers the
+    components (null for rows without shingles).
     """
     H.small_batches(df.sparkSession)
     texts = df.select(F.col(key).alias("k"), F.xxhash64(key, text).alias("r"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -195,10 +197,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
     labels = classes.select("c", "k", "class_size").join(whole.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     ids = labels.groupBy("label").agg(F.min("k").alias("component_id"))
-    named = labels.join(ids, "label").select("c", "component_id", "class_size")
-    out = rows.select("k", "c", "n").join(named, "c", "left")
+    named = labels.join(ids, "label").select("c", "component_id", "class_size", "label")
+    out = rows.select("k", "r", "c", "n").join(named, "c", "left")
     return out.select(
         F.col("k").alias(key), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("k")).alias("component_id"),
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
+        F.coalesce("class_size", F.lit(1)).alias("class_size"), F.col("r").alias("row_hash"), F.when(F.col("n") > 0, F.col("label")).alias("label"),
     )

@@ -56,7 +56,8 @@ def fit(df: DataFrame, text: str, lang: str, key: str, where: Column, dictionary
 
 
 def predict(df: DataFrame, text: str, dictionaries: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Adds ``lang_pred``, ``score`` and ``rejected`` to all rows and columns; narrow."""
+    """Adds ``lang_pred``, ``score`` and ``rejected`` to all rows and columns, in place of columns so named; narrow."""
+    df = H.without(df, "lang_pred", "score", "rejected")
     H.small_batches(df.sparkSession)
     names = [n for n, _ in dictionaries]
     blobs = df.sparkSession.sparkContext.broadcast([b for _, b in dictionaries])

@@ -137,7 +137,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, where
 
 
 def score(df: DataFrame, text: str, model: Model, k: int = GRAM_BYTES, bits: int = BITS) -> DataFrame:
-    """Adds ``score double`` to all rows and columns; narrow."""
+    """Adds ``score double`` to all rows and columns, in place of a column so named; narrow."""
+    df = H.without(df, "score")
     H.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), (model.ratio**2).astype(np.float32), model.damping, model.bias, model.slope, model.shift))
     place, columns = df.columns.index(text), df.columns

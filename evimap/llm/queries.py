@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evimap.llm import jaccard_join, language_id, nbsvm, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, unigram_pieces
+from evimap.llm import jaccard_join, language_id, nbsvm, packing, preference, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, unigram_pieces
 
 #: Published vocabulary with byte fallback; not part of the repository.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -20,10 +20,20 @@ def fold(n: int, held: int, key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string")) % n == held
 
 
+def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_pairs(*preference.swapped_answers(table(spark, sf_dir, "conversations")))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=90)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    sized = packing.word_counts(docs, "text").withColumn("cluster", F.xxhash64("text"))
+    return packing.pack(sized, "doc_id", "n_tokens", "source", "cluster")
+
+
 def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_lm.score(table(spark, sf_dir, "documents"), "doc_id", "text", fold(7, 2))
 
@@ -60,5 +70,5 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
+ORACLE_SQL: dict[str, str] = {"op1_preference_pairs": preference.PAIRS_SQL}

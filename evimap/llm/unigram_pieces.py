@@ -184,6 +184,7 @@ def decode(pieces, v: Vocabulary) -> str:
 
 def encoded(df: DataFrame, text: str, vocabulary: Vocabulary, with_ids: bool = True) -> DataFrame:
     """Adds to all rows and columns: n_pieces, n_byte_pieces, ids_sha256 (of little-endian 32-bit ids), round_trip, and with ``with_ids`` ids."""
+    df = H.without(df, "n_pieces", "n_byte_pieces", "ids_sha256", "round_trip", "ids")
     H.small_batches(df.sparkSession, 500)
     shared, place, columns = df.sparkSession.sparkContext.broadcast(vocabulary), df.columns.index(text), df.columns
 
