@@ -31,7 +31,7 @@ def formula_safe(c: Column) -> Column:
 
 def split_list(c: Column, separator: str = ";") -> Column:
     """Trimmed, non-blank items; null gives an empty list."""
-    items = F.transform(F.split(F.coalesce(c, F.lit("")), separator), F.trim)
+    items = F.transform(F.split(F.coalesce(c, F.lit("")), separator), lambda x: F.trim(x))
     return F.filter(items, lambda x: x != "")
 
 

@@ -69,4 +69,4 @@ def staleness(log: DataFrame, key: str, stamp: str, now: Column) -> DataFrame:
 
 def first_drugs(names: Column, n: int = 10) -> Column:
     """The first distinct drugs of a separated list, in order."""
-    return F.slice(F.array_distinct(F.filter(F.transform(T.split_list(names), T.drug_name), lambda x: x != "")), 1, n)
+    return F.slice(F.array_distinct(F.filter(F.transform(T.split_list(names), lambda x: T.drug_name(x)), lambda x: x != "")), 1, n)

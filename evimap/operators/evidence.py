@@ -42,8 +42,14 @@ def living_map(found: DataFrame, studies: DataFrame, key: str = "nct_id") -> Dat
 
 def encoded_lists(df: DataFrame, lists: Mapping[str, str], records: Mapping[str, list[str]]) -> DataFrame:
     """Lists as text with their separator, arrays of structs as field::field joined by ;;, delimiters made safe."""
-    flat = {c: F.array_join(F.transform(c, lambda x, s=sep: T.escape(x.cast("string"), s)), sep) for c, sep in lists.items()}
-    flat |= {c: F.array_join(F.transform(c, lambda x, f=fields: F.concat_ws("::", *(T.escape(x[n].cast("string"), "::", ";;") for n in f))), ";;") for c, fields in records.items()}
+    def item(separator: str):
+        return lambda x: T.escape(x.cast("string"), separator)
+
+    def record(fields: list[str]):
+        return lambda x: F.concat_ws("::", *(T.escape(x[n].cast("string"), "::", ";;") for n in fields))
+
+    flat = {c: F.array_join(F.transform(c, item(sep)), sep) for c, sep in lists.items()}
+    flat |= {c: F.array_join(F.transform(c, record(fields)), ";;") for c, fields in records.items()}
     return df.withColumns(flat)
 
 

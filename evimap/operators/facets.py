@@ -15,7 +15,10 @@ def facet_stats(rows: DataFrame, facets: Mapping[str, Column], study: str, flag:
     found by a first aggregation on (facet, value, study), which keeps one hot
     value from landing in one task.
     """
-    pairs = [F.transform(c, lambda v, n=name: F.struct(F.lit(n).alias("facet"), v.cast("string").alias("value"))) if _is_list(rows, c) else F.array(F.struct(F.lit(name).alias("facet"), c.cast("string").alias("value"))) for name, c in facets.items()]
+    def pair(name: str):
+        return lambda v: F.struct(F.lit(name).alias("facet"), v.cast("string").alias("value"))
+
+    pairs = [F.transform(c if _is_list(rows, c) else F.array(c), pair(name)) for name, c in facets.items()]
     long = rows.select(F.col(study).alias("study"), F.coalesce(flag, F.lit(False)).alias("flag"), F.explode(F.concat(*pairs)).alias("f")).select("f.facet", "f.value", "study", "flag")
     per_study = long.groupBy("facet", "value", "study").agg(F.count("*").alias("n"), F.max("flag").alias("flag"))
     return per_study.groupBy("facet", "value").agg(F.sum("n").alias("mention_count"), F.count("study").alias("study_count"), F.count_if(F.col("flag") & F.col("study").isNotNull()).alias("placebo_study_count"))
