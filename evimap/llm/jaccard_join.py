@@ -7,11 +7,12 @@ is chosen for each set so that the longer prefix costs less than the candidates
 it saves, by the frequencies of its shingles.  Frequencies come from a sketch
 of fixed size over all texts; they order and tune, and never decide a link.
 
-Equal sets form a class before the join.  Each shared shingle first links its
-classes to its smallest and largest one; after the verified links are merged,
-only pairs of classes that share a shingle and are still in different
-components are counted and verified.  So no group of near copies is expanded
-into pairs, and no link between components is missed.  Sets are told apart by
+Equal sets form a class before the join.  Each shared shingle first pairs its
+classes with the most typical one; after the verified links are merged, only
+pairs of classes that share a shingle, are still in different components and
+can be alike by their sizes and dead shingles are counted and verified.  So no
+group of near copies is expanded into pairs, and no link between components is
+missed.  Sets are told apart by
 64-bit shingle hashes, and classes by 64 bits of their digest.
 
 Null, empty and blank texts have no shingles and are alone; a text of fewer
@@ -37,6 +38,8 @@ COUNTERS, BLOCKS = 1 << 20, 64
 MARKS = 1 << 26
 #: Cost of one candidate over that of one more prefix shingle; factor by which one more match thins candidates out.
 VERIFY, THINNING = 20.0, 4.0
+#: Sets of SURE_SIZE or more need at least MATCHES matches (or as many as they must share).
+MATCHES, SURE_SIZE = 8, 16
 
 
 def frequencies(texts: DataFrame, words: int) -> np.ndarray:
@@ -68,9 +71,9 @@ def prefix_size(costs: np.ndarray, size: int, least: int) -> tuple[int, int]:
     """Prefix length and matches needed, for shingles in order with their candidate costs."""
     base = size - least + 1
     spread = float(costs[:base].sum())
-    matches = np.arange(1, least + 1)
+    matches = np.arange(min(MATCHES, least) if size >= SURE_SIZE else 1, least + 1)
     total = base + matches - 1 + VERIFY * spread / THINNING ** np.minimum(matches - 1, 60)
-    best = int(np.argmin(total)) + 1
+    best = int(matches[np.argmin(total)])
     return base + best - 1, best
 
 
@@ -102,16 +105,43 @@ def sets(df: DataFrame, words: int, share: int, counts: np.ndarray) -> DataFrame
     return df.mapInArrow(run, "k long, r long, c long, n int, m int, prefix array<bigint>")
 
 
-def candidates(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+def candidates(pairs: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) whose common prefix shingles, one row each, are enough for a link."""
-    facts = classes.select("c", "n", "m", F.size("prefix").alias("p"))
-    one = lambda x: facts.select(F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in ("n", "m", "p")))
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("met")).join(one("a"), "a").join(one("b"), "b")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("met"), *(F.max(f"{v}_{x}").alias(f"{v}_{x}") for v in ("n", "m", "p") for x in "ab"))
     overlap = F.expr(f"cast(ceil({share} * (cast(n_a as bigint) + n_b) / {100 + share}) as bigint)")
     rest = F.greatest(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
     return counted.where((F.col("met") >= F.least("m_a", "m_b")) & (F.col("met") + rest >= overlap)).select("a", "b")
 
 
+def shared_postings(classes: DataFrame, share: int) -> DataFrame:
+    """Prefix shingles (s) that classes share, one row for each of their classes: c, n, m, p, and ``gone``.
+
+    A prefix shingle of one class only is dead.  A partner shares at least as
+    many prefix shingles as both need, so its prefix reaches past the last of
+    them; dead shingles before that one cannot be anywhere in the partner.
+    ``gone`` counts them.  Classes that share too few take no part.
+    """
+    size = F.size("prefix")
+    postings = classes.select("c", "n", "m", size.alias("p"), F.posexplode("prefix").alias("at", "s"))
+    alive = postings.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s")
+    own = postings.join(alive, "s").groupBy("c").agg(*(F.first(v).alias(v) for v in ("n", "m", "p")), F.array_sort(F.collect_list(F.struct("at", "s"))).alias("live"))
+    partner = f"cast(ceil({share} * cast(n as bigint) / 100) as bigint)"
+    must = F.expr(f"if({partner} >= {SURE_SIZE}, least({MATCHES}, cast(ceil({share} * {partner} / 100) as bigint)), 1)")
+    own = own.withColumn("must", must.cast("int")).where(F.size("live") >= F.col("must"))
+    gone = F.expr("element_at(live, must).at - must + 1")
+    return own.select("c", "n", "m", "p", gone.alias("gone"), F.explode("live.s").alias("s"))
+
+
+def possible(share: int) -> str:
+    """Whether sizes and shingles known to be gone on both sides allow a link."""
+    most = "least(n_a - gone_a, n_b - gone_b)"
+    return f"100L * {most} >= {share}L * (n_a + n_b - {most})"
+
+
+def side(postings: DataFrame, x: str) -> DataFrame:
+    return postings.select("s", F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in postings.columns if v not in ("s", "c")))
+
+
 def marks(ids: DataFrame) -> np.ndarray:
     """Bits of ``MARKS`` places, set where one of ``ids`` (r bigint) falls; what reaches the driver has a fixed size."""
     width = MARKS // BLOCKS
@@ -180,19 +210,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     alike = rows.where("n > 0").groupBy("c")
     classes = settle(alike.agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.min("r").alias("r"), F.min("k").alias("k"), F.count("*").alias("class_size")))
 
-    postings = classes.select("c", "n", F.explode("prefix").alias("s"))
-    ends = postings.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    live = settle(postings.join(ends, "s").select("s", "c", "n", "lo", "hi"))
-    stars = live.where("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).unionByName(live.where("c <> lo and c <> hi").select(F.col("c").alias("a"), F.col("hi").alias("b")))
-    tried = settle(candidates(stars, classes, share))
+    live = settle(shared_postings(classes, share))
+    first = live.groupBy("s").agg(F.min(F.struct("gone", "c", "n", "m", "p")).alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    heads = first.select("s", *(F.col(f"x.{v}").alias(f"{v}_x") for v in ("c", "gone", "n", "m", "p")))
+    stars = live.join(heads, "s").where("c <> c_x")
+    swap = lambda v, x: F.when(F.col("c") < F.col("c_x"), F.col(v if x == "a" else f"{v}_x")).otherwise(F.col(f"{v}_x" if x == "a" else v))
+    stars = stars.select(swap("c", "a").alias("a"), swap("c", "b").alias("b"), *(swap(v, x).alias(f"{v}_{x}") for v in ("n", "m", "p", "gone") for x in "ab"))
+    tried = settle(candidates(stars.where(possible(share)), share))
     links = settle(verified(tried, classes, texts, words, share))
 
-    joined = live.select("s", "c", "n").join(components(links).withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
+    joined = live.join(components(links).withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     mixed = joined.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("s")
     joined = settle(joined.join(mixed, "s"))
-    other = joined.select("s", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    apart = joined.withColumnRenamed("c", "a").join(other, "s").where(f"a < b and label <> label_b and 100L * least(n, n_b) >= {share}L * greatest(n, n_b)")
-    more = settle(candidates(apart.select("a", "b"), classes, share).join(tried, ["a", "b"], "left_anti"))
+    apart = side(joined, "a").join(side(joined, "b"), "s").where(f"a < b and label_a <> label_b and {possible(share)}")
+    more = settle(candidates(apart, share).join(tried, ["a", "b"], "left_anti"))
     whole = components(links.unionByName(verified(more, classes, texts, words, share)))
 
     labels = classes.select("c", "k", "class_size").join(whole.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
