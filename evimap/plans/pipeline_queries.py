@@ -79,14 +79,14 @@ def latest_log(spark, d):
 _NOW = "(select max(ts) from events)"
 
 
-@query(f"with {_LOG}, r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k from log), m as (select max(ts) m from events) select distinct user_id from events where user_id not in (select user_id from r, m where k = 1 and status in ('ok', 'empty') and date_diff('second', ts, m) < 86400)")
+@query(f"with {_LOG}, r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k from log), m as (select max(ts) m from events) select distinct user_id from events where user_id not in (select user_id from r, m where k = 1 and status in ('ok', 'empty') and date_sub('second', ts, m) < 86400)")
 def needs_refetch(spark, d):
     now = table(spark, d, "events").agg(F.max("ts")).first()[0]
     work = table(spark, d, "events").select("user_id").distinct()
     return enrich.needs_refetch(work, log(spark, d), ["user_id"], "ts", "event_id", "status", F.lit(now), 1.0)
 
 
-@query(f"with {_LOG}, s as (select source, max(ts) t from log group by 1) select strftime(min(t), '%Y-%m-%d') oldest, round(date_diff('second', min(t), (select max(ts) from events)) / 86400, 4) age_days from s")
+@query(f"with {_LOG}, s as (select source, max(ts) t from log group by 1) select strftime(min(t), '%Y-%m-%d') oldest, round(date_sub('second', min(t), (select max(ts) from events)) / 86400, 4) age_days from s")
 def staleness(spark, d):
     now = table(spark, d, "events").agg(F.max("ts")).first()[0]
     return enrich.staleness(log(spark, d), "source", "ts", F.lit(now)).withColumn("oldest", F.date_format("oldest", "yyyy-MM-dd"))

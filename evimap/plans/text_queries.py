@@ -198,7 +198,7 @@ def clean_phases(spark, d):
     return table(spark, d, "orders").select("o_orderkey", T.clean_phase(F.when(k == 0, "PHASE2").when(k == 1, "NA").otherwise("PHASE1; PHASE2")).alias("phase"))
 
 
-@query("select o_orderkey, round(date_diff('second', o_orderdate, timestamp '2002-01-01') / 86400, 4) age, case when year(o_orderdate) >= 2001 then 'recent' else 'old' end freshness from orders")
+@query("select o_orderkey, round(date_sub('second', o_orderdate, timestamp '2002-01-01') / 86400, 4) age, case when year(o_orderdate) >= 2001 then 'recent' else 'old' end freshness from orders")
 def ages(spark, d):
     age = T.age_days(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("2002-01-01").cast("timestamp"))
     return table(spark, d, "orders").select("o_orderkey", F.round(age, 4).alias("age"), F.when(age <= 365, "recent").otherwise("old").alias("freshness"))
