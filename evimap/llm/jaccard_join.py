@@ -10,7 +10,7 @@ of fixed size over all texts; they order and tune, and never decide a link.
 Equal sets form a class before the join.  Each shared shingle first pairs its
 classes with the most typical one; after the verified links are merged, only
 pairs of classes that share a shingle, are still in different components and
-can be alike by their sizes and dead shingles are counted and verified.  So no
+can be alike by sizes, places and dead shingles are counted and verified.  So no
 group of near copies is expanded into pairs, and no link between components is
 missed.  Sets are told apart by
 64-bit shingle hashes, and classes by 64 bits of their digest.
@@ -26,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evimap.llm import hashing as H
@@ -105,31 +105,34 @@ def sets(df: DataFrame, words: int, share: int, counts: np.ndarray) -> DataFrame
     return df.mapInArrow(run, "k long, r long, c long, n int, m int, prefix array<bigint>")
 
 
-def candidates(pairs: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) whose common prefix shingles, one row each, are enough for a link."""
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("met"), *(F.max(f"{v}_{x}").alias(f"{v}_{x}") for v in ("n", "m", "p") for x in "ab"))
+def enough(share: int) -> Column:
+    """Whether ``met`` common prefix shingles of two classes leave room for a link."""
     overlap = F.expr(f"cast(ceil({share} * (cast(n_a as bigint) + n_b) / {100 + share}) as bigint)")
     rest = F.greatest(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
-    return counted.where((F.col("met") >= F.least("m_a", "m_b")) & (F.col("met") + rest >= overlap)).select("a", "b")
+    return (F.col("met") >= F.least("m_a", "m_b")) & (F.col("met") + rest >= overlap)
 
 
-def shared_postings(classes: DataFrame, share: int) -> DataFrame:
-    """Prefix shingles (s) that classes share, one row for each of their classes: c, n, m, p, and ``gone``.
+def live_classes(classes: DataFrame, share: int) -> DataFrame:
+    """Classes with their prefix shingles that other classes have too: c, n, m, p, gone, at (places in the prefix), s.
 
     A prefix shingle of one class only is dead.  A partner shares at least as
     many prefix shingles as both need, so its prefix reaches past the last of
     them; dead shingles before that one cannot be anywhere in the partner.
-    ``gone`` counts them.  Classes that share too few take no part.
+    ``gone`` counts them.  Classes that share too few are left out.
     """
-    size = F.size("prefix")
-    postings = classes.select("c", "n", "m", size.alias("p"), F.posexplode("prefix").alias("at", "s"))
+    postings = classes.select("c", "n", "m", F.size("prefix").alias("p"), F.posexplode("prefix").alias("at", "s"))
     alive = postings.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s")
     own = postings.join(alive, "s").groupBy("c").agg(*(F.first(v).alias(v) for v in ("n", "m", "p")), F.array_sort(F.collect_list(F.struct("at", "s"))).alias("live"))
     partner = f"cast(ceil({share} * cast(n as bigint) / 100) as bigint)"
     must = F.expr(f"if({partner} >= {SURE_SIZE}, least({MATCHES}, cast(ceil({share} * {partner} / 100) as bigint)), 1)")
     own = own.withColumn("must", must.cast("int")).where(F.size("live") >= F.col("must"))
-    gone = F.expr("element_at(live, must).at - must + 1")
-    return own.select("c", "n", "m", "p", gone.alias("gone"), F.explode("live.s").alias("s"))
+    return own.select("c", "n", "m", "p", F.expr("element_at(live, must).at - must + 1").alias("gone"), F.col("live.at").alias("at"), F.col("live.s").alias("s"))
+
+
+def postings(own: DataFrame) -> DataFrame:
+    """One row for each live shingle (s) of each class, with its place and the live shingle before it."""
+    rows = own.select("c", "n", "m", "p", "gone", "at", F.col("s").alias("every"), F.posexplode("s").alias("k", "s"))
+    return rows.select("c", "n", "m", "p", "gone", "s", F.expr("at[k]").alias("at"), F.expr("if(k > 0, every[k - 1], null)").alias("before"))
 
 
 def possible(share: int) -> str:
@@ -138,8 +141,18 @@ def possible(share: int) -> str:
     return f"100L * {most} >= {share}L * (n_a + n_b - {most})"
 
 
-def side(postings: DataFrame, x: str) -> DataFrame:
-    return postings.select("s", F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in postings.columns if v not in ("s", "c")))
+def first_shared(share: int) -> str:
+    """Whether a shingle can be the first that two linked classes share.
+
+    All they share then stands at its place or after it, on both sides.  Where
+    both have the same live shingle before it, they share that one.
+    """
+    room = " and ".join(f"{100 + share}L * (n_{x} - at_{x}) >= {share}L * (n_a + n_b)" for x in "ab")
+    return f"{room} and not coalesce(before_a = before_b, false)"
+
+
+def side(rows: DataFrame, x: str) -> DataFrame:
+    return rows.select("s", F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in ("n", "gone", "at", "before", "label")))
 
 
 def marks(ids: DataFrame) -> np.ndarray:
@@ -210,20 +223,25 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     alike = rows.where("n > 0").groupBy("c")
     classes = settle(alike.agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.min("r").alias("r"), F.min("k").alias("k"), F.count("*").alias("class_size")))
 
-    live = settle(shared_postings(classes, share))
+    own = settle(live_classes(classes, share))
+    live = postings(own)
     first = live.groupBy("s").agg(F.min(F.struct("gone", "c", "n", "m", "p")).alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     heads = first.select("s", *(F.col(f"x.{v}").alias(f"{v}_x") for v in ("c", "gone", "n", "m", "p")))
     stars = live.join(heads, "s").where("c <> c_x")
     swap = lambda v, x: F.when(F.col("c") < F.col("c_x"), F.col(v if x == "a" else f"{v}_x")).otherwise(F.col(f"{v}_x" if x == "a" else v))
     stars = stars.select(swap("c", "a").alias("a"), swap("c", "b").alias("b"), *(swap(v, x).alias(f"{v}_{x}") for v in ("n", "m", "p", "gone") for x in "ab"))
-    tried = settle(candidates(stars.where(possible(share)), share))
+    counted = stars.where(possible(share)).groupBy("a", "b").agg(F.count("*").alias("met"), *(F.max(f"{v}_{x}").alias(f"{v}_{x}") for v in ("n", "m", "p") for x in "ab"))
+    tried = settle(counted.where(enough(share)).select("a", "b"))
     links = settle(verified(tried, classes, texts, words, share))
 
     joined = live.join(components(links).withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     mixed = joined.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("s")
     joined = settle(joined.join(mixed, "s"))
-    apart = side(joined, "a").join(side(joined, "b"), "s").where(f"a < b and label_a <> label_b and {possible(share)}")
-    more = settle(candidates(apart, share).join(tried, ["a", "b"], "left_anti"))
+    apart = side(joined, "a").join(side(joined, "b"), "s").where(f"a < b and label_a <> label_b and {possible(share)} and {first_shared(share)}")
+    apart = apart.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    for x in "ab":
+        apart = apart.join(own.select(F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in ("n", "m", "p", "s"))), x)
+    more = settle(apart.withColumn("met", F.size(F.array_intersect("s_a", "s_b"))).where(enough(share)).select("a", "b"))
     whole = components(links.unionByName(verified(more, classes, texts, words, share)))
 
     labels = classes.select("c", "k", "class_size").join(whole.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
