@@ -1,13 +1,14 @@
 """Language by compression: the raw-content dictionary that makes a text smallest names its language.
 
 One zstandard raw-content dictionary per language is cut from a bounded sample
-of labelled texts (``dictionary_bytes`` of whole texts for each language).  A
-text's language is that of the smallest encoding; ties go to the language with
-more labelled texts, then by name.  Letter case is folded first.  ``score`` is
-the relative margin (second - best) / second.  A text of ``min_bytes`` or more
-whose margin is under ``min_margin`` is rejected; shorter ones cannot show a
-margin and stay.  Null, empty and letterless texts are ``und``, score 0, rejected.
-With no labelled text at all, every text is ``und``.
+of labelled texts (``dictionary_bytes`` of whole texts for each language).  A text is
+encoded in blocks of ``BLOCK`` bytes, each against the fresh dictionaries, so
+what a dictionary saves grows with the text.  Its language is that of the
+smallest sum of encodings; ties go to the language with more labelled texts,
+then by name.  Letter case is folded first.  ``score`` is the relative margin
+(second - best) / second of the sums.  A text of any length whose margin is
+under ``min_margin`` is rejected.  Null, empty and letterless texts are ``und``,
+score 0, rejected.  With no labelled text at all, every text is ``und``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from evimap.llm import hashing as H
 
 DICTIONARY_BYTES = 48_000
-MIN_MARGIN, MIN_BYTES = 0.01, 256
+MIN_MARGIN, BLOCK = 0.01, 4096
 UNKNOWN = "und"
 LEVEL = 6
 _LETTER = regex.compile(r"\p{L}")
@@ -55,7 +56,7 @@ def fit(df: DataFrame, text: str, lang: str, key: str, where: Column, dictionary
     return [(name, blob) for name, blob in out if len(blob) >= 8]
 
 
-def predict(df: DataFrame, text: str, dictionaries: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN, min_bytes: int = MIN_BYTES) -> DataFrame:
+def predict(df: DataFrame, text: str, dictionaries: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``rejected`` to all rows and columns, in place of columns so named; narrow."""
     df = H.without(df, "lang_pred", "score", "rejected")
     H.small_batches(df.sparkSession)
@@ -76,12 +77,13 @@ def predict(df: DataFrame, text: str, dictionaries: list[tuple[str, bytes]], min
                     langs.append(UNKNOWN), scores.append(0.0), out.append(True)
                     continue
                 raw = t.lower().encode()
-                sizes = [len(c(raw)) for c in coders]
+                blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
+                sizes = [sum(map(len, map(c, blocks))) for c in coders]
                 best = min(sizes)
                 at = sizes.index(best)
                 second = min((s for i, s in enumerate(sizes) if i != at), default=None)
                 margin = 1.0 if second is None else (second - best) / second
-                langs.append(names[at]), scores.append(margin), out.append(margin < min_margin and len(raw) >= min_bytes)
+                langs.append(names[at]), scores.append(margin), out.append(margin < min_margin)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(out, pa.bool_())], [*columns, "lang_pred", "score", "rejected"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
