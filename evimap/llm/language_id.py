@@ -1,7 +1,7 @@
 """Language by compression: the raw-content dictionary that makes a text smallest names its language.
 
 One zstandard raw-content dictionary per language is cut from a bounded sample
-of labelled texts (``dictionary_bytes`` of whole texts for each language).  A text is
+of pieces of labelled texts (``dictionary_bytes`` for each language).  A text is
 encoded in blocks of ``BLOCK`` bytes, each against the fresh dictionaries, so
 what a dictionary saves grows with the text.  Its language is that of the
 smallest sum of encodings; ties go to the language with more labelled texts,
@@ -23,28 +23,34 @@ from evimap.llm import hashing as H
 
 DICTIONARY_BYTES = 48_000
 MIN_MARGIN, BLOCK = 0.01, 4096
+#: A dictionary is made of so many pieces at least: whole short texts and slices of long ones.
+PIECES = 128
 UNKNOWN = "und"
 LEVEL = 6
 _LETTER = regex.compile(r"\p{L}")
 
 
 def fit(df: DataFrame, text: str, lang: str, key: str, where: Column, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
-    """Dictionaries, commonest language first.
+    """Dictionaries, commonest language first, of each language with a labelled text that is not empty.
 
-    The sample is bounded: texts of at most an eighth of ``dictionary_bytes``,
-    taken whole in the order of a hash of ``key`` until the bytes are full.
+    The sample is bounded: every labelled text counts as pieces of at most about
+    ``dictionary_bytes / PIECES`` bytes, and pieces are taken whole in the order
+    of a hash of ``key``, text and place until the bytes are full.
     """
-    rows = df.where(where & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    short = rows.where(F.octet_length("text").between(1, dictionary_bytes // 8)).withColumn("h", F.xxhash64("key", "text"))
-    sizes = {r.lang: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.when(F.octet_length("text") <= dictionary_bytes // 8, F.octet_length("text"))).alias("size")).collect()}
+    rows = df.where(where & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.octet_length(text).alias("size"), F.xxhash64(key, text).alias("own")).where("size > 0")
+    rows = rows.withColumn("of", F.ceil(F.col("size") / max(1, dictionary_bytes // PIECES)).cast("int"))
+    hashes = F.transform(F.sequence(F.lit(0), F.col("of") - 1), lambda i: F.struct(i.alias("place"), F.xxhash64("own", i).alias("h")))
+    first = F.array_min(F.transform(hashes, lambda x: x["h"]))
+    sizes = {r.lang: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min(first).alias("first")).collect()}
     if not sizes:
         return []
-    keep = F.lit(False)
-    for name, r in sizes.items():
-        share = min(1.0, 2 * dictionary_bytes / max(1, r["size"] or 1))
-        keep |= (F.col("lang") == name) & (F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
+    known = lambda value: F.create_map(*(F.lit(x) for name, r in sizes.items() for x in (name, value(r))))[F.col("lang")]
+    share, least = known(lambda r: int(min(1.0, 2 * dictionary_bytes / r["size"]) * (1 << 40))), known(lambda r: r["first"])
+    rows = rows.withColumns({"share": share, "least": least, "width": F.ceil(F.char_length("text") / F.col("of")).cast("int")})
+    chosen = F.filter(hashes, lambda x: (F.pmod(x["h"], F.lit(1 << 40)) < F.col("share")) | (x["h"] == F.col("least")))
+    cut = F.transform(chosen, lambda x: F.struct(x["h"].alias("h"), F.substring("text", x["place"] * F.col("width") + 1, F.col("width")).alias("text")))
     found: dict[str, list] = {name: [] for name in sizes}
-    for r in short.where(keep).select("lang", "h", "text").collect():
+    for r in rows.select("lang", F.explode(cut).alias("x")).select("lang", "x.*").collect():
         found[r.lang].append((r.h, r.text.lower().encode()))
     out = []
     for name in sorted(sizes, key=lambda x: (-sizes[x].n, x)):
@@ -53,7 +59,7 @@ def fit(df: DataFrame, text: str, lang: str, key: str, where: Column, dictionary
             if len(blob) + len(t) < dictionary_bytes:
                 blob += t + b"\n"
         out.append((name, blob))
-    return [(name, blob) for name, blob in out if len(blob) >= 8]
+    return [(name, blob.ljust(8, b"\n")) for name, blob in out if blob.strip()]
 
 
 def predict(df: DataFrame, text: str, dictionaries: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
