@@ -55,9 +55,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bins of 2,048 tokens; no two documents of a source or of equal text share one."""
-    sized = packing.word_counts(docs.select(COLUMNS), "text").withColumn("cluster", F.xxhash64("text"))
-    return packing.pack(sized, "doc_id", "n_tokens", "source", "cluster")
+    """Bins of 2,048 tokens; no two documents of a source, and no near copies, share one."""
+    return packing.pack(packing.sized(docs.select(COLUMNS), "doc_id", "text", "source"), "doc_id", "n_tokens", "source", "cluster")
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("repeats", repeats), ("sequences", sequences)]

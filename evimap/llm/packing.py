@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evimap.llm import hashing as H
+from evimap.llm.components import settle
+from evimap.llm.jaccard_join import near_duplicates
 
 CAPACITY, GROUP = 2048, 2000
 
@@ -76,6 +78,14 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     return df.mapInArrow(run, f"{fields}, n_tokens long")
 
 
+def sized(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    """``key``, n_tokens, ``source`` and cluster of each row: near copies have one cluster, texts without words none."""
+    found = near_duplicates(df, key, text).where("label is not null").select(F.col(key).alias("k_"), F.col("row_hash").alias("r_"), F.col("label").alias("cluster")).distinct()
+    rows = word_counts(df.select(key, text, source), text).select(key, "n_tokens", source, F.xxhash64(key, text).alias("h_"))
+    rows = rows.join(found, (rows["h_"] == found["r_"]) & rows[key].eqNullSafe(found["k_"]), "left")
+    return settle(rows.select(key, "n_tokens", source, "cluster"))
+
+
 def pack(df: DataFrame, key: str, length: str, source: str, cluster: str, capacity: int = CAPACITY) -> DataFrame:
     """One row for each piece: ``key``, piece, n_tokens, bin_id, start (its first place in the bin)."""
     size = F.greatest(F.coalesce(F.col(length), F.lit(0)), F.lit(0)).cast("long")

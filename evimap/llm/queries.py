@@ -30,8 +30,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    sized = packing.word_counts(docs, "text").withColumn("cluster", F.xxhash64("text"))
-    return packing.pack(sized, "doc_id", "n_tokens", "source", "cluster")
+    return packing.pack(packing.sized(docs, "doc_id", "text", "source"), "doc_id", "n_tokens", "source", "cluster")
 
 
 def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
