@@ -32,12 +32,19 @@ def orphan_counts(found: DataFrame, studies: DataFrame, key: str) -> DataFrame:
     return orphans(found, studies, key).agg(F.count("*").alias("orphan_mentions"), F.count_distinct(key).alias("orphan_studies"))
 
 
-def living_map(found: DataFrame, studies: DataFrame, key: str = "nct_id") -> DataFrame:
-    """Mentions (key, outcome_type, measure, keyword, matched_text) as the wide map with category and unit."""
-    text = F.concat_ws(" ", "measure", "matched_text")
+def living_map(found: DataFrame, studies: DataFrame, key: str = "nct_id", whole: str | None = None) -> DataFrame:
+    """Mentions (key, outcome_type, measure, keyword, matched_text) as the wide map with category and unit.
+
+    Category and unit come from measure and matched_text, or from the column
+    ``whole`` where these two are cut for display; ``whole`` is not kept.
+    """
+    text = F.col(whole) if whole else F.concat_ws(" ", "measure", "matched_text")
     placebo = F.coalesce(F.col("placebo_arm_count"), F.lit(0)) > 0
-    wide = with_studies(found, studies, key).withColumn("normalized_keyword", R.category(F.col("keyword"), text)).withColumn("_u", R.unit(text))
-    return wide.withColumns({"unit_raw": F.col("_u.raw"), "normalized_unit": R.fallback_unit(F.col("_u.normal"), F.col("normalized_keyword")), "has_placebo_arm": placebo}).drop("_u")
+    derived = found.withColumn("normalized_keyword", R.category(F.col("keyword"), text)).withColumn("_u", R.unit(text))
+    wide = with_studies(derived.drop(whole) if whole else derived, studies, key)
+    names = [c for c in wide.columns if c not in ("normalized_keyword", "_u")]
+    wide = wide.withColumns({"unit_raw": F.col("_u.raw"), "normalized_unit": R.fallback_unit(F.col("_u.normal"), F.col("normalized_keyword")), "has_placebo_arm": placebo})
+    return wide.select(*names, "normalized_keyword", "unit_raw", "normalized_unit", "has_placebo_arm")
 
 
 def encoded_lists(df: DataFrame, lists: Mapping[str, str], records: Mapping[str, list[str]]) -> DataFrame:

@@ -242,6 +242,6 @@ def table_hash(spark, d):
 def living_map(spark, d):
     """Documents as studies, their texts searched with the default dictionary, and the wide map of the hits."""
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("nct_id"), "text", "lang", "source")
-    found = evidence.mentions(docs.select("nct_id", "text"), F.col("text")).select("nct_id", F.lit("inferred").alias("outcome_type"), F.substring("text", 1, 200).alias("measure"), "keyword", F.substring("text", 1, 500).alias("matched_text"))
+    found = evidence.mentions(docs.select("nct_id", "text"), F.col("text")).select("nct_id", F.lit("inferred").alias("outcome_type"), F.substring("text", 1, 200).alias("measure"), "keyword", F.substring("text", 1, 500).alias("matched_text"), F.col("text").alias("whole_text"))
     studies = docs.select("nct_id", "lang", "source", (F.col("lang") == "en").cast("int").alias("placebo_arm_count"))
-    return evidence.living_map(found, studies)
+    return evidence.living_map(found, studies, whole="whole_text")
