@@ -54,10 +54,12 @@ def fuzzy_title_matches(left: DataFrame, right: DataFrame, key_l: str, key_r: st
 
 
 def nearest_titles(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float = 0.2) -> DataFrame:
-    """Best edit similarity among right titles with a word Jaccard of at least ``least_jaccard``; no lower limit."""
+    """For each left row, the best edit similarity among right titles with a word Jaccard of at least ``least_jaccard``; no lower limit."""
     pairs = title_pairs(left, right, key_l, key_r, title_l, title_r, least_jaccard, shared_half=False)
     pairs = pairs.withColumn("similarity", T.edit_similarity(F.col("title_l"), F.col("title_r")))
-    return one_per_key(pairs.select("id_l", "id_r", "similarity"), ["id_l"], -F.col("similarity"), F.col("id_r")).select(F.col("id_l").alias("left_id"), F.col("id_r").alias("right_id"), "similarity")
+    best = one_per_key(pairs.select("title_l", "id_r", "similarity"), ["title_l"], -F.col("similarity"), F.col("id_r"))
+    back = left.select(F.col(key_l).alias("left_id"), F.lower(T.normal_space(F.col(title_l))).alias("title_l"))
+    return back.join(best, "title_l").select("left_id", F.col("id_r").alias("right_id"), "similarity")
 
 
 def known_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str) -> DataFrame:

@@ -105,7 +105,9 @@ def fuzzy_titles(spark, d):
 @query(f"""with {_HEADS}, {_BOTH}, {_WORDS}, {_SHARED}, q as (select il, ir, {_SIM} sim from p where s / (n + m - s) >= 0.2), f as (select *, row_number() over (partition by il order by sim desc, ir) k from q)
 select il left_id, ir right_id, round(sim, 6) similarity from f where k = 1""")
 def nearest_titles(spark, d):
-    return resolve.nearest_titles(*halves(spark, d), "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
+    left, right = halves(spark, d)
+    left = left.groupBy("t").agg(F.min("doc_id").alias("doc_id"))  # the SQL asks for the first row of each title
+    return resolve.nearest_titles(left, right, "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
 
 
 @query(f"with {_HEADS} select a.doc_id left_id, b.doc_id right_id, round(case when greatest(length(a.t), length(b.t)) > 0 then 1 - levenshtein(a.t, b.t) / greatest(length(a.t), length(b.t)) else 1 end, 6) similarity from h a join h b on b.doc_id = a.doc_id + 1")
