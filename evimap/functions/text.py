@@ -36,7 +36,8 @@ def split_list(c: Column, separator: str = ";") -> Column:
 
 
 def lenient_int(c: Column) -> Column:
-    return F.coalesce(F.trim(c.cast("string")).try_cast("int"), F.lit(0))
+    """A whole number of up to 64 bits, else 0."""
+    return F.coalesce(F.trim(c.cast("string")).try_cast("long"), F.lit(0).cast("long"))
 
 
 def title_words(c: Column, least: int = 4) -> Column:

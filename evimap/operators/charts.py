@@ -51,10 +51,12 @@ def flows(rows: DataFrame, study: str, source: str, phase: str, category: str, o
 
 def profiles(rows: DataFrame, category: str, study: str, flag: Column, year: str, variety: str, this_year: int, k: int = 5, recent: int = 5) -> DataFrame:
     """Normalised study and mention counts, placebo share, share of the last years and variety of the top categories."""
-    per = rows.groupBy(category).agg(
-        F.count_distinct(study).alias("s"), F.count("*").alias("m"), F.count_distinct(F.when(flag, F.col(study))).alias("p"),
-        F.count_distinct(F.when(F.col(year) > this_year - recent, F.col(study))).alias("r"), F.count_distinct(variety).alias("v"),
-    )
+    new = F.col(year) > this_year - recent
+    own = rows.groupBy(category, F.col(study).alias("_s")).agg(F.count("*").alias("m"), F.max(F.coalesce(flag, F.lit(False))).alias("p"), F.max(F.coalesce(new, F.lit(False))).alias("r"))
+    there = F.col("_s").isNotNull()
+    kinds = rows.select(F.col(category).alias("_c"), variety).distinct().groupBy("_c").agg(F.count(variety).alias("v"))
+    per = own.groupBy(category).agg(F.count("_s").alias("s"), F.sum("m").alias("m"), F.count_if(F.col("p") & there).alias("p"), F.count_if(F.col("r") & there).alias("r"))
+    per = per.join(kinds, F.col(category).eqNullSafe(F.col("_c"))).drop("_c")
     best, every = per.orderBy(F.desc("s"), category).limit(k), Window.partitionBy(F.lit(0))  # at most k rows
     of = lambda x: F.round(F.least(F.lit(1.0), F.col(x) / F.max(x).over(every)), 6)
     return best.select(category, of("s").alias("studies"), of("m").alias("mentions"), F.round(F.col("p") / F.col("s"), 6).alias("placebo"), F.round(F.col("r") / F.col("s"), 6).alias("recency"), of("v").alias("diversity"))

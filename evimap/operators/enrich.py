@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from evimap.functions import text as T
 from evimap.operators.dedup import last_per_key, top_per_key
 from pyspark.sql import Column, DataFrame
@@ -62,9 +64,26 @@ def needs_refetch(work: DataFrame, log: DataFrame, keys: list[str], stamp: str,
     return work.join(fresh.select(*keys), keys, "left_anti")
 
 
-def staleness(log: DataFrame, key: str, stamp: str, now: Column) -> DataFrame:
-    """Age in days of the source that was fetched least recently."""
-    return log.groupBy(key).agg(F.max(stamp).alias("last")).agg(F.min("last").alias("oldest")).select("oldest", F.round(F.timestamp_diff("SECOND", F.col("oldest"), now) / 86400, 4).alias("age_days"))
+def fetch_cycle(work: DataFrame, log: DataFrame, keys: list[str], fetch: Callable[[DataFrame], DataFrame], stamp: str, sequence: str, status: str, now: Column, max_age_days: float, failed: Column, at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """One gated cycle: fresh items are skipped, the rest fetched, and every fetched item is logged.
+
+    ``fetch`` turns the work list (``keys``) into result rows that carry
+    ``keys``; ``failed`` tells its rows that report an error.  Returns the rows
+    to store and the log rows to append: keys, stamp (``at``, else the current
+    time), status (ok, empty or error) and the number of rows stored.
+    """
+    due = needs_refetch(work, log, keys, stamp, sequence, status, now, max_age_days).select(*keys).distinct()
+    rows = fetch(due)
+    bad = F.coalesce(failed, F.lit(False))
+    per = rows.groupBy(*keys).agg(F.count_if(~bad).alias("rows"), F.count_if(bad).alias("_failed"))
+    state = F.when(F.col("_failed") > 0, "error").when(F.col("rows") > 0, "ok").otherwise("empty")
+    return rows.where(~bad), due.join(per, keys, "left").select(*keys, (F.current_timestamp() if at is None else at).alias(stamp), state.alias(status), F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+def staleness(log: DataFrame, key: str, stamp: str, now: Column | None = None) -> DataFrame:
+    """Age in days, at ``now`` or else at the newest fetch, of the source that was fetched least recently."""
+    ends = log.groupBy(key).agg(F.max(stamp).alias("last")).agg(F.min("last").alias("oldest"), F.max("last").alias("newest"))
+    return ends.select("oldest", F.round(F.timestamp_diff("SECOND", F.col("oldest"), F.col("newest") if now is None else now) / 86400, 4).alias("age_days"))
 
 
 def first_drugs(names: Column, n: int = 10) -> Column:

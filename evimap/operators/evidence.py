@@ -17,6 +17,14 @@ def mentions(texts: DataFrame, text: Column, keywords=None, vetoes=None) -> Data
     return texts.withColumn("keyword", F.explode(R.matches(text, **options)))
 
 
+def derived_mentions(texts: DataFrame, text: Column, rules: R.RuleSet | None = None) -> DataFrame:
+    """``mentions`` with normalized_keyword and ``unit`` (raw, normal); the unit of a text is found once, before its keywords are exploded."""
+    rules = rules or R.RuleSet()
+    own = texts.withColumns({"_text": text, "_keywords": R.matches(text, rules.keywords, rules.vetoes)}).where(F.size("_keywords") > 0)
+    rows = own.withColumn("unit", R.unit(F.col("_text"), rules.units, rules.change)).withColumn("keyword", F.explode("_keywords")).drop("_keywords")
+    return rows.withColumn("normalized_keyword", R.category(F.col("keyword"), F.col("_text"), rules.categories, rules.vetoes)).drop("_text")
+
+
 def with_studies(found: DataFrame, studies: DataFrame, key: str, defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Left join to the last row of each study; ``defaults`` fill the columns of unknown studies."""
     known = last_per_key(studies.where(F.trim(F.col(key).cast("string")) != ""), [key])
@@ -32,18 +40,22 @@ def orphan_counts(found: DataFrame, studies: DataFrame, key: str) -> DataFrame:
     return orphans(found, studies, key).agg(F.count("*").alias("orphan_mentions"), F.count_distinct(key).alias("orphan_studies"))
 
 
-def living_map(found: DataFrame, studies: DataFrame, key: str = "nct_id", whole: str | None = None) -> DataFrame:
+def living_map(found: DataFrame, studies: DataFrame, key: str = "nct_id", whole: str | None = None, rules: R.RuleSet | None = None) -> DataFrame:
     """Mentions (key, outcome_type, measure, keyword, matched_text) as the wide map with category and unit.
 
     Category and unit come from measure and matched_text, or from the column
-    ``whole`` where these two are cut for display; ``whole`` is not kept.
+    ``whole`` where these two are cut for display; ``whole`` is not kept.  Rows
+    of ``derived_mentions`` bring both along.
     """
+    rules = rules or R.RuleSet()
     text = F.col(whole) if whole else F.concat_ws(" ", "measure", "matched_text")
     placebo = F.coalesce(F.col("placebo_arm_count"), F.lit(0)) > 0
-    derived = found.withColumn("normalized_keyword", R.category(F.col("keyword"), text)).withColumn("_u", R.unit(text))
+    derived = found
+    if not {"normalized_keyword", "unit"} <= set(found.columns):
+        derived = found.withColumn("normalized_keyword", R.category(F.col("keyword"), text, rules.categories, rules.vetoes)).withColumn("unit", R.unit(text, rules.units, rules.change))
     wide = with_studies(derived.drop(whole) if whole else derived, studies, key)
-    names = [c for c in wide.columns if c not in ("normalized_keyword", "_u")]
-    wide = wide.withColumns({"unit_raw": F.col("_u.raw"), "normalized_unit": R.fallback_unit(F.col("_u.normal"), F.col("normalized_keyword")), "has_placebo_arm": placebo})
+    names = [c for c in wide.columns if c not in ("normalized_keyword", "unit")]
+    wide = wide.withColumns({"unit_raw": F.col("unit.raw"), "normalized_unit": R.fallback_unit(F.col("unit.normal"), F.col("normalized_keyword"), rules.category_units), "has_placebo_arm": placebo})
     return wide.select(*names, "normalized_keyword", "unit_raw", "normalized_unit", "has_placebo_arm")
 
 

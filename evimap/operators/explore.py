@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -51,6 +51,24 @@ def search(query: str, fields: Mapping[str, str], everywhere: list[str], year: s
     return F.lower(F.concat_ws(" ", *(F.col(c).cast("string") for c in everywhere))).contains(q)
 
 
+def cross_filter(rows: DataFrame, chosen: Mapping[str, str], focus: Sequence[str] = (), conditions: str = "conditions") -> DataFrame:
+    """Rows behind a chart: those with the chosen value in every chosen column (an item of it, where it is a list), compared
+    without case, and with any of the focus words in the text of ``conditions``.  Empty choices do not restrict."""
+    def has(column: str, value: str) -> Column:
+        own = F.col(column)
+        if rows.schema[column].dataType.typeName() == "array":
+            own = F.transform(own, lambda x: F.lower(x.cast("string")))
+            return F.coalesce(F.array_contains(own, value.lower()), F.lit(False))
+        return F.coalesce(F.lower(own.cast("string")) == value.lower(), F.lit(False))
+
+    keep = reduce(lambda a, b: a & b, (has(c, v) for c, v in chosen.items() if v), F.lit(True))
+    if focus:
+        text = F.col(conditions)
+        text = F.array_join(text, " ") if rows.schema[conditions].dataType.typeName() == "array" else text
+        keep &= reduce(lambda a, b: a | b, (F.lower(F.coalesce(text, F.lit(""))).contains(w.lower()) for w in focus))
+    return rows.where(keep)
+
+
 def sorted_page(rows: DataFrame, by: str, descending: bool, limit: int, tie: list[str], fallback: str = "") -> DataFrame:
     """The first rows in the order of a column, without case, missing values as ``fallback``; ties by key."""
     c = F.lower(F.coalesce(F.col(by), F.lit(fallback))) if rows.schema[by].dataType.typeName() == "string" else F.col(by)

@@ -44,15 +44,46 @@ def distinct_counts(rows: DataFrame, study: str, by: Column, name: str) -> DataF
 
 
 def totals(found: DataFrame, study: str, keyword: str, category: str, flag: Column, adjuncts: list[str], known: Column, outcome: str) -> DataFrame:
-    """One row of totals over the mentions; distinct counts by study are taken first, then summed."""
+    """One row of totals over the mentions.
+
+    Studies are aggregated first and then summed; the distinct values of the
+    three small dimensions come from one aggregation on (dimension, value).
+    """
     adjunct = F.col(category).isin(adjuncts)
-    return found.agg(
-        F.count("*").alias("total_mentions"), F.count_distinct(study).alias("total_studies"), F.count_distinct(F.when(flag, F.col(study))).alias("placebo_studies"),
-        F.count_if(~adjunct).alias("core_mentions"), F.count_if(adjunct).alias("adjunct_mentions"),
-        F.count_distinct(F.when(~adjunct, F.col(study))).alias("core_studies"), F.count_distinct(F.when(adjunct, F.col(study))).alias("adjunct_studies"),
-        F.count_distinct(keyword).alias("keywords"), F.count_distinct(category).alias("categories"), F.count_distinct(outcome).alias("outcome_types"),
-        F.count_if(~known).alias("orphan_mentions"),
+    per_study = found.groupBy(F.col(study).alias("s")).agg(
+        F.count("*").alias("n"), F.count_if(adjunct).alias("a"), F.count_if(~adjunct).alias("c"), F.max(F.coalesce(flag, F.lit(False))).alias("f"), F.count_if(~known).alias("o"),
+    )
+    there = F.col("s").isNotNull()
+    sums = per_study.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_mentions"), F.count("s").alias("total_studies"), F.count_if(F.col("f") & there).alias("placebo_studies"),
+        F.coalesce(F.sum("c"), F.lit(0)).alias("core_mentions"), F.coalesce(F.sum("a"), F.lit(0)).alias("adjunct_mentions"),
+        F.count_if((F.col("c") > 0) & there).alias("core_studies"), F.count_if((F.col("a") > 0) & there).alias("adjunct_studies"), F.coalesce(F.sum("o"), F.lit(0)).alias("orphan_mentions"),
     )
+    return sums.crossJoin(F.broadcast(distinct_values(found, {"keywords": keyword, "categories": category, "outcome_types": outcome})))
+
+
+def distinct_values(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """One row with the number of distinct non-null values of each column; one aggregation for all of them."""
+    names = list(columns)
+    long = rows.select(F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(columns[n]).cast("string").alias("v")) for i, n in enumerate(names)))).alias("x")).select("x.i", "x.v")
+    each = long.where("v is not null").distinct()
+    return each.agg(*(F.count_if(F.col("i") == i).alias(n) for i, n in enumerate(names)))
+
+
+def table_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """table, rows: the size of each fetched table."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def fetch_summary(studies: DataFrame, arms: DataFrame, found: DataFrame, keyword: str, placebo_arm: Column) -> DataFrame:
+    """One row: rows of the three fetched tables, placebo arms and distinct keywords."""
+    a = arms.agg(F.count("*").alias("arms"), F.count_if(placebo_arm).alias("placebo_arms"))
+    m = found.groupBy(keyword).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("mentions"), F.count(keyword).alias("keywords"))
+    return studies.agg(F.count("*").alias("studies")).crossJoin(F.broadcast(a)).crossJoin(F.broadcast(m))  # one row each
 
 
 def funnel(per_source: DataFrame, merged: DataFrame, study: str, source: str, has_outcome: Column, has_placebo: Column) -> DataFrame:
@@ -102,11 +133,22 @@ def status_counts(log: DataFrame, source: str, status: str, statuses: list[str])
     return log.groupBy(source).pivot(status, statuses).count().na.fill(0)
 
 
-def shares_and_quartiles(rows: DataFrame, value: str, flags: Mapping[str, tuple[Column, Column]]) -> DataFrame:
-    """Median, quartiles and sum of a number, and shares of flags among the rows of their own denominator."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+def shares_and_quartiles(rows: DataFrame, value: str, flags: Mapping[str, tuple[Column, Column]], accuracy: int | None = None) -> DataFrame:
+    """Median, quartiles and sum of a number, and shares of flags among the rows of their own denominator.
+
+    Rows are counted by value first, so the quartiles (interpolated) meet one
+    count for each distinct value: right for whole numbers such as enrolments.
+    With ``accuracy`` they are approximate, off by at most 1 / accuracy of the
+    rows, and memory is bounded for any number of values.
+    """
+    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     shares = [F.try_divide(F.count_if(of & flag), F.count_if(of)).alias(name) for name, (flag, of) in flags.items()]
-    return rows.agg(q.alias("q"), F.sum(value).alias("total"), *shares).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "total", *flags)
+    sums = rows.agg(F.sum(value).alias("total"), *shares)
+    if accuracy:
+        q = rows.agg(F.approx_percentile(F.col(value).cast("double"), at, accuracy).alias("q"))
+    else:
+        q = rows.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c")).agg(F.percentile("v", at, F.col("c")).alias("q"))
+    return q.crossJoin(F.broadcast(sums)).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "total", *flags)  # one row each
 
 
 def supported(stats: DataFrame, count: str, least: int = 2) -> DataFrame:

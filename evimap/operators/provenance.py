@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from collections.abc import Mapping, Sequence
 
 from evimap.functions import text as T
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def file_manifest(spark, path: str) -> DataFrame:
-    """path, sha256, bytes and modification time of the files under a folder."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), "modificationTime")
+def file_manifest(spark, path: str, extensions: Sequence[str] = (), largest: int = 1 << 30) -> DataFrame:
+    """path, sha256, bytes and modification time of the files under a folder, of the given extensions or all.
+
+    A row holds less than 2 GB: files above ``largest`` bytes are listed with a
+    null hash, and their contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    if extensions:
+        files = files.where(F.lower("path").rlike(r"\.(?:" + "|".join(re.escape(e.lower().lstrip(".")) for e in extensions) + ")$"))
+    own = lambda rows, hashed: rows.select("path", hashed.alias("sha256"), F.col("length").alias("bytes"), "modificationTime")
+    return own(files.where(F.col("length") <= largest), F.sha2("content", 256)).unionByName(own(files.where(F.col("length") > largest), F.lit(None).cast("string")))
 
 
 def table_hash(df: DataFrame) -> DataFrame:
@@ -64,10 +74,11 @@ def abstentions(keywords: DataFrame, keyword: str, known: list[DataFrame]) -> Da
     return out.select(keyword)
 
 
-def run_records(runs: DataFrame, label: str, order: str, run_id: str, totals: list[str]) -> DataFrame:
-    """Runs as records with their totals and the id of the run before."""
+def run_records(runs: DataFrame, label: str, order: str, run_id: str, totals: list[str], strategy: Mapping[str, object] | None = None) -> DataFrame:
+    """Runs as records with their totals, the id of the run before and, as one JSON text, the search strategy (queries, filters, dates)."""
+    more = [] if strategy is None else [F.lit(json.dumps(strategy, sort_keys=True, ensure_ascii=False)).alias("strategy")]
     w = Window.partitionBy(label).orderBy(order)
-    return runs.select(label, order, run_id, F.to_json(F.struct(*totals)).alias("totals"), F.lag(run_id).over(w).alias("previous"))
+    return runs.select(label, order, run_id, F.to_json(F.struct(*totals)).alias("totals"), F.lag(run_id).over(w).alias("previous"), *more)
 
 
 def read_records(spark, path: str, schema: str, required: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from evimap.functions import text as T
 from evimap.operators.dedup import one_per_key
+from evimap.operators.lineage import settle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,22 +25,34 @@ def exact_title_matches(left: DataFrame, right: DataFrame, key_l: str, key_r: st
 
 
 def title_pairs(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float, shared_half: bool = True) -> DataFrame:
-    """Pairs of distinct titles that share words of four letters or more, by their Jaccard similarity.
+    """Pairs of distinct titles by the Jaccard similarity of their words of four letters or more.
 
-    Works on distinct titles, so copies of a title are compared once.  Blocks
-    are words; a pair is counted by the words it shares.  A title counts as
-    sharing enough from max(2, half of the left title's words) words on.
+    Works on distinct titles under their smallest id, so copies are compared
+    once.  Words are ordered by how many titles have them, rarest first; titles
+    of n words that are alike enough share one of the first n - ceil(j n) + 1, so
+    only these meet in the join, and common words meet hardly ever.  A title
+    counts as sharing enough from max(2, half of the left title's words) words on.
     """
 
-    def words(df: DataFrame, key: str, title: str, x: str) -> DataFrame:
-        titles = df.groupBy(F.lower(T.normal_space(F.col(title))).alias(f"title_{x}")).agg(F.min(key).alias(f"id_{x}"))
-        return titles.withColumn("w", T.title_words(F.col(f"title_{x}"))).withColumn(f"n_{x}", F.size("w")).withColumn("w", F.explode("w"))
+    def titles(df: DataFrame, key: str, title: str) -> DataFrame:
+        own = df.groupBy(F.lower(T.normal_space(F.col(title))).alias("title")).agg(F.min(key).alias("id"))
+        return own.withColumn("w", T.title_words(F.col("title"))).where(F.size("w") > 0)
 
-    a, b = words(left, key_l, title_l, "l"), words(right, key_r, title_r, "r")
-    shared = a.join(b, "w").groupBy("title_l", "title_r", "id_l", "id_r", "n_l", "n_r").agg(F.count("*").alias("shared"))
-    enough = F.col("shared") >= F.greatest(F.lit(2), F.floor(F.col("n_l") / 2)) if shared_half else F.lit(True)
-    jaccard = F.col("shared") / (F.col("n_l") + F.col("n_r") - F.col("shared"))
-    return shared.where(enough & (jaccard >= least_jaccard)).withColumn("jaccard", jaccard)
+    def prefixes(rows: DataFrame, x: str) -> DataFrame:
+        ranked = rows.select("id", F.explode("w").alias("w"), F.size("w").alias("n")).join(frequency, "w")
+        sets = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("s"))
+        first = F.col("n") - F.ceil(F.lit(least_jaccard) * F.col("n") - 1e-9) + 1
+        return sets.select(F.col("id").alias(f"id_{x}"), F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("p")).select(f"id_{x}", F.col("p.w").alias("w"))
+
+    a, b = titles(left, key_l, title_l), titles(right, key_r, title_r)
+    frequency = a.select(F.explode("w").alias("w")).unionByName(b.select(F.explode("w").alias("w"))).groupBy("w").agg(F.count("*").alias("f"))
+    pairs = prefixes(a, "l").join(prefixes(b, "r"), "w").select("id_l", "id_r").distinct()
+    named = lambda df, x: df.select(F.col("id").alias(f"id_{x}"), F.col("title").alias(f"title_{x}"), F.col("w").alias(f"w_{x}"))
+    both = pairs.join(named(a, "l"), "id_l").join(named(b, "r"), "id_r").withColumn("shared", F.size(F.array_intersect("w_l", "w_r")))
+    n_l, n_r = F.size("w_l"), F.size("w_r")
+    enough = F.col("shared") >= F.greatest(F.lit(2), F.floor(n_l / 2)) if shared_half else F.lit(True)
+    both = both.withColumn("jaccard", F.col("shared") / (n_l + n_r - F.col("shared")))
+    return both.where(enough & (F.col("jaccard") >= least_jaccard)).drop("w_l", "w_r", "shared")
 
 
 def fuzzy_title_matches(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float = 0.5, least_similarity: float = 0.85) -> DataFrame:
@@ -75,10 +88,54 @@ def unmatched(new: DataFrame, crosswalk: DataFrame, key: str, base: DataFrame) -
     return one_per_key(rest, [key])
 
 
-def remap(children: DataFrame, key: str, crosswalk: DataFrame) -> DataFrame:
-    """Children under the id that the crosswalk (left_id, right_id) gives, else under their own."""
-    to = crosswalk.groupBy("left_id").agg(F.min("right_id").alias("right_id")).withColumnRenamed("left_id", key)
-    return children.join(to, key, "left").withColumn(key, F.coalesce("right_id", key)).drop("right_id").select(children.columns)
+def chained(new: DataFrame, key: str, title: str, order: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """New records join the index as they come, so later ones with the same title are the same study.
+
+    Returns the rows that stay (the first of each title by ``order``, then key;
+    rows without a title stay all) and the crosswalk left_id -> right_id of the
+    others.  Close titles of new records are left apart, as which of them came
+    first would decide.
+    """
+    rows = new.withColumn("_t", F.lower(T.normal_space(F.col(title)))).withColumn("_o", F.struct((F.lit(0) if order is None else order).alias("o"), F.col(key).alias("k")))
+    first = rows.where("_t <> ''").groupBy("_t").agg(F.min("_o").alias("_f")).select("_t", F.col("_f.k").alias("right_id"))
+    known = rows.join(first, "_t", "left")
+    stays = known.where(F.col("right_id").isNull() | (F.col("right_id") == F.col(key)))
+    links = known.where(F.col("right_id") != F.col(key)).select(F.col(key).alias("left_id"), "right_id").distinct()
+    return one_per_key(stays.select(new.columns), [key]), links
+
+
+def merge_sources(base: DataFrame, new: DataFrame, key: str, title: str, sources: str, fill: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The whole merge of a second source: by id, by exact title, by close title, then chained among the new ones.
+
+    Returns the merged studies and the crosswalk (left_id, right_id) of the new
+    source's ids.  Matched rows give their source tag and fill blank columns.
+    The first way that matches a row counts; matches are kept in the shared
+    folder, as everything after them depends on them.
+    """
+    match = lambda df, rank: df.select("left_id", F.struct(F.lit(rank).alias("rank"), F.col("right_id")).alias("m"))
+    by_id = new.join(base.select(key), key, "left_semi").select(F.col(key).alias("left_id"), F.col(key).alias("right_id"))
+    ways = [by_id, exact_title_matches(new, base, key, key, title, title), fuzzy_title_matches(new, base, key, key, title, title)]
+    every = match(ways[0], 0).unionByName(match(ways[1], 1)).unionByName(match(ways[2], 2))
+    found = settle(every.groupBy("left_id").agg(F.min("m").alias("m")).select("left_id", "m.right_id"))
+    rest = new.join(found.select(F.col("left_id").alias(key)), key, "left_anti")
+    stays, links = chained(rest, key, title)
+    links = settle(links)
+    stays = settle(stays)
+    tagged = new.join(found.withColumnRenamed("left_id", key), key).withColumn(key, F.col("right_id")).select(key, sources, *fill)
+    more = new.join(links.withColumnRenamed("left_id", key), key).withColumn(key, F.col("right_id")).select(key, sources, *fill)
+    merged = merge_by_id(base, tagged, key, sources, fill).unionByName(merge_by_id(stays, more, key, sources, fill), allowMissingColumns=True)
+    return merged, found.unionByName(links).where("left_id <> right_id")
+
+
+def remap(children: DataFrame, key: str, crosswalk: DataFrame, other: str | None = None) -> DataFrame:
+    """Children under the id that the crosswalk (left_id, right_id) gives for ``key``, else for the ``other`` id column, else under their own."""
+    to = crosswalk.groupBy("left_id").agg(F.min("right_id").alias("right_id"))
+    out = children.join(to.withColumnRenamed("left_id", key).withColumnRenamed("right_id", "_a"), key, "left")
+    found = [F.col("_a")]
+    if other:
+        out = out.join(to.withColumnRenamed("left_id", other).withColumnRenamed("right_id", "_b"), other, "left")
+        found.append(F.col("_b"))
+    return out.withColumn(key, F.coalesce(*found, F.col(key))).select(children.columns)
 
 
 def union_first_wins(parts: list[DataFrame], keys: list[str], order: Column) -> DataFrame:

@@ -180,7 +180,8 @@ _STATS = "s as (select p_brand, count(distinct l_orderkey) studies, count(distin
 
 
 def brand_stats(spark, d):
-    return rows(spark, d).groupBy("p_brand").agg(F.count_distinct("l_orderkey").alias("studies"), F.count_distinct(F.when(F.col("flag"), F.col("l_orderkey"))).alias("placebo"))
+    per = rows(spark, d).groupBy("p_brand", "l_orderkey").agg(F.max("flag").alias("flag"))
+    return per.groupBy("p_brand").agg(F.count("*").alias("studies"), F.count_if("flag").alias("placebo"))
 
 
 @query(f"with {_ROWS}, {_STATS} select *, round(placebo / studies, 6) placebo_ratio, case when placebo / studies > 0.3 then 'high' when placebo / studies > 0.1 then 'some' else 'low' end band from s")
@@ -203,9 +204,33 @@ def minimum_support(spark, d):
     return facets.supported(brand_stats(spark, d), "studies", 100)
 
 
-@query(f"with {_ROWS}, {_STATS} select * from s where placebo <= 60 and p_brand not in ('Brand#11', 'Brand#12')")
+@query(f"with {_ROWS}, s as (select l_partkey, count(distinct l_orderkey) studies, count(distinct case when flag then l_orderkey end) placebo from rows_ group by 1) select * from s where placebo <= 4 and l_partkey not in (11, 12)")
 def evidence_gaps(spark, d):
-    return facets.evidence_gaps(brand_stats(spark, d), "p_brand", "placebo", ["Brand#11", "Brand#12"], 60)
+    stats = facets.facet_stats(rows(spark, d), {"part": F.col("l_partkey")}, "l_orderkey", F.col("flag"))
+    stats = stats.select(F.col("value").cast("long").alias("l_partkey"), F.col("study_count").alias("studies"), F.col("placebo_study_count").alias("placebo"))
+    return facets.evidence_gaps(stats, "l_partkey", "placebo", [11, 12])
+
+
+@query("""with n as (select p_partkey, p_brand, lower(p_type) t from part) select l_orderkey, l_linenumber, count(*) n from lineitem join n on p_partkey = l_partkey where l_returnflag = 'R' and lower(p_brand) = 'brand#3' and (t like '%promo%' or t like '%eco%') group by 1, 2""")
+def cross_filtered(spark, d):
+    lists = rows(spark, d).withColumn("brands", F.array(F.col("p_brand"), F.lit("other")))
+    kept = explore.cross_filter(lists, {"l_returnflag": "r", "brands": "BRAND#3", "p_type": ""}, ["Promo", "eco"], "p_type")
+    return kept.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
+
+
+@query("select 'lineitem' as table, count(*) as rows from lineitem union all select 'orders', count(*) from orders union all select 'part', count(*) from part")
+def table_totals(spark, d):
+    return facets.table_totals({n: table(spark, d, n) for n in ("lineitem", "orders", "part")})
+
+
+@query("select (select count(*) from orders) studies, count(*) arms, count(*) filter (p_size % 5 = 0) placebo_arms, (select count(*) from lineitem) mentions, (select count(distinct l_partkey) from lineitem) keywords from part")
+def fetch_summary(spark, d):
+    return facets.fetch_summary(table(spark, d, "orders"), table(spark, d, "part"), table(spark, d, "lineitem"), "l_partkey", F.col("p_size") % 5 == 0)
+
+
+@query("select quantile_cont(p_size, 0.25) q1, quantile_cont(p_size, 0.5) median, quantile_cont(p_size, 0.75) q3, sum(p_size) total, count(*) filter (p_type = 'PROMO') / count(*) promo from part")
+def enrolment_quartiles(spark, d):
+    return facets.shares_and_quartiles(table(spark, d, "part"), "p_size", {"promo": (F.col("p_type") == "PROMO", F.lit(True))})
 
 
 @query("select o_custkey, count(distinct o_orderstatus) n_values from orders group by 1 having count(distinct o_orderstatus) > 1")

@@ -81,15 +81,14 @@ _NOW = "(select max(ts) from events)"
 
 @query(f"with {_LOG}, r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k from log), m as (select max(ts) m from events) select distinct user_id from events where user_id not in (select user_id from r, m where k = 1 and status in ('ok', 'empty') and date_sub('second', ts, m) < 86400)")
 def needs_refetch(spark, d):
-    now = table(spark, d, "events").agg(F.max("ts")).first()[0]
+    now = table(spark, d, "events").agg(F.max("ts").alias("now"))
     work = table(spark, d, "events").select("user_id").distinct()
-    return enrich.needs_refetch(work, log(spark, d), ["user_id"], "ts", "event_id", "status", F.lit(now), 1.0)
+    return enrich.needs_refetch(work, log(spark, d).crossJoin(F.broadcast(now)), ["user_id"], "ts", "event_id", "status", F.col("now"), 1.0)  # one row
 
 
 @query(f"with {_LOG}, s as (select source, max(ts) t from log group by 1) select strftime(min(t), '%Y-%m-%d') oldest, round(date_sub('second', min(t), (select max(ts) from events)) / 86400, 4) age_days from s")
 def staleness(spark, d):
-    now = table(spark, d, "events").agg(F.max("ts")).first()[0]
-    return enrich.staleness(log(spark, d), "source", "ts", F.lit(now)).withColumn("oldest", F.date_format("oldest", "yyyy-MM-dd"))
+    return enrich.staleness(log(spark, d), "source", "ts").withColumn("oldest", F.date_format("oldest", "yyyy-MM-dd"))
 
 
 @query(f"with {_LOG} select strftime(max(ts) filter (status = 'ok'), '%Y-%m-%d') since from log")
@@ -164,7 +163,7 @@ f as (select count(*) mentions, count(*) filter (category = 'Unmapped') / count(
 def quality_rules(spark, d):
     m = rows(spark, d).withColumn("category", F.when(F.col("l_linenumber") == 7, "Unmapped").otherwise(F.col("p_type"))).withColumn("unit", F.when(F.col("l_returnflag") == "A", "").otherwise("u"))
     studies = table(spark, d, "orders").withColumn("kind", F.lit("ESTIMATED"))
-    facts = quality.map_facts(m, studies.withColumn("n", F.ceil("o_totalprice")), "l_orderkey", "category", "unit", F.col("flag"), F.col("l_orderkey") >= 0, ["PROMO"], "n", "kind")
+    facts = quality.map_facts(m, studies.withColumn("n", F.ceil("o_totalprice")), "l_orderkey", "category", "unit", F.col("flag"), F.col("l_orderkey") >= 0, ["PROMO"], "n", "kind", {"brands": "p_brand", "outcomes": "l_returnflag", "statuses": "l_linestatus", "priorities": "o_orderpriority"})
     return quality.run_checks(facts, quality.map_checks())
 
 
@@ -222,10 +221,11 @@ def gathered_enrichment(spark, d):
     return out.select("nct_id", "pub_count", *(F.array_join(c, ";").alias(c) for c in ("pmid_list", "doi_list", "mesh_terms")), "cited_by_total", F.col("is_oa").cast("string").alias("is_oa"), "oa_status", reactions.alias("reactions"), F.array_join("enrichment_sources", ";").alias("enrichment_sources"))
 
 
-@query("select p_brand, least(count(distinct p_type), 3) n from part group by 1")
+@query("with t as (select p_brand, lower(p_type) t, min(p_partkey) k from part group by 1, 2), r as (select *, row_number() over (partition by p_brand order by k) n from t) select p_brand, string_agg(t, '|' order by n) drugs from r where n <= 3 group by 1")
 def first_drugs(spark, d):
-    lists = table(spark, d, "part").groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list("p_type")), "; ").alias("names"))
-    return lists.select("p_brand", F.size(enrich.first_drugs(F.col("names"), 3)).alias("n"))
+    lists = table(spark, d, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_type"))).alias("x"))
+    names = F.array_join(F.transform("x", lambda x: F.concat(x["p_type"], F.lit(" 50 mg (oral)"))), "; ")
+    return lists.select("p_brand", F.array_join(enrich.first_drugs(names, 3), "|").alias("drugs"))
 
 
 @query("select n_nationkey, sha256('{\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}') hash from nation")
@@ -236,12 +236,3 @@ def canonical_hashes(spark, d):
 @query()
 def table_hash(spark, d):
     return provenance.table_hash(table(spark, d, "lineitem"))
-
-
-@query()
-def living_map(spark, d):
-    """Documents as studies, their texts searched with the default dictionary, and the wide map of the hits."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("nct_id"), "text", "lang", "source")
-    found = evidence.mentions(docs.select("nct_id", "text"), F.col("text")).select("nct_id", F.lit("inferred").alias("outcome_type"), F.substring("text", 1, 200).alias("measure"), "keyword", F.substring("text", 1, 500).alias("matched_text"), F.col("text").alias("whole_text"))
-    studies = docs.select("nct_id", "lang", "source", (F.col("lang") == "en").cast("int").alias("placebo_arm_count"))
-    return evidence.living_map(found, studies, whole="whole_text")

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from evimap.plans import facet_queries, pipeline_queries, text_queries  # noqa: E402, F401
+from evimap.plans import facet_queries, landed_queries, map_queries, pipeline_queries, text_queries  # noqa: E402, F401
 
 
 def entry(spark: SparkSession) -> DataFrame:

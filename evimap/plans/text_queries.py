@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from evimap.functions import defaults as D
 from evimap.functions import rules as R
 from evimap.functions import text as T
 from evimap.operators import evidence, resolve
@@ -49,16 +48,28 @@ def phrase_query(spark, d):
     return docs(spark, d).where(R.phrase_query(F.col("text"), [["the", "und"], ["Apache License", "MIT License"]])).select("doc_id")
 
 
-_UNIT = "cast(l_linenumber as varchar) || case l_linenumber % 7 when 0 then ' mm Hg' when 1 then ' mmHg/s' when 2 then ' bpm' when 3 then '% of baseline' when 4 then ' % EF' when 5 then ' mL / min / m2' else ' items' end"
+# One text for each unit pattern, with what is found in it and the unit it stands for; then texts without a unit, or with a percent sign.
+_UNIT_TEXTS = [
+    (" rise of 9 mmHg/s", "mmhg/s", "mmHg/s"), (" mm Hg", "mm hg", "mmHg"), (" cmH2O", "cmh2o", "cmH2O"), (" mmol per L", "mmol per l", "mmol/L"), (" mEq / L", "meq / l", "mEq/L"), (" mg/dL", "mg/dl", "mg/dL"),
+    (" ug/kg/min", "ug/kg/min", "mcg/kg/min"), (" ng/kg/min", "ng/kg/min", "ng/kg/min"), (" units/hour", "units/hour", "units/hr"), (" ml/kg/min", "ml/kg/min", "mL/kg/min"), (" L/min/m^2", "l/min/m^2", "L/min/m2"),
+    (" mL / min / m2", "ml / min / m2", "mL/min/m2"), (" mL/m2", "ml/m2", "mL/m2"), (" L / min", "l / min", "L/min"), (" ml/min", "ml/min", "mL/min"), (" mL/beat", "ml/beat", "mL/beat"), (" beats per minute", "beats per minute", "bpm"),
+    (" dynes*s/cm5/m2", "dynes*s/cm5/m2", "dyn*s/cm5/m2"), (" dyn s/cm^5", "dyn s/cm^5", "dyn*s/cm5"), (" Wood units", "wood units", "Wood units"), (" watts", "watts", "W"), (" msec or ms", "ms", "ms"), (" seconds", "seconds", "s"),
+    (" % EF", "%", "%"), (" % of baseline", "", "score"), (" items", "", "score"), (" bpm, later mmHg", "mmhg", "mmHg"), (" barrels/minute", "", "score"),
+]
 
 
-@query(f"""with t as (select l_orderkey, l_linenumber, lower({_UNIT}) t from lineitem) select l_orderkey, l_linenumber,
-case when t like '%mmhg/s%' then 'mmhg/s' when t like '%mm hg%' then 'mm hg' when t like '%ml / min%' then 'ml / min / m2' when t like '%bpm%' then 'bpm' when t like '%! %%' escape '!' then '%' when t like '%!% ef%' escape '!' then '%' else '' end raw,
-case when t like '%mmhg/s%' then 'mmHg/s' when t like '%mm hg%' then 'mmHg' when t like '%ml / min%' then 'mL/min/m2' when t like '%bpm%' then 'bpm' when t like '%!% ef%' escape '!' then '%' else 'score' end unit from t""".replace("when t like '%! %%' escape '!' then '%' ", ""))
+def _cases(values, of: str = "l_linenumber + l_orderkey") -> str:
+    return f"case ({of}) % {len(values)} " + " ".join(f"when {i} then '{v}'" for i, v in enumerate(values)) + " end"
+
+
+def _choice(values, n):
+    return F.element_at(F.array(*(F.lit(v) for v in values)), (n % len(values) + 1).cast("int"))
+
+
+@query(f"select l_orderkey, l_linenumber, {_cases([r for _, r, _ in _UNIT_TEXTS])} raw, {_cases([u for _, _, u in _UNIT_TEXTS])} unit from lineitem")
 def units(spark, d):
     n = F.col("l_linenumber")
-    text = F.concat(n.cast("string"), *[F.when(n % 7 == i, F.lit(x)).otherwise("") for i, x in enumerate([" mm Hg", " mmHg/s", " bpm", "% of baseline", " % EF", " mL / min / m2", " items"])])
-    u = R.unit(text)
+    u = R.unit(F.concat(n.cast("string"), _choice([t for t, _, _ in _UNIT_TEXTS], n + F.col("l_orderkey"))))
     return table(spark, d, "lineitem").select("l_orderkey", n, u["raw"].alias("raw"), R.fallback_unit(u["normal"], F.lit("ICU Severity Score")).alias("unit"))
 
 
@@ -69,20 +80,25 @@ def arm_types(spark, d):
     return table(spark, d, "orders").select("o_orderkey", R.classify_arm(text).alias("arm"), R.is_placebo(text).alias("placebo"))
 
 
-# The edit distance of the comparison engine counts bytes, so titles are cut down to ASCII for these queries.
-_HEADS = "h as (select doc_id, lower(trim(regexp_replace(regexp_replace(left(split_part(text, chr(10), 1), 80), '[^\\x00-\\x7F]', '', 'g'), '\\s+', ' ', 'g'))) t from documents)"
+# The title of a document is its whole first line.  The edit distance of the comparison engine counts bytes, so accented
+# letters are folded and any other character outside ASCII becomes one question mark, in both engines.
+_FOLD = ("äöüßáàâãåçéèêëíìîïñóòôõúùûý", "aousaaaaaceeeeiiiinoooouuuy")
+_HEADS = f"h as (select doc_id, source, lower(trim(regexp_replace(regexp_replace(translate(lower(split_part(text, chr(10), 1)), '{_FOLD[0]}', '{_FOLD[1]}'), '[^\\x00-\\x7F]', '?', 'g'), '\\s+', ' ', 'g'))) t from documents)"
 
 
 def heads(spark, d):
-    return docs(spark, d).select("doc_id", F.lower(T.normal_space(F.regexp_replace(F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 80), r"[^\x00-\x7F]", ""))).alias("t"), "lang")
+    first = F.translate(F.lower(F.split_part("text", F.lit("\n"), F.lit(1))), *_FOLD)
+    return docs(spark, d).select("doc_id", "source", F.lower(T.normal_space(F.regexp_replace(first, r"[^\x00-\x7F]", "?"))).alias("t"), "lang")
 
 
-_BOTH = "a as (select doc_id, t from h where doc_id % 2 = 0), b as (select doc_id, t from h where doc_id % 2 = 1)"
+_BOTH = "a as (select doc_id, t from h where source like 'src1%'), b as (select doc_id, t from h where source not like 'src1%')"
 
 
 def halves(spark, d):
+    """Documents of the sources src1, src10 to src19, and of all others."""
     h = heads(spark, d)
-    return h.where("doc_id % 2 = 0"), h.where("doc_id % 2 = 1")
+    one = F.col("source").startswith("src1")
+    return h.where(one), h.where(~one)
 
 
 @query(f"with {_HEADS}, {_BOTH} select a.doc_id left_id, min(b.doc_id) right_id from a join b on a.t = b.t and a.t <> '' group by 1")
@@ -102,12 +118,10 @@ def fuzzy_titles(spark, d):
     return resolve.fuzzy_title_matches(*halves(spark, d), "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
 
 
-@query(f"""with {_HEADS}, {_BOTH}, {_WORDS}, {_SHARED}, q as (select il, ir, {_SIM} sim from p where s / (n + m - s) >= 0.2), f as (select *, row_number() over (partition by il order by sim desc, ir) k from q)
-select il left_id, ir right_id, round(sim, 6) similarity from f where k = 1""")
+@query(f"""with {_HEADS}, {_BOTH}, {_WORDS}, {_SHARED}, q as (select tl, ir, {_SIM} sim from p where s / (n + m - s) >= 0.2), f as (select *, row_number() over (partition by tl order by sim desc, ir) k from q)
+select a.doc_id left_id, ir right_id, round(sim, 6) similarity from f join a on a.t = tl where k = 1""")
 def nearest_titles(spark, d):
-    left, right = halves(spark, d)
-    left = left.groupBy("t").agg(F.min("doc_id").alias("doc_id"))  # the SQL asks for the first row of each title
-    return resolve.nearest_titles(left, right, "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
+    return resolve.nearest_titles(*halves(spark, d), "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
 
 
 @query(f"with {_HEADS} select a.doc_id left_id, b.doc_id right_id, round(case when greatest(length(a.t), length(b.t)) > 0 then 1 - levenshtein(a.t, b.t) / greatest(length(a.t), length(b.t)) else 1 end, 6) similarity from h a join h b on b.doc_id = a.doc_id + 1")
@@ -176,9 +190,9 @@ def formula_guard(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", T.formula_safe(text).alias("safe"))
 
 
-@query("select o_orderkey, case when o_orderkey % 3 = 0 then 0 else o_orderkey end n from orders")
+@query("select o_orderkey, case o_orderkey % 3 when 0 then 0 when 1 then o_orderkey else o_orderkey + 5000000000 end n from orders")
 def lenient_numbers(spark, d):
-    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit("x"))).otherwise(F.concat(F.lit(" "), F.col("o_orderkey").cast("string")))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit("x"))).when(F.col("o_orderkey") % 3 == 2, (F.col("o_orderkey") + 5000000000).cast("string")).otherwise(F.concat(F.lit(" "), F.col("o_orderkey").cast("string")))
     return table(spark, d, "orders").select("o_orderkey", T.lenient_int(text).alias("n"))
 
 
@@ -200,16 +214,23 @@ def clean_phases(spark, d):
     return table(spark, d, "orders").select("o_orderkey", T.clean_phase(F.when(k == 0, "PHASE2").when(k == 1, "NA").otherwise("PHASE1; PHASE2")).alias("phase"))
 
 
-@query("select o_orderkey, round(date_sub('second', o_orderdate, timestamp '2002-01-01') / 86400, 4) age, case when year(o_orderdate) >= 2001 then 'recent' else 'old' end freshness from orders")
+@query("select o_orderkey, round(date_sub('second', o_orderdate, timestamp '2002-01-01') / 86400, 4) age, case when o_orderdate > timestamp '2001-12-31' then 'today' when o_orderdate > timestamp '2001-12-30' then '1 day ago' else cast(floor(date_sub('second', o_orderdate, timestamp '2002-01-01') / 86400) as bigint) || ' days ago' end freshness from orders")
 def ages(spark, d):
     age = T.age_days(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("2002-01-01").cast("timestamp"))
-    return table(spark, d, "orders").select("o_orderkey", F.round(age, 4).alias("age"), F.when(age <= 365, "recent").otherwise("old").alias("freshness"))
+    return table(spark, d, "orders").select("o_orderkey", F.round(age, 4).alias("age"), T.freshness(age).alias("freshness"))
 
 
-@query(r"select o_orderkey, o_orderkey % 4 in (0, 1, 2) trial, o_orderkey % 4 = 0 nct from orders")
+# Ids of every known form, then some that are none; % stands for the number.
+_ID_FORMS = [
+    "NCT%", "PMID:%", "EUCTR2004-%-12", "ISRCTN%", "ACTRN%", "ChiCTR-TRC-%", "DRKS%", "JPRN-UMIN%", "CTRI/2010/%", "PACTR%", "REBEC-x%", "KCT%", "IRCT2015-%N1", "TCTR%", "SLCTR/2012/%", "RPCEC0%", "PER-%-14", "NTR%", "LBCTR-a-%",
+    "NCTx%", "XYZ%", "ISRCTN %", "nct%", "",
+]
+
+
+@query(f"select o_orderkey, o_orderkey % {len(_ID_FORMS)} < 19 trial, o_orderkey % {len(_ID_FORMS)} = 0 nct from orders")
 def trial_ids(spark, d):
-    k, s = F.col("o_orderkey") % 4, F.col("o_orderkey").cast("string")
-    ident = F.when(k == 0, F.concat(F.lit("NCT"), F.lpad(s, 8, "0"))).when(k == 1, F.concat(F.lit("PMID:"), s)).when(k == 2, F.concat(F.lit("LBCTR-a-"), s)).otherwise(F.concat(F.lit("NCT"), s, F.lit("x")))
+    number = F.lpad(F.col("o_orderkey").cast("string"), 8, "0")
+    ident = F.replace(_choice(_ID_FORMS, F.col("o_orderkey")), F.lit("%"), number)
     return table(spark, d, "orders").select("o_orderkey", T.is_trial_id(ident).alias("trial"), T.is_nct_id(ident).alias("nct"))
 
 
@@ -224,8 +245,3 @@ def encoded_records(spark, d):
     lists = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_returnflag"))).alias("records"))
     orders = table(spark, d, "orders").select("o_orderkey")
     return evidence.encoded_lists(lists.join(orders, "o_orderkey"), {}, {"records": ["l_partkey", "l_returnflag"]})
-
-
-def default_mentions(spark, d):
-    """The default dictionary on all texts (not a contract query; see ``living_map``)."""
-    return evidence.mentions(docs(spark, d), F.col("text"), D.KEYWORDS)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from evimap.functions import text as T
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Header, quoted newlines and doubled quotes, UTF-8 with or without BOM; blank is null."""
+def read_csv(spark: SparkSession, path: str, columns: list[str], newlines: bool = True) -> DataFrame:
+    """Header, doubled quotes, UTF-8 with or without BOM; blank is null.
+
+    Quoted newlines make a file one task; ``newlines=False`` says there are none and lets large files be split.
+    """
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+    return spark.read.schema(schema).option("header", True).option("multiLine", newlines).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -39,9 +44,49 @@ def load_trials(df: DataFrame, key: str, interventions: list[str], limit: int |
     return rows.orderBy(key).limit(limit) if limit else rows
 
 
+def header(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
+    """Column names of a CSV file from its first line; no row is parsed."""
+    return spark.read.option("header", True).option("sep", separator).option("enforceSchema", False).csv(path).limit(0).columns
+
+
 def sampled_column(df: DataFrame, column: str, n: int) -> DataFrame:
+    """The first ``n`` values of one column; only that column is read."""
     return df.select(column).limit(n)
 
 
+def missing_columns(found: Iterable[str], needed: Iterable[str]) -> list[str]:
+    return sorted(set(needed) - set(found))
+
+
+def suffixed(name: str, label: str, default: str = "broad") -> str:
+    """File name of a label: the default label has the plain name, others end in _label."""
+    stem, dot, end = name.rpartition(".")
+    return name if label in ("", default) else f"{stem}_{label}.{end}" if dot else f"{name}_{label}"
+
+
+class Registry:
+    """Datasets by label: the files of each kind, kept as one small JSON table beside the data."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def add(self, label: str, kind: str, file: str) -> None:
+        self.spark.range(1).select(F.lit(label).alias("label"), F.lit(kind).alias("kind"), F.lit(file).alias("file"), F.current_timestamp().alias("added")).write.mode("append").json(self.path)
+
+    def files(self) -> DataFrame:
+        """label, kind, file: the last one added counts."""
+        rows = self.spark.read.schema("label string, kind string, file string, added timestamp").json(self.path)
+        return rows.groupBy("label", "kind").agg(F.max_by("file", "added").alias("file"))
+
+    def labels(self) -> list[str]:
+        return sorted(r.label for r in self.files().select("label").distinct().collect())  # a handful of labels
+
+    def file(self, label: str, kind: str) -> str:
+        found = self.files().where((F.col("label") == label) & (F.col("kind") == kind)).first()
+        if found is None:
+            raise KeyError(f"no {kind} of {label}")
+        return found.file
+
+
 def page(path_column: Column) -> Column:
     return F.element_at(F.split(path_column, "/"), -1)

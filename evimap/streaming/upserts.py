@@ -1,43 +1,69 @@
-"""Landed increments as a stream: each micro-batch is merged into a table of snapshots.
+"""Landed increments as a stream: each micro-batch is merged into a table that is versioned by bucket of the key.
 
-A batch writes a new snapshot under its own id and then names it as the last
-one, so a batch that is run again after a failure writes the same snapshot.
+A batch rewrites only the buckets that its keys fall into, as files of a version
+with the batch's own number, and then names that version for them.  A batch that
+is run again after a failure writes the same files and names the same version.
+Versions that no reader needs any more go with ``vacuum``.
 """
 
 from __future__ import annotations
 
-from evimap.operators.incremental import upsert
-from pyspark.sql import DataFrame, SparkSession
+from evimap.operators.incremental import keyed, upsert
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: Buckets of a new table; a batch of few keys rewrites few of them.
+BUCKETS = 64
 
-def current(spark: SparkSession, table: str, schema: str, before: int | None = None) -> DataFrame:
-    """The last snapshot (before a batch), or an empty table."""
+
+def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in keys)), F.lit(buckets)).cast("int")
+
+
+def versions(spark: SparkSession, table: str, before: int | None = None) -> list[tuple[int, int]]:
+    """(bucket, version) of the files that make up the table (before a batch); at most one pair for each bucket."""
     try:
-        names = spark.read.schema("batch long").json(f"{table}/_snapshots")
+        names = spark.read.schema("batch long, bucket int").json(f"{table}/_versions")
         names = names if before is None else names.where(F.col("batch") < before)
-        last = names.agg(F.max("batch")).first()[0]
-    except Exception as error:  # no snapshot was named yet
+        return sorted((r.bucket, r.batch) for r in names.groupBy("bucket").agg(F.max("batch").alias("batch")).collect())
+    except Exception as error:  # no version was named yet
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        last = None
-    if last is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{table}/snapshot={last}")
+        return []
+
 
+def current(spark: SparkSession, table: str, schema: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """The table (before a batch), whole or only some buckets of it."""
+    own = [f"{table}/version={v}/bucket={b}" for b, v in versions(spark, table, before) if buckets is None or b in buckets]
+    return spark.read.schema(schema).parquet(*own) if own else spark.createDataFrame([], schema)
 
-def merge_stream(source: DataFrame, table: str, schema: str, keys: list[str], order: list[str], checkpoint: str) -> StreamingQuery:
+
+def merge_stream(source: DataFrame, table: str, schema: str, keys: list[str], order: list[str], checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Upsert all files that have landed so far, then stop."""
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        upsert(current(spark, table, schema, number), batch, keys, order).write.mode("overwrite").parquet(f"{table}/snapshot={number}")
-        spark.range(1).select(F.lit(number).cast("long").alias("batch")).write.mode("append").json(f"{table}/_snapshots")
+        touched = sorted(r.bucket for r in keyed(batch, keys).select(bucket_of(keys, buckets).alias("bucket")).distinct().collect())  # at most ``buckets``
+        if not touched:
+            return
+        merged = upsert(current(spark, table, schema, number, touched), batch, keys, order).withColumn("bucket", bucket_of(keys, buckets))
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/version={number}")
+        spark.createDataFrame([(number, b) for b in touched], "batch long, bucket int").coalesce(1).write.mode("append").json(f"{table}/_versions")
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def vacuum(spark: SparkSession, table: str, schema: str, keep: int = 1) -> int:
+    """Remove the files of all but the last ``keep`` versions of each bucket; not while readers or a batch run.  Returns how many went."""
+    names = spark.read.schema("batch long, bucket int").json(f"{table}/_versions").distinct()
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("batch")))
+    old = names.withColumn("place", place).where(F.col("place") > keep).collect()  # as many as were rewritten since the last call
+    root = spark._jvm.org.apache.hadoop.fs.Path(table)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(bool(files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table}/version={r.batch}/bucket={r.bucket}"), True)) for r in old)
+
+
 def landed(spark: SparkSession, path: str, schema: str, stamp: str | None = None, keys: list[str] | None = None, delay: str = "1 day") -> DataFrame:
     """File stream of JSON documents; with ``stamp`` and ``keys``, replayed rows are dropped within the delay."""
     rows = spark.readStream.schema(schema).json(path)
