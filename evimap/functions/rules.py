@@ -87,8 +87,9 @@ def tokens_in(text: Column, tokens: Sequence[str], vetoes: Mapping[str, str] = D
         by_first = ("|".join(quoted(t) for t in sorted((t for t in long if t[0] == c), key=len, reverse=True)) for c in firsts)
         pattern = "(?U)(?=[" + "".join(map(quoted, firsts)) + r"])\b(?=(" + "|".join(f"(?:{x})" for x in by_first) + r")\b)"
         hits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        heads = {t: strings(heads_of(t, long)) for t in long}
-        found.append(F.flatten(F.transform(hits, lambda x: table(heads)[x])) if any(len(heads_of(t, long)) > 1 for t in long) else hits)
+        heads = {t: heads_of(t, long) for t in long}
+        whole = table(heads)
+        found.append(F.flatten(F.transform(hits, lambda x: whole[x])) if any(len(x) > 1 for x in heads.values()) else hits)
     if not found:
         return strings([])
     every = found[0] if len(found) == 1 else F.concat(*found)
@@ -104,12 +105,19 @@ def tokens_in(text: Column, tokens: Sequence[str], vetoes: Mapping[str, str] = D
     return let(ordered, kept)
 
 
+def sql_text(value: str | int | Sequence[str]) -> str:
+    """A constant in the words of SQL: one parsed text is far cheaper to build than a column for each item."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value) if isinstance(value, int) else f"cast(array({', '.join(map(sql_text, value))}) as array<string>)"
+
+
 def strings(values: Iterable[str]) -> Column:
-    return F.array(*(F.lit(x) for x in values)).cast("array<string>")
+    return F.expr(sql_text(list(values)))
 
 
-def table(values: Mapping[str, Column]) -> Column:
-    return F.create_map(*(x for k, v in values.items() for x in (F.lit(k), v)))
+def table(values: Mapping[str, str | int | Sequence[str]]) -> Column:
+    return F.expr(f"map({', '.join(f'{sql_text(k)}, {sql_text(v)}' for k, v in values.items())})")
 
 
 def lowered(token: str) -> str:
@@ -124,7 +132,7 @@ def matches(text: Column, keywords: Sequence[str] = D.KEYWORDS, vetoes: Mapping[
     names.pop("", None)
     if not names:
         return strings([])
-    known = table({t: strings(ks) for t, ks in names.items()})
+    known = table(names)
     return let(ready(text), lambda low: F.flatten(F.transform(tokens_in(low, list(names), vetoes), lambda t: known[t])))
 
 
@@ -137,7 +145,7 @@ def first_rule(text: Column, rules: Sequence[tuple[str, Sequence[str]]], vetoes:
     first.pop("", None)
     if not first:
         return F.lit(None).cast("string")
-    place = table({t: F.lit(i) for t, i in first.items()})
+    place = table(first)
     return F.get(strings(name for name, _ in rules), F.array_min(F.transform(tokens_in(text, list(first), vetoes), lambda t: place[t])))
 
 
@@ -170,8 +178,7 @@ def unit(text: Column, patterns: Sequence[tuple[str, str]] = D.UNITS, change: st
 
 def fallback_unit(found: Column, name: Column, units: Mapping[str, str] = D.CATEGORY_UNITS) -> Column:
     """``found``, or where blank the unit that the category stands for, or ''."""
-    table = F.create_map(*(F.lit(x) for kv in units.items() for x in kv))
-    return F.coalesce(T.blank_to_null(found), table[name], F.lit(""))
+    return F.coalesce(T.blank_to_null(found), table(units)[name], F.lit(""))
 
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from evimap.functions import rules as R
 from evimap.operators import evidence, facets, provenance, quality, resolve
+from evimap.operators.lineage import settle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,34 +26,45 @@ class Names:
     enrollment_type: str = "enrollment_type"
 
 
-@dataclass(frozen=True)
 class Build:
-    studies: DataFrame
-    crosswalk: DataFrame
-    map: DataFrame
-    facets: DataFrame
-    totals: DataFrame
-    quality: DataFrame
-    record: DataFrame
-
-
-def run(base: DataFrame, new: DataFrame, base_mentions: DataFrame, new_mentions: DataFrame, id_ok: Column, label: str = "broad", names: Names | None = None, rules: R.RuleSet | None = None, strategy: Mapping[str, object] | None = None) -> Build:
     """Merge the studies, put the new source's mentions under the ids they got, and derive everything else from the map.
 
-    Mentions are rows of ``evidence.derived_mentions``.  Nothing is computed
-    before a part of the result is; parts that are wanted together are best
-    built on a ``map`` that was written first.
+    Mentions are rows of ``evidence.derived_mentions``.  Each part is made when
+    it is asked for; the map is kept in the shared folder, so the parts that
+    rest on it do not search the texts again.
     """
-    n, rules = names or Names(), rules or R.RuleSet()
-    studies, crosswalk = resolve.merge_sources(base, new, n.key, n.title, n.sources, list(n.fill))
-    found = base_mentions.unionByName(resolve.remap(new_mentions, n.key, crosswalk))
-    wide = evidence.living_map(found, studies, n.key, rules=rules)
-    stats = facets.facet_stats(wide, {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in n.facets}, n.key, F.col("has_placebo_arm"))
-    totals = facets.totals(wide, n.key, "keyword", "normalized_keyword", F.col("has_placebo_arm"), list(rules.adjuncts), F.col(n.sources).isNotNull(), "outcome_type")
-    facts = quality.map_facts(wide, studies, n.key, "normalized_keyword", "normalized_unit", F.col("has_placebo_arm"), id_ok, rules.adjuncts, n.enrollment, n.enrollment_type, {f"facet_{c}": c for c in n.facets})
-    checks = quality.run_checks(facts, quality.map_checks())
-    orphans = quality.no_orphans(evidence.orphan_counts(wide, studies, n.key))
-    version = F.lit(provenance.rule_version([list(map(list, rules.categories)), list(rules.keywords), dict(rules.vetoes), list(map(list, rules.units))]))
-    runs = totals.select(F.lit(label).alias("label"), F.current_timestamp().alias("completed"), "*").withColumn("run_id", F.expr("uuid()"))
-    record = provenance.run_records(runs, "label", "completed", "run_id", list(totals.columns), strategy or {}).withColumn("ontology_version", version)
-    return Build(studies, crosswalk, wide, stats, totals, quality.all_checks([checks, orphans]), record)
+
+    def __init__(self, base: DataFrame, new: DataFrame, base_mentions: DataFrame, new_mentions: DataFrame, id_ok: Column, label: str = "broad", names: Names | None = None, rules: R.RuleSet | None = None, strategy: Mapping[str, object] | None = None) -> None:
+        self.names, self.rules, self.label, self.strategy, self.id_ok = names or Names(), rules or R.RuleSet(), label, strategy or {}, id_ok
+        n = self.names
+        self.studies, self.crosswalk = resolve.merge_sources(base, new, n.key, n.title, n.sources, list(n.fill))
+        self._mentions = base_mentions, new_mentions
+        self._placebo = F.col("has_placebo_arm")
+
+    @cached_property
+    def map(self) -> DataFrame:
+        old, new = self._mentions
+        found = old.unionByName(resolve.remap(new, self.names.key, self.crosswalk))
+        return settle(evidence.living_map(found, self.studies, self.names.key, rules=self.rules))
+
+    @property
+    def facets(self) -> DataFrame:
+        return facets.facet_stats(self.map, {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.names.facets}, self.names.key, self._placebo)
+
+    @property
+    def totals(self) -> DataFrame:
+        return facets.totals(self.map, self.names.key, "keyword", "normalized_keyword", self._placebo, list(self.rules.adjuncts), F.col(self.names.sources).isNotNull(), "outcome_type")
+
+    @property
+    def quality(self) -> DataFrame:
+        n = self.names
+        facts = quality.map_facts(self.map, self.studies, n.key, "normalized_keyword", "normalized_unit", self._placebo, self.id_ok, self.rules.adjuncts, n.enrollment, n.enrollment_type, {f"facet_{c}": c for c in n.facets})
+        orphans = quality.no_orphans(evidence.orphan_counts(self.map, self.studies, n.key))
+        return quality.all_checks([quality.run_checks(facts, quality.map_checks()), orphans])
+
+    @property
+    def record(self) -> DataFrame:
+        r, totals = self.rules, self.totals
+        version = provenance.rule_version([list(map(list, r.categories)), list(r.keywords), dict(r.vetoes), list(map(list, r.units))])
+        runs = totals.select(F.lit(self.label).alias("label"), F.current_timestamp().alias("completed"), "*").withColumn("run_id", F.expr("uuid()"))
+        return provenance.run_records(runs, "label", "completed", "run_id", totals.columns, self.strategy).withColumn("ontology_version", F.lit(version))

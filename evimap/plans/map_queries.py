@@ -105,7 +105,7 @@ def whole_build(spark, d):
     base = docs.where(one).withColumns({"data_sources": F.lit("registry"), "countries": F.when(k % 2 == 0, "").otherwise(F.col("source")), **more}).select(columns)
     new = docs.where(~one).withColumns({"data_sources": F.lit("article"), "countries": F.col("source"), **more}).select(columns)
     again = base.where("nct_id % 4 = 0").withColumns({"brief_title": F.concat(F.lit("update of "), "brief_title"), "data_sources": F.lit("article"), "countries": F.lit("zz")})
-    return build.run(base, new.unionByName(again), found(docs.where(one).select("nct_id", "text")), found(docs.where(~one).select("nct_id", "text")), F.col("nct_id") >= 0, rules=RULES)
+    return build.Build(base, new.unionByName(again), found(docs.where(one).select("nct_id", "text")), found(docs.where(~one).select("nct_id", "text")), F.col("nct_id") >= 0, rules=RULES)
 
 
 @query(f"with {_MERGE} select id nct_id, s data_sources, c countries from studies")
