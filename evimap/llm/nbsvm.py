@@ -2,8 +2,8 @@
 
 Features are indicators of byte n-grams, hashed into ``2**bits`` places.  Each
 is scaled by its class log-count ratio, rows are brought to about unit length
-(``damping`` keeps short texts near the prior), and a squared-hinge linear
-model is fitted by dual coordinate descent.  Besides byte n-grams there is one
+(``damping`` keeps short texts near the prior), and a linear model with the
+hinge loss is fitted by dual coordinate descent.  Besides byte n-grams there is one
 n-gram of words for each length: that many equal words in a row.  A logistic
 curve turns margins into scores.  The fit uses a bounded sample of labelled
 rows (``sample_rows``, in the order of a hash of the key); every row is scored.
@@ -73,23 +73,26 @@ def repeats(data: np.ndarray, offsets: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def descend(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, damping: float, cost: float = 1.0, rounds: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the squared hinge; the bias is one more constant feature."""
+def descend(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, damping: float, cost: float = 1.0, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Dual coordinate descent for the hinge loss, each multiplier between 0 and ``cost``; the bias is one more constant feature."""
     w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
     values = [ratio[x] / float(np.sqrt(damping + np.sum(ratio[x] ** 2))) for x in rows]
-    slack = np.full(len(rows), 1 / (2 * cost))
     sign, rng = np.where(labels > 0, 1.0, -1.0), np.random.default_rng(seed)
-    square = np.array([float(v @ v) for v in values]) + 1.0 + slack
+    square = np.array([float(v @ v) for v in values]) + 1.0
     for _ in range(rounds):
+        moved = 0.0
         for i in rng.permutation(len(rows)):
             x, v, y = rows[i], values[i], sign[i]
-            slope = y * (float(w[x] @ v) + bias) - 1 + slack[i] * alpha[i]
-            new = max(0.0, alpha[i] - slope / square[i])
+            slope = y * (float(w[x] @ v) + bias) - 1
+            new = min(cost, max(0.0, alpha[i] - slope / square[i]))
             if new != alpha[i]:
                 step = (new - alpha[i]) * y
                 w[x] += step * v
                 bias += step
+                moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
+        if moved < 1e-3 * cost:
+            break
     return w, bias
 
 
@@ -106,12 +109,18 @@ def logistic(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple
     return float(beta[0]), float(beta[1])
 
 
-def fit(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, where: Column, sample_rows: int = SAMPLE_ROWS, k: int = GRAM_BYTES, bits: int = BITS) -> Model:
-    """Fit on at most ``sample_rows`` labelled rows that satisfy ``where`` (a condition on ``key``)."""
+def fit(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, where: Column, sample_rows: int = SAMPLE_ROWS, k: int = GRAM_BYTES, bits: int = BITS, folds: int = 2) -> Model:
+    """Fit on at most ``sample_rows`` labelled rows that satisfy ``where`` (a condition on ``key``).
+
+    The score curve is fitted on margins of rows that a fold's own fit has not
+    seen (``folds`` of them), as margins of training rows are too good.
+    """
     H.small_batches(df.sparkSession)
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & where).groupBy(key).agg(F.min(label).alias("y"))
-    chosen = known.orderBy(F.xxhash64(key), key).limit(sample_rows)
-    sample = df.join(F.broadcast(chosen), key).select("y", F.col(text).alias("text"))
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & where).groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_y"))
+    chosen = known.orderBy(F.xxhash64("_key"), "_key").limit(sample_rows)
+    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")  # at most ``sample_rows`` labels
+    # a key that repeats counts with its least text, so keys bound the rows too
+    sample = texts.groupBy("_key", "_y").agg(F.min("_text").alias("_text")).select("_y", "_text")
 
     def run(batches):
         for batch in batches:
@@ -125,15 +134,26 @@ def fit(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, where
     if not len(y) or y.min() == y.max():
         share = min(0.999, max(0.001, float(y.mean()))) if len(y) else 0.5
         return Model(np.zeros(1 << bits), np.zeros(1 << bits), 1.0, 0.0, 0.0, float(np.log(share / (1 - share))))
-    counts = [np.bincount(np.concatenate([x for x, v in zip(rows, y) if v == c]), minlength=1 << bits) + 1.0 for c in (0, 1)]
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    ratio[(counts[0] + counts[1]) < 2.5] = 0.0
-    damping = max(1e-9, DAMPING * float(np.median([np.sum(ratio[x] ** 2) for x in rows])))
-    w, bias = descend(rows, y, ratio, damping)
-    weight = w * ratio
-    margins = np.array([float(weight[x].sum()) / float(np.sqrt(damping + np.sum(ratio[x] ** 2))) + bias for x in rows])
+    def model(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float]:
+        some, marks = [rows[i] for i in own], y[own]
+        counts = [np.bincount(np.concatenate([x for x, v in zip(some, marks) if v == c]), minlength=1 << bits) + 1.0 for c in (0, 1)]
+        ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+        ratio[(counts[0] + counts[1]) < 2.5] = 0.0
+        damping = max(1e-9, DAMPING * float(np.median([np.sum(ratio[x] ** 2) for x in some])))
+        return *descend(some, marks, ratio, damping), ratio, damping
+
+    def margin(x: np.ndarray, w: np.ndarray, bias: float, ratio: np.ndarray, damping: float) -> float:
+        return float(w[x] @ ratio[x]) / float(np.sqrt(damping + np.sum(ratio[x] ** 2))) + bias
+
+    w, bias, ratio, damping = model(np.arange(len(rows)))
+    fold, margins = np.arange(len(rows)) % folds, np.zeros(len(rows))
+    for f in range(folds):
+        other, own = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        whole = len(other) and 0 < y[other].sum() < len(other)
+        parts = model(other) if whole else (w, bias, ratio, damping)
+        margins[own] = [margin(rows[i], *parts) for i in own]
     slope, shift = logistic(margins, y)
-    return Model(weight, ratio, damping, bias, slope, shift)
+    return Model(w * ratio, ratio, damping, bias, max(slope, 0.0), shift)
 
 
 def score(df: DataFrame, text: str, model: Model, k: int = GRAM_BYTES, bits: int = BITS) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from evimap.llm import jaccard_join, language_id, nbsvm, packing, preference, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, unigram_pieces
 
-#: Published vocabulary with byte fallback; not part of the repository.
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: Session setting that names a published vocabulary with byte fallback, and where it is else; not part of the repository.
+PIECES_SETTING, PIECES = "spark.evimap.pieces", "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,18 +43,19 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    known = language_id.fit(docs, "text", "lang", "doc_id", ~fold(5, 0))
+    known = language_id.fit(docs, "text", "lang", "doc_id", F.coalesce(~fold(5, 0), F.lit(True)))
     out = language_id.predict(docs.select("doc_id", "text"), "text", known)
-    return out.select("doc_id", fold(5, 0).alias("held_out"), "lang_pred", "score", "rejected")
+    return out.select("doc_id", F.coalesce(fold(5, 0), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op7_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.half_edits(table(spark, sf_dir, "documents"))
 
 
-def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op8_unigram_pieces(spark: SparkSession, sf_dir: str, pieces: str | None = None) -> DataFrame:
+    pieces = pieces or spark.conf.get(PIECES_SETTING, PIECES)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = unigram_pieces.encoded(docs, "text", unigram_pieces.load(PIECES), with_ids=False)
+    out = unigram_pieces.encoded(docs, "text", unigram_pieces.load(pieces), with_ids=False)
     return out.select("doc_id", "n_pieces", "n_byte_pieces", "ids_sha256", "round_trip")
 
 
@@ -66,7 +67,7 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = nbsvm.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", ~fold(4, 2))
     out = nbsvm.score(docs, "text", model)
-    return out.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fold(4, 2), F.lit(False)).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
 QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}

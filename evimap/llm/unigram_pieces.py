@@ -1,17 +1,20 @@
-"""Encoding to pieces by Viterbi over a double-array trie, with byte fallback, and decoding.
-
-The vocabulary is read from a published SentencePiece file (a parameter); its
-scores are taken as log scores, and the segmentation with the greatest sum
-wins.  A space becomes the marker U+2581, and one is put before the text.
-Characters that no piece covers become byte pieces, at the cost of the least
-score minus 10.  As no piece has a marker after another character, texts fall
-into segments (a run of markers, then other characters) that are solved
-independently; a task solves the distinct segments together, all at once, one
-byte position after the other.
-
-Decoding joins the pieces, turns markers into spaces and drops the first one;
-it gives back any text without U+2581 itself, which comes back as a space.
-Null and empty texts have no pieces.
+"""Encoding to pieces by unigram Viterbi over a double-array trie, with byte fallback, and decoding.
+
+The vocabulary is read from a published SentencePiece file (a parameter).  Its
+pieces have log probabilities, and the segmentation with the greatest sum wins.
+A file of merge ranks has none; there the probability of the piece of rank r is
+taken to fall as 1 / (r + 1), by Zipf's law, and all add up to one.  Nothing is
+trained.  A space becomes the marker U+2581, and one is put before the text.
+Characters that no piece covers, U+2581 itself among them, become byte pieces,
+at the cost of the least log probability minus 10 for each character.  Where no
+piece has a marker after another character (``load`` looks), texts fall into
+segments (a run of markers, then other characters) that are solved
+independently; else a text is one segment.  A task solves the distinct segments
+together, all at once, one byte position after the other.
+
+Decoding joins the pieces, turns markers into spaces and drops the first one; it
+gives back every text.  Null and empty texts have no pieces.  Columns that the
+result adds replace columns of the same name; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -38,10 +41,11 @@ class Vocabulary:
     base: np.ndarray  # by node
     check: np.ndarray  # parent by node, -1 where free
     piece: np.ndarray  # id by node, -1 where none ends
-    score: np.ndarray  # by id
+    score: np.ndarray  # log probability by id
     text: list[bytes]  # by id, spaces for markers
     byte: np.ndarray  # id of each byte's piece
     unknown: float
+    apart: bool  # no piece has a marker after another character
 
 
 def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,8 +107,20 @@ def load(path: str) -> Vocabulary:
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             text[i] = name.replace(MARK, " ").encode()
             plain.append((text[i], i))
-    score = np.array([model.get_score(i) for i in range(n)])
-    return Vocabulary(*double_array(plain), score, text, byte, float(min(score[i] for _, i in plain)) - 10)
+    score = log_probabilities(np.array([model.get_score(i) for i in range(n)]), np.array([i for _, i in plain]))
+    apart = not any(b" " in t.lstrip(b" ") for t, _ in plain)
+    return Vocabulary(*double_array(plain), score, text, byte, float(min(score[i] for _, i in plain)) - 10, apart)
+
+
+def log_probabilities(score: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Scores of a unigram file as they are; whole numbers are merge ranks, turned by Zipf's law (equal ranks share a probability)."""
+    own = score[pieces]
+    if not np.array_equal(own, np.round(own)):
+        return score
+    ranks = np.searchsorted(np.sort(-own), -own)
+    out, chance = np.full(len(score), -np.inf), 1 / (ranks + 1)
+    out[pieces] = np.log(chance / chance.sum())
+    return out
 
 
 def solve(segments: list[bytes], v: Vocabulary) -> list[np.ndarray]:
@@ -167,7 +183,8 @@ def solve(segments: list[bytes], v: Vocabulary) -> list[np.ndarray]:
 def encode(texts: list[str | None], v: Vocabulary, memory: dict) -> list[np.ndarray]:
     pieces, parts = [], []
     for t in texts:
-        parts.append(_SEGMENT.findall(b" " + t.replace(MARK, " ").encode()) if t else [])
+        raw = b" " + t.encode() if t else b""
+        parts.append(_SEGMENT.findall(raw) if v.apart else [raw] * bool(raw))
     new = list({s for p in parts for s in p if s not in memory})
     if len(memory) + len(new) > _REMEMBERED:
         memory.clear()
@@ -195,7 +212,7 @@ def encoded(df: DataFrame, text: str, vocabulary: Vocabulary, with_ids: bool = T
         for batch in batches:
             texts = batch.column(place).to_pylist()
             found = encode(texts, v, memory)
-            whole = [decode(x, v) == (t or "").replace(MARK, " ") for x, t in zip(found, texts)]
+            whole = [decode(x, v) == (t or "") for x, t in zip(found, texts)]
             more = [
                 pa.array([len(x) for x in found], pa.int64()), pa.array([int(is_byte[x].sum()) for x in found], pa.int64()),
                 pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in found], pa.string()), pa.array(whole, pa.bool_()),

@@ -1,7 +1,9 @@
 import hashlib
+import math
 import random
 
 import numpy as np
+import zstandard
 
 from evimap.llm import language_id, nbsvm, packing, preference, scaled_sketch
 from pyspark.sql import functions as F
@@ -57,30 +59,94 @@ def test_quality(spark):
     assert {r.score for r in nbsvm.score(df, "text", none).collect()} == {0.5}
 
 
-def test_sketch_against_brute_force(spark):
+def shingles(text, k=scaled_sketch.SHINGLE_BYTES):
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    return {raw[i : i + k] for i in range(max(1, len(raw) - k + 1))} if raw else set()
+
+
+def containment(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / min(len(a), len(b)) if a and b else float(len(a) == len(b))
+
+
+def test_sketch_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(scaled_sketch, "RANGE_BYTES", 4000)  # many ranges
     rows = documents(60, 4) + ODD
-    got = scaled_sketch.half_edits(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
     items = sorted(((-(1 << 63) if r[0] is None else r[0], r[1] or "", r[0]) for r in rows), key=lambda x: x[:2])
-    want, sketches = {}, {}
+    want = {}
     for (_, text, key), (_, after, _) in zip(items, items[1:] + items[:1]):
         half = len(text) // 2
-        want[key, text] = (len(text), text[: len(text) - half] + after[:half])
-    plain = scaled_sketch.fingerprints(spark.createDataFrame(rows, DOCS), "doc_id", "text").collect()
-    texts = {r[0]: (r[1] or "") for r in rows if r[0] != 7}
-    sketches = {r.doc_id: scaled_sketch.as_hex(np.array(r.sketch)) for r in plain if r.doc_id != 7}
-    assert len(got) == len(rows)
-    seen = set()
-    for r in got:
-        options = {v for (k, t), v in want.items() if k == r.doc_id and (k == 7 or t == texts[k])}
-        assert (r.n_chars, r.edited_sha256) in {(n, hashlib.sha256(e.encode()).hexdigest()) for n, e in options}
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-        assert r.doc_id == 7 or r.fingerprint == sketches[r.doc_id]
-        seen.add(r.fingerprint == "")
+        edited = text[: len(text) - half] + after[:half]
+        want[key, len(text), hashlib.sha256(edited.encode()).hexdigest()] = (round(containment(text, edited), 9), round(containment(text, after), 9))
+    # with every hash kept, likeness is the containment of the shingle sets itself
+    every = scaled_sketch.half_edits(df, fraction=1.0).collect()
+    assert {(r.doc_id, r.n_chars, r.edited_sha256): (round(r.near_edited, 9), round(r.near_next, 9)) for r in every} == want
+    got = scaled_sketch.half_edits(df).collect()
+    assert len(got) == len(every) == len(rows) and {(r.doc_id, r.n_chars, r.edited_sha256) for r in got} == set(want)
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    assert all((r.fingerprint == "") == (r.n_chars == 0) for r in got)
+    exact = [want[r.doc_id, r.n_chars, r.edited_sha256][0] for r in got if r.n_chars > 600]
+    assert abs(np.mean(exact) - np.mean([r.near_edited for r in got if r.n_chars > 600])) < 0.05
+    assert scaled_sketch.half_edits(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_sketches_merge_and_keep_no_hash_above_the_limit(spark):
+    rows = documents(60, 4)
+    short = [(1000 + i, f"{i:02d} short text!"[:13], "en", "s", 0, 0.0) for i in range(40)]
+    plain = scaled_sketch.fingerprints(spark.createDataFrame(rows + short, DOCS), "doc_id", "text").collect()
+    assert all(x <= scaled_sketch.FRACTION * 2**52 for r in plain for x in r.sketch)
+    assert sum(not r.sketch for r in plain if r.doc_id >= 1000) > 20
     merged = scaled_sketch.merge(scaled_sketch.fingerprints(spark.createDataFrame(rows[:4], DOCS), "doc_id", "text").withColumn("g", F.lit(1)), "g").first()
     assert set(merged.sketch) == {x for r in plain if r.doc_id in (0, 1, 2, 3) for x in r.sketch}
-    assert scaled_sketch.half_edits(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_language_against_a_plain_loop(spark):
+    rows = documents(40, 8) + ODD + [(2000, "A B ", "en", "s", 0, 0.0), (2001, "thing the und " * 3000, "en", "s", 0, 0.0)]
+    df = spark.createDataFrame(rows, DOCS)
+    known = language_id.fit(df, "text", "lang", "doc_id", F.lit(True))
+    coders = {n: zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=zstandard.ZstdCompressionDict(b, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_dict_id=False, write_content_size=False) for n, b in known}
+    for r in language_id.predict(df, "text", known).collect():
+        if not any(c.isalpha() for c in r.text or ""):
+            continue
+        raw, size = r.text.lower().encode(), {}
+        for name, coder in coders.items():
+            size[name] = sum(len(coder.compress(raw[i : i + language_id.BLOCK])) for i in range(0, len(raw), language_id.BLOCK))
+        order = sorted(size.values())
+        assert size[r.lang_pred] == order[0] and abs(r.score - (order[1] - order[0]) / order[1]) < 1e-12
+        assert r.rejected == (r.score < language_id.MIN_MARGIN)
+
+
+def test_quality_against_plain_sums(spark):
+    rows = [r for r in documents(80, 3)]
+    labels = spark.createDataFrame([(i, int(i % 5 != 0)) for i in range(80)] * 2, "doc_id long, quality int")
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows + rows[:3]], DOCS + ", y string, _key int")
+    model = nbsvm.fit(df, labels, "doc_id", "text", "quality", F.lit(True))
+
+    def grams(text):
+        raw, words = text.encode(), [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in text.encode().split()]
+        out = {(int.from_bytes(raw[i : i + 3], "big") * 0x9E3779B97F4A7C15 % 2**64) >> (64 - nbsvm.BITS) for i in range(len(raw) - 2)}
+        return sorted(out | {(n * 0xC2B2AE3D27D4EB4F % 2**64) >> (64 - nbsvm.BITS) for n in (2, 3, 4) if any(len(set(words[i : i + n])) == 1 for i in range(len(words) - n + 1))})
+
+    for r in nbsvm.score(df, "text", model).collect():
+        own = grams(r.text)
+        margin = sum(model.weight[p] for p in own) / math.sqrt(model.damping + sum(model.ratio[p] ** 2 for p in own)) + model.bias
+        assert abs(r.score - 1 / (1 + math.exp(-(model.slope * margin + model.shift)))) < 1e-4
+
+
+def test_descent_solves_the_hinge_loss():
+    rng = np.random.default_rng(0)
+    rows = [np.sort(rng.choice(30, 6, replace=False)).astype(np.int32) for _ in range(60)]
+    y, ratio = rng.integers(0, 2, 60), rng.standard_normal(30)
+    w, bias = nbsvm.descend(rows, y, ratio, 0.5, cost=1.0, rounds=400)
+    values = np.zeros((60, 31))
+    for i, x in enumerate(rows):
+        values[i, x] = ratio[x] / np.sqrt(0.5 + np.sum(ratio[x] ** 2))
+    values[:, 30] = 1
+    loss = lambda v: 0.5 * v @ v + np.maximum(0, 1 - np.where(y > 0, 1, -1) * (values @ v)).sum()
+    best = np.append(w, bias)
+    own = loss(best)
+    assert all(loss(best + rng.standard_normal(31) * s) >= own - 2e-2 for s in (0.3, 0.1, 0.03, 0.01) for _ in range(50))
 
 
 def test_best_fit_takes_the_tightest(spark):
