@@ -49,7 +49,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of strings of 200 that occur elsewhere go."""
     docs = docs.select(COLUMNS)
     cut = suffix_dedup.removed(docs, keep_text=True).where("kept is not null").select("k", "thash", "kept").distinct()
-    rows = docs.withColumns({"k": F.coalesce("doc_id", F.lit(suffix_dedup._NO_KEY)), "thash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = docs.withColumns({"k": F.xxhash64("doc_id"), "thash": F.xxhash64(F.coalesce("text", F.lit("")))})
     rows = rows.join(cut, ["k", "thash"], "left").withColumn("text", F.coalesce("kept", "text"))
     return rows.withColumn("n_chars", F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast("long")).select(COLUMNS)
 
