@@ -1,28 +1,12 @@
-"""Connected components by alternating large and small stars, and the shared checkpoint folder."""
+"""Connected components by alternating large and small stars."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from evimap.operators.lineage import settle, shared_folder  # noqa: F401
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint in the session's shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label`` (smallest node of the component) of every node in ``links`` (a, b bigint).
 

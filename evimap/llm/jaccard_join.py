@@ -18,6 +18,8 @@ missed.  Sets are told apart by
 Null, empty and blank texts have no shingles and are alone; a text of fewer
 words than a shingle is one shingle.  Rows that repeat a key are separate rows.
 Null keys sort last: a component's id is its smallest key, null if it has none.
+Keys can be of any type that has an order.  Only the columns named are read, and
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -102,7 +104,8 @@ def sets(df: DataFrame, words: int, share: int, counts: np.ndarray) -> DataFrame
                 ["k", "r", "c", "n", "m", "prefix"],
             )
 
-    return df.mapInArrow(run, "k long, r long, c long, n int, m int, prefix array<bigint>")
+    kind = df.schema["k"].dataType.simpleString()
+    return df.mapInArrow(run, f"k {kind}, r long, c long, n int, m int, prefix array<bigint>")
 
 
 def enough(share: int) -> Column:

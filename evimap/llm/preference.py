@@ -8,16 +8,19 @@ mark of the assistant's turns.  Everything else is masked.
 
 Turns stand in the order of turn, role and text.  Null role and text count as
 empty; a conversation missing on one side has no turns there; equal
-conversations give two empty completions.  Rows with a null pair key are left
-out, as they belong to no pair.
+conversations give two empty completions.  Turns that repeat stand each.  Rows
+with a null pair key are left out, as they belong to no pair.  Only the columns
+named are read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ASSISTANT = "assistant"
+#: Neighbouring keys among which answers are swapped.
+BLOCK = 1024
 
 
 def conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -35,15 +38,16 @@ def joined(turns: Column) -> Column:
 
 
 def spans(turns: Column) -> Column:
-    """Spans of the assistant's turns in the rendered text of ``turns``."""
-    sizes = F.transform(turns, lambda x: F.length(rendered(x)))
+    """Spans of the assistant's turns in the rendered text of ``turns``; one pass with the place reached so far."""
+    start = F.expr("named_struct('at', 0, 'found', cast(array() as array<string>))")
 
-    def span(x: Column, i: Column) -> Column:
-        at = F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda a, b: a + b)
-        own = F.concat_ws("-", (at + F.length(x["role"]) + 5).cast("string"), (at + F.length(rendered(x)) - 1).cast("string"))
-        return F.when(x["role"] == ASSISTANT, own)
+    def step(state: Column, x: Column) -> Column:
+        size = F.length(rendered(x))
+        own = F.concat_ws("-", (state["at"] + F.length(x["role"]) + 5).cast("string"), (state["at"] + size - 1).cast("string"))
+        found = F.when(x["role"] == ASSISTANT, F.array_append(state["found"], own)).otherwise(state["found"])
+        return F.struct((state["at"] + size).alias("at"), found.alias("found"))
 
-    return F.array_join(F.transform(turns, span), ",")
+    return F.array_join(F.aggregate(turns, start, step)["found"], ",")
 
 
 def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -60,12 +64,20 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id
     )
 
 
-def swapped_answers(turns: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
-    """Pairs made from conversations: in the rejected one, the last answer is that of the conversation with the next key (empty if there is none)."""
+def swapped_answers(turns: DataFrame, key: str = "conv_id", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Pairs made from conversations: in the rejected one, the last answer is that of another conversation.
+
+    It is the one with the next key that has an answer, among the keys (whole
+    numbers) of a block of ``block``; the last of a block takes the first's.
+    An answer that is alone in its block gives way to an empty one.
+    """
     chosen = conversations(turns, key)
     back = F.array_position(F.reverse(F.transform("turns", lambda x: x["role"])), ASSISTANT)
     at = chosen.withColumn("at", F.when(back > 0, F.size("turns") - back).cast("int"))
-    answers = at.where("at is not null").select((F.col(key) - 1).alias(key), F.expr("turns[at].text").alias("other"))
+    own = at.where("at is not null").select(key, F.expr("turns[at].text").alias("text"), F.floor(F.col(key) / block).alias("block"))
+    near = Window.partitionBy("block").orderBy(key)
+    following = F.coalesce(F.lead("text").over(near), F.first("text").over(near))
+    answers = own.select(key, F.when(F.count("*").over(Window.partitionBy("block")) > 1, following).otherwise("").alias("other"))
     swap = F.transform("turns", lambda x, i: F.struct(x["turn"].alias("turn"), x["role"].alias("role"), F.when(i == F.col("at"), F.coalesce("other", F.lit(""))).otherwise(x["text"]).alias("text")))
     return chosen, at.join(answers, key, "left").select(key, swap.alias("turns"))
 
@@ -75,9 +87,10 @@ PAIRS_SQL = """
 with t as (select conv_id, row_number() over (partition by conv_id order by turn, role, text) i, role, text
            from (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations where conv_id is not null)),
 last as (select conv_id, max(i) i from t where role = 'assistant' group by conv_id),
-answer as (select t.conv_id, t.text from t join last using (conv_id, i)),
+answer as (select conv_id, case when count(*) over (partition by b) = 1 then '' else coalesce(lead(text) over (partition by b order by conv_id), first_value(text) over (partition by b order by conv_id)) end text
+           from (select t.conv_id, t.text, floor(t.conv_id / 1024) b from t join last using (conv_id, i))),
 sides as (select t.conv_id, t.i, t.role, t.text c, case when last.i is not null then coalesce(answer.text, '') else t.text end r
-         from t left join last on last.conv_id = t.conv_id and last.i = t.i left join answer on answer.conv_id = t.conv_id + 1),
+         from t left join last on last.conv_id = t.conv_id and last.i = t.i left join answer on answer.conv_id = t.conv_id),
 cut as (select conv_id, coalesce(min(i) filter (c <> r), max(i) + 1) - 1 n from sides group by conv_id),
 parts as (select conv_id, i, n, role, '<|' || role || '|>' || chr(10) || c || '<|end|>' || chr(10) c, '<|' || role || '|>' || chr(10) || r || '<|end|>' || chr(10) r from sides join cut using (conv_id)),
 placed as (select *, coalesce(sum(length(c)) filter (i > n) over w, 0) pc, coalesce(sum(length(r)) filter (i > n) over w, 0) pr

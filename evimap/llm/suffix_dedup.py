@@ -34,7 +34,6 @@ from evimap.llm import hashing as H
 
 WINDOW, GRAM = 200, 64
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
-_NO_KEY = -(1 << 63)
 #: Anchors that a task holds before it sends them on.
 _HELD = 2_000_000
 
@@ -159,10 +158,10 @@ def _blocks(spark: SparkSession, size: int) -> int:
 
 
 def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Rows (k, thash, sha, n_bytes, copies) and the repeated windows (k, thash, first, last start)."""
+    """Rows (key, its hash k, thash, sha, n_bytes, copies) and the repeated windows (k, thash, first, last start)."""
     spark = df.sparkSession
     H.small_batches(spark)
-    base = df.select(F.coalesce(F.col(key), F.lit(_NO_KEY)).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    base = df.select(F.col(key).alias("key"), F.xxhash64(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = base.withColumns({"thash": F.xxhash64("text"), "sha": F.sha2("text", 256), "n_bytes": F.octet_length("text").cast("long")})
     long_rows = base.where(F.col("n_bytes") >= window).select("k", "thash", "text")
     groups = base.groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct("k", "thash")).alias("stands"))
@@ -277,7 +276,7 @@ def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int
 
     shape = "block int, k binary, thash binary, p binary, lo binary, hi binary, shared binary, tail binary, size binary, left binary"
     windows = found.mapInArrow(runs, shape).groupBy("block").applyInArrow(merge, "k long, thash long, first long, last long")
-    rows = base.select("k", "thash", "sha", "n_bytes").join(groups.where("copies > 1").select("sha", "copies"), "sha", "left")
+    rows = base.select("key", "k", "thash", "sha", "n_bytes").join(groups.where("copies > 1").select("sha", "copies"), "sha", "left")
     return rows, windows
 
 
@@ -289,7 +288,7 @@ def removed(df: DataFrame, key: str = "doc_id", text: str = "text", window: int
     """
     rows, windows = repeats(df, key, text, window, gram)
     spans = windows.groupBy("k", "thash").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    base = df.select(F.coalesce(F.col(key), F.lit(_NO_KEY)).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    base = df.select(F.col(key).alias("key"), F.xxhash64(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     long_rows = base.withColumns({"thash": F.xxhash64("text"), "n_bytes": F.octet_length("text").cast("long")}).where(F.col("n_bytes") >= window).select("k", "thash", "text")
 
     def cut(batches):
@@ -309,7 +308,7 @@ def removed(df: DataFrame, key: str = "doc_id", text: str = "text", window: int
     gone = (F.coalesce("copies", F.lit(1)) > 1) & (F.col("n_bytes") >= window)
     part = part.groupBy("k", "thash").agg(*(F.min(c).alias(c) for c in ("cut", "spans", "kept_sha", "kept")))
     return rows.join(part, ["k", "thash"], "left").select(
-        F.when(F.col("k") != _NO_KEY, F.col("k")).alias(key), "n_bytes",
+        F.col("key").alias(key), "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("cut", F.lit(0))).cast("long").alias("n_removed"),
         F.when(gone, 1).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.lit(_EMPTY_SHA)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),

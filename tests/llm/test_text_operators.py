@@ -197,3 +197,17 @@ def test_preference_pairs(spark):
     assert one.rejected == "<|assistant|>\nGo away<|end|>\n" and one.rejected_spans == "14-28"
     assert (got[2].chosen, got[2].rejected, got[2].n_prompt_turns) == ("", "", 1)
     assert got[3].rejected == "" and got[3].chosen == "<||>\n<|end|>\n"
+
+
+def test_long_and_repeated_turns(spark):
+    shape = "conv_id long, turn long, role string, text string"
+    turns = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(3000)] + [(5, 0, "user", "q"), (5, 0, "user", "q"), (5, 1, "assistant", "a"), (9, 0, "assistant", "z"), (5000, 0, "assistant", "alone")]
+    df = spark.createDataFrame(turns, shape)
+    got = {r.conv_id: r for r in preference.preference_pairs(*preference.swapped_answers(df)).collect()}
+    assert got[1].n_prompt_turns == 2999 and got[1].rejected == "<|assistant|>\na<|end|>\n" and got[1].rejected_spans == "14-22"
+    assert got[5].n_prompt_turns == 2 and got[5].rejected == "<|assistant|>\nz<|end|>\n" and got[9].rejected.startswith("<|assistant|>\nt2999")
+    assert got[5000].rejected == "<|assistant|>\n<|end|>\n"
+    assert preference.preference_pairs(*preference.swapped_answers(df.limit(0))).collect() == []
+    spans = preference.preference_pairs(*(preference.conversations(x) for x in (df.where("conv_id = 1"), df.where("conv_id = 9")))).first()
+    own = [spans.chosen[int(a) : int(b)] for a, b in (x.split("-") for x in spans.chosen_spans.split(","))]
+    assert own == [f"t{i}<|end|>" for i in range(1, 3000, 2)]
