@@ -256,3 +256,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("k")).alias("component_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"), F.col("r").alias("row_hash"), F.when(F.col("n") > 0, F.col("label")).alias("label"),
     )
+
+
+#: The contract's columns for the table ``documents`` (words of three, 90 of 100): every pair that shares a shingle is counted.
+LINKS_SQL = r"""
+with recursive t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+g as (select doc_id, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end)) s from t),
+c as (select doc_id, s, len(s) n, min(doc_id) over (partition by s) c from g),
+x as (select doc_id c, n, unnest(s) s from c where doc_id = c and n > 0),
+p as (select a.c a, b.c b, any_value(a.n) n, any_value(b.n) m, count(*) k from x a join x b on a.s = b.s and a.c <> b.c group by 1, 2),
+e as (select a, b from p where 100 * k >= 90 * (n + m - k)),
+r as (select c a, c b from x group by 1 union select r.a, e.b from r join e on e.a = r.b),
+l as (select a, min(b) label from r group by 1)
+select doc_id, cast(n as bigint) n_shingles, case when n = 0 then doc_id else label end component_id from c left join l on l.a = c.c
+"""

@@ -25,7 +25,7 @@ def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=90)
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +71,4 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
-ORACLE_SQL: dict[str, str] = {"op1_preference_pairs": preference.PAIRS_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_preference_pairs": preference.PAIRS_SQL, "op2_jaccard_join": jaccard_join.LINKS_SQL, "op5_suffix_dedup": suffix_dedup.REPEATS_SQL}

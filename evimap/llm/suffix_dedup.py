@@ -314,3 +314,20 @@ def removed(df: DataFrame, key: str = "doc_id", text: str = "text", window: int
         F.when(gone, F.lit(_EMPTY_SHA)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
         *([F.col("k"), F.col("thash"), F.when(gone, F.lit("")).otherwise(F.col("kept")).alias("kept")] if keep_text else []),
     )
+
+
+#: The same query for the table ``documents``: the hash of every 200-byte string (as hexadecimal digits) of every text.
+REPEATS_SQL = """
+with t as (select doc_id, row_number() over () r, hex(encode(coalesce(text, ''))) h from documents),
+g as (select r, o, substring(h, 2 * o + 1, 1398) g from (select r, h, unnest(range(0, length(h) // 2, 500)) o from t)),
+w as (select r, o + j p, hash(substring(g, 2 * j + 1, 400)) k from (select r, o, g, unnest(range(0, greatest(0, length(g) // 2 - 199))) j from g)),
+d as (select k from w group by k having count(*) > 1),
+s as (select r, p, coalesce(p > lag(p) over (partition by r order by p) + 200, true) begins from w where k in (select k from d)),
+i as (select r, p, count(*) filter (begins) over (partition by r order by p) run from s),
+b as (select r, min(p) a, max(p) + 200 e from i group by r, run),
+x as (select b.r, a, e, substring(h, 2 * lag(e, 1, 0) over (partition by b.r order by a) + 1, 2 * (a - lag(e, 1, 0) over (partition by b.r order by a))) piece from b join t on t.r = b.r),
+z as (select r, count(*) n_spans, sum(e - a) n_removed, string_agg(piece, '' order by a) kept, max(e) e from x group by r)
+select doc_id, cast(length(h) // 2 as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, coalesce(n_spans, 0) n_spans,
+  sha256(unhex(case when z.r is null then h else kept || substring(h, 2 * e + 1) end)) kept_sha256
+from t left join z on z.r = t.r
+"""

@@ -1,5 +1,9 @@
 """Every query of the subpackage, and the pipeline, on small tables with odd rows and on empty ones."""
 
+import glob
+import os
+
+import duckdb
 import pytest
 
 import corpus_pipeline
@@ -53,3 +57,20 @@ def test_pipeline(spark, tables):
     path, docs = tables
     out = corpus_pipeline.run(spark, path)
     assert {"doc_id", "bin_id"} <= set(out.columns) and (out.count() > 0) == bool(docs)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_against_sql(spark, name):
+    db = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        db.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    rows = queries.QUERIES[name](spark, SF)
+    want = db.sql(queries.ORACLE_SQL[name])
+    columns = sorted(want.columns)
+    assert sorted(rows.columns) == columns
+    place = [want.columns.index(c) for c in columns]
+    assert sorted(tuple(str(r[c]) for c in columns) for r in rows.collect()) == sorted(tuple(str(r[i]) for i in place) for r in want.fetchall())
