@@ -3,28 +3,33 @@
 A text is its words (A-Z lower-cased, split at ASCII white space) and an end
 token.  The tree predicts a word byte by byte and then a space, and the end
 token as one symbol, so the probabilities of all token sequences add up to at
-most one.  Contexts are the last 1 to ``DEPTH`` symbols, across words.  A
-context is kept if its next-symbol distribution differs from that of its
-longest proper suffix: count times divergence must reach ``GAIN`` nats for each
-training symbol (with a floor of ``FLOOR``); suffixes of kept contexts are kept
-too.  Distributions are smoothed by absolute discounting towards the suffix,
-and each symbol is scored in the state of the longest kept suffix.  ``GAIN``
-bounds the tree for any corpus: at each depth gains add up to at most ln 257
-nats a symbol, so fewer than ``DEPTH * ln 257 / GAIN`` contexts can pass.
-
-All counts cover all training texts.  Texts are dealt into chunks of bounded
-size; a chunk sends each distinct word and symbol string once, with its count,
-to the block its hash falls in, and a block answers each chunk with the corpus
-counts of the words it asked for.  Words are told apart by 64-bit hashes.
+most one.  Contexts are the last 1 to ``DEPTH`` symbols, across words.  Contexts
+of up to ``SHORT`` symbols are kept where they were seen.  A longer one is kept
+if its next-symbol distribution differs from that of its longest proper suffix:
+count times divergence must reach ``GAIN`` nats, whatever the size of the
+corpus, so a context that passes is not lost when other text is added and the
+tree grows with the input.  Suffixes of kept contexts are kept too.
+Distributions are smoothed by absolute discounting towards the suffix, and each
+symbol is scored in the state of the longest kept suffix.
+
+All counts cover all training texts.  The tree is a distributed table and never
+stands whole anywhere.  Texts are dealt into chunks of bounded size; a chunk
+sends each distinct word and each distinct string of DEPTH + 1 symbols once,
+with its count, to the block its hash falls in.  Blocks add up, and send the
+strings on to parts by the last SHORT + 1 symbols of their context, where every
+longer context has all its counts.  A part tests, smooths and returns one log
+probability a string; blocks answer the chunks.  Only the counts of SHORT + 1
+symbols (at most 2**24, whatever the input) are sent to every task.  There are
+at most ``MAX_BLOCKS`` blocks, so messages grow with the input and not with its
+square.  Words are told apart by 64-bit hashes.
 
 Null and empty texts have the end token only; null keys belong to training;
 repeated rows are scored, and counted, each.  Without training texts the tree
-is uniform and N = V = 0.
+is uniform and N = V = 0.  Only the two columns named are read.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,17 +40,11 @@ from pyspark.sql import functions as F
 from evimap.llm import hashing as H
 from evimap.llm.components import settle
 
-DEPTH, GAIN, FLOOR, DISCOUNT = 5, 2e-6, 4.0, 0.5
-END, SYMBOLS = 255, 257
-CHUNK_BYTES = 8_000_000
-
-
-@dataclass
-class Tree:
-    short: np.ndarray  # state by the last two symbols
-    keys: np.ndarray  # open-addressing table of the longer contexts
-    states: np.ndarray
-    logs: np.ndarray  # log10 probability by state and symbol
+DEPTH, SHORT, GAIN, DISCOUNT = 7, 2, 12.0, 0.5
+END, SYMBOLS = 255, 256
+CHUNK_BYTES, MAX_BLOCKS, MAX_PARTS = 8_000_000, 32_768, 4096
+#: Blocks in which the counts of short strings are added up.
+SUMS = 16
 
 
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,12 +54,12 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
-def grams(stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Codes of DEPTH context symbols and the next one, for each predicted symbol in order."""
+def grams(stream: np.ndarray, starts: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Codes of ``depth`` context symbols and the next one, for each predicted symbol in order."""
     n = len(stream) - DEPTH
-    code = np.zeros(n, np.uint64)
-    for j in range(DEPTH + 1):
-        code = (code << np.uint64(8)) | stream[j : j + n]
+    code = np.zeros(n, np.uint64 if depth > 3 else np.uint32)
+    for j in range(DEPTH - depth, DEPTH + 1):
+        code = (code << code.dtype.type(8)) | stream[j : j + n]
     keep = np.ones(n, bool)
     inner = starts[1:-1]
     for j in range(DEPTH):
@@ -68,187 +67,220 @@ def grams(stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return code[keep]
 
 
-def kept(codes: np.ndarray, counts: np.ndarray, least: float) -> list[tuple[int, int, bytes, bytes]]:
-    """Contexts to keep among all that end with one symbol: (code, depth, next symbols, counts)."""
-    tables, totals, passed = [], [], []
-    for d in range(1, DEPTH + 1):
-        pair = codes & np.uint64((1 << (8 * d + 8)) - 1)
-        pairs, at = np.unique(pair, return_inverse=True)
+def low(codes: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` symbols of each code."""
+    return codes & np.uint64((1 << (8 * n)) - 1)
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of all parts in order, with their summed counts."""
+    values, at = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+    return values, np.bincount(at, np.concatenate([c for _, c in parts]), len(values)).astype(np.int64)
+
+
+def discounted(count: np.ndarray, kinds: np.ndarray, total: np.ndarray, above: np.ndarray) -> np.ndarray:
+    return np.where(total > 0, (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * above) / np.maximum(total, 1), above)
+
+
+@dataclass
+class Root:
+    """Counts of SHORT + 1 symbols, and the distributions of the contexts of one symbol."""
+
+    codes: np.ndarray
+    counts: np.ndarray
+    total: np.ndarray  # by context of two symbols
+    kinds: np.ndarray
+    one: np.ndarray  # probability by context of one symbol and next
+
+    def look(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Count, count of the context and probability of strings of three symbols."""
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        count = np.where(self.codes[at] == codes, self.counts[at], 0) if len(self.codes) else np.zeros(len(codes), np.int64)
+        context = (codes >> np.uint64(8)).astype(np.int64)
+        total = self.total[context]
+        return count, total, discounted(count, self.kinds[context], total, self.one[(codes & np.uint64(0xFFFF)).astype(np.int64)])
+
+
+def root(codes: np.ndarray, counts: np.ndarray) -> Root:
+    """From the distinct training strings of three symbols, in order."""
+    pairs = np.bincount(low(codes, 2).astype(np.int64), counts, 1 << 16).reshape(256, 256)
+    nexts = pairs.sum(0)
+    none = discounted(nexts, np.count_nonzero(nexts), nexts.sum(), np.full(256, 1 / SYMBOLS))
+    one = discounted(pairs, np.count_nonzero(pairs, 1)[:, None], pairs.sum(1)[:, None], none)
+    context = (codes >> np.uint64(8)).astype(np.int64)
+    return Root(codes, counts, np.bincount(context, counts, 1 << 16).astype(np.int64), np.bincount(context, minlength=1 << 16), one.ravel())
+
+
+def chances(codes: np.ndarray, counts: np.ndarray, short: Root, least: float = GAIN) -> np.ndarray:
+    """Probability of the last symbol of each of these distinct strings in the state of the longest kept context.
+
+    ``codes`` holds every training string whose context ends like one of theirs
+    (SHORT + 1 symbols), and strings of a count of 0 to be scored as well.
+    """
+    above = np.unique(low(codes, SHORT + 1))
+    above_count, above_total, chance = short.look(above)
+    levels = []
+    for d in range(SHORT + 1, DEPTH + 1):
+        pairs, at = np.unique(low(codes, d + 1), return_inverse=True)
         count = np.bincount(at, counts, len(pairs))
         context, of = np.unique(pairs >> np.uint64(8), return_inverse=True)
-        total = np.bincount(of, count, len(context))
-        keep = np.ones(len(context), bool)
-        if d > 1:
-            above, above_count, above_context, above_of = tables[-1]
-            mask = np.uint64((1 << (8 * d)) - 1)
-            where = np.searchsorted(above, pairs & mask)
-            share = above_count[where] / totals[-1][above_of[where]]
-            gain = np.bincount(of, count * np.log(count / total[of] / share), len(context))
-            keep = gain >= least
-        tables.append((pairs, count, context, of)), totals.append(total), passed.append(keep)
-    for d in range(DEPTH, 1, -1):
-        mask = np.uint64((1 << (8 * d - 8)) - 1)
-        passed[d - 2][np.searchsorted(tables[d - 2][2], np.unique(tables[d - 1][2][passed[d - 1]] & mask))] = True
-    out = []
-    for d, ((pairs, count, context, of), keep) in enumerate(zip(tables, passed), 1):
-        first = np.searchsorted(of, np.arange(len(context) + 1))
-        for i in np.flatnonzero(keep).tolist():
-            own = slice(first[i], first[i + 1])
-            out.append((int(context[i]), d, pairs[own].astype(np.uint8).tobytes(), count[own].astype(np.int64).tobytes()))
-    return out
-
-
-def plant(contexts: list[tuple[int, int, bytes, bytes]]) -> Tree:
-    """Smooth from the root down, and lay out the lookup of states."""
-    contexts = sorted(contexts, key=lambda x: (x[1], x[0]))
-    root = np.zeros(SYMBOLS)
-    for _, d, nexts, counts in contexts:
-        if d == 1:
-            np.add.at(root, np.frombuffer(nexts, np.uint8).astype(np.int64), np.frombuffer(counts, np.int64))
-    chance, state = np.zeros((len(contexts) + 1, SYMBOLS)), {(0, 0): 0}
-    uniform = np.full(SYMBOLS, 1 / SYMBOLS)
-    seen = root.sum()
-    chance[0] = (np.maximum(root - DISCOUNT, 0) + DISCOUNT * np.count_nonzero(root) * uniform) / seen if seen else uniform
-    for i, (code, d, nexts, counts) in enumerate(contexts, 1):
-        state[code, d] = i
-        count = np.zeros(SYMBOLS)
-        count[np.frombuffer(nexts, np.uint8)] = np.frombuffer(counts, np.int64)
-        above = chance[state[code & ((1 << (8 * d - 8)) - 1), d - 1]]
-        chance[i] = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * np.count_nonzero(count) * above) / count.sum()
-    short = np.zeros(1 << 16, np.int32)
-    for (code, d), i in state.items():
-        if d == 1:
-            short[code::256] = i
-    size = 1 << max(4, (4 * len(contexts)).bit_length())
-    keys, states = np.zeros(size, np.uint64), np.zeros(size, np.int32)
-    for (code, d), i in state.items():
-        if d == 2:
-            short[code] = i
-        elif d > 2:
-            key = np.uint64(code | d << 56)
-            at = int(slots(np.array([key]), size)[0])
-            while keys[at]:
-                at = (at + 1) % size
-            keys[at], states[at] = key, i
-    return Tree(short, keys, states, np.log10(chance).astype(np.float32))
-
-
-def slots(keys: np.ndarray, size: int) -> np.ndarray:
-    return ((keys * np.uint64(H._BASE)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
-
-
-def log_chances(codes: np.ndarray, tree: Tree) -> np.ndarray:
-    """log10 probability of each predicted symbol in the state of its longest kept context."""
-    state = tree.short[((codes >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)]
-    live, size = np.arange(len(codes)), len(tree.keys)
-    for d in range(3, DEPTH + 1):
-        key = ((codes[live] >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1)) | np.uint64(d << 56)
-        at, open_, found = slots(key, size), np.arange(len(live)), np.zeros(len(live), bool)
-        while len(open_):
-            there = tree.keys[at[open_]]
-            hit = there == key[open_]
-            found[open_[hit]] = True
-            open_ = open_[~hit & (there != 0)]
-            at[open_] = (at[open_] + 1) & (size - 1)
-        live, at = live[found], at[found]
-        state[live] = tree.states[at]
-    return tree.logs[state, (codes & np.uint64(255)).astype(np.int64)]
+        total, kinds = np.bincount(of, count, len(context)), np.bincount(of, count > 0, len(context))
+        where = np.searchsorted(above, low(pairs, d))
+        seen = np.flatnonzero(count)
+        share = above_count[where[seen]] / above_total[where[seen]]
+        gain = np.bincount(of[seen], count[seen] * np.log(count[seen] / total[of[seen]] / share), len(context))
+        levels.append((d, where, context, of, count, total, kinds, gain >= least))
+        above, above_count, above_total = pairs, count, total[of]
+    for (_, _, shorter, *_, keep), (d, _, context, *_, passed) in zip(levels[-2::-1], levels[:0:-1]):
+        keep[np.searchsorted(shorter, np.unique(low(context[passed], d - 1)))] = True
+    for _, where, _, of, count, total, kinds, keep in levels:
+        chance = np.where(keep[of], discounted(count, kinds[of], total[of], chance[where]), chance[where])
+    return chance[at]
 
 
 def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
     """``key``, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; the rows not held out are the training texts."""
     spark = df.sparkSession
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n_chunks = max(1, -(-size // CHUNK_BYTES))
-    n_blocks = max(1, n_chunks // 4)
-    rows = df.select(F.pmod(F.xxhash64(key, text), F.lit(n_chunks)).cast("int").alias("chunk"), F.col(key).alias("k"), F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    H.small_batches(spark)
+    plain = df.select(F.col(key).alias("k"), F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    def ask(table: pa.Table) -> pa.Table:
-        held, out, strings = table["held"].to_numpy(), [], []
-        parts = []
+    def slabs(table):
+        """Rows, raw texts and those of training, word hashes and where each row's begin."""
+        held = table["held"].to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table["held"].to_numpy()
         for lo, hi, data, offsets in H.slabs(table["text"]):
+            raw = data.tobytes()
+            yield lo, hi, [raw[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())], held[lo:hi], data, offsets
+
+    def brief(batches):
+        parts, size = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], 0
+        for batch in batches:
+            for _, _, texts, held, data, _ in slabs(batch):
+                size += len(data)
+                own = [t for t, h in zip(texts, held.tolist()) if not h]
+                if own:
+                    parts = [added([*parts, np.unique(grams(*symbols(own), SHORT), return_counts=True)])]
+        codes, counts = parts[0]
+        block = codes % SUMS
+        for b in range(SUMS):
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([codes[block == b].tobytes()]), pa.array([counts[block == b].tobytes()]), pa.array([0 if b else size], pa.int64())], ["block", "h", "c", "size"])
+
+    def total(table: pa.Table) -> pa.Table:
+        codes, counts = added([(np.frombuffer(h, np.uint32), np.frombuffer(c, np.int64)) for h, c in zip(table["h"].to_pylist(), table["c"].to_pylist())])
+        return pa.table({"h": [codes.tobytes()], "c": [counts.tobytes()], "size": [sum(table["size"].to_pylist())]})
+
+    sums = plain.select("held", "text").mapInArrow(brief, "block int, h binary, c binary, size long").groupBy("block").applyInArrow(total, "h binary, c binary, size long").collect()
+    codes, counts = added([(np.zeros(0, np.uint32), np.zeros(0, np.int64)), *((np.frombuffer(r.h, np.uint32), np.frombuffer(r.c, np.int64)) for r in sums)])
+    nexts = np.bincount(codes & np.uint32(255), counts, 256).astype(np.int64)
+    ends, tokens = int(nexts[END]), int(nexts[END] + nexts[32])
+    n_chunks = max(1, -(-sum(r.size for r in sums) // CHUNK_BYTES))
+    n_blocks = min(max(1, n_chunks // 4), MAX_BLOCKS)
+    n_parts = min(n_blocks, MAX_PARTS)
+    shared = spark.sparkContext.broadcast(root(codes.astype(np.uint64), counts))
+    rows = plain.select(F.pmod(F.xxhash64("k", "text"), F.lit(n_chunks)).cast("int").alias("chunk"), "k", "held", "text")
+
+    def dealt(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Order by block, and where each of the ``n`` blocks begins in it."""
+        block = (H.mix(values) % np.uint64(n)).astype(np.int32)
+        order = np.argsort(block, kind="stable")
+        return order, np.searchsorted(block[order], np.arange(n + 1))
+
+    def packed(out: list[tuple], names: str) -> pa.Table:
+        kinds = {"h": pa.binary(), "c": pa.binary()}
+        return pa.table({c: pa.array([x[i] for x in out], kinds.get(c, pa.int32())) for i, c in enumerate(names.split())})
+
+    def ask(table: pa.Table) -> pa.Table:
+        words, strings, out = [], [], []
+        for lo, hi, texts, held, data, offsets in slabs(table):
             hashes, first = H.word_hashes(data, offsets)
-            train = np.repeat(~held[lo:hi], np.diff(first))
             own, at = np.unique(hashes, return_inverse=True)
-            parts.append((own, np.bincount(at, train, len(own))))
-            raw = data.tobytes()
-            texts = [raw[a:b] for a, b, h in zip(offsets.tolist(), offsets[1:].tolist(), held[lo:hi].tolist()) if not h]
-            if texts:
-                strings.append(np.unique(grams(*symbols(texts)), return_counts=True))
-        chunk = table["chunk"][0].as_py()
-        for kind, found in ((0, parts), (1, strings)):
-            if not found:
-                continue
-            values, at = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([c for _, c in found]), len(values)).astype(np.int32)
-            block = (H.mix(values) % np.uint64(n_blocks)).astype(np.int64)
-            for b in np.unique(block).tolist():
-                own = block == b
-                out.append((kind, b, chunk, values[own].tobytes(), counts[own].tobytes()))
-        return pa.table({c: pa.array([x[i] for x in out], t) for i, (c, t) in enumerate((("kind", pa.int32()), ("block", pa.int32()), ("chunk", pa.int32()), ("h", pa.binary()), ("c", pa.binary())))})
-
-    def answer(table: pa.Table) -> pa.Table:
-        h, c = ([np.frombuffer(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int32)))
-        values, at = np.unique(np.concatenate(h), return_inverse=True)
-        counts = np.bincount(at, np.concatenate(c), len(values)).astype(np.int64)
-        kind, block = table["kind"][0].as_py(), table["block"][0].as_py()
-        if kind:
-            last = ((values >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
-            out = [(kind, block, s, values[last == s].tobytes(), counts[last == s].tobytes(), int(counts[last == s].sum()), 0) for s in np.unique(last).tolist()]
-        else:
-            ends = np.cumsum([len(x) for x in h])
-            out = [(kind, block, n, b"", counts[at[e - len(x) : e]].tobytes(), 0, 0) for n, x, e in zip(table["chunk"].to_pylist(), h, ends.tolist())]
-            out[0] = (*out[0][:5], int(counts.sum()), int((counts > 0).sum()))
-        names = (("kind", pa.int32()), ("block", pa.int32()), ("part", pa.int32()), ("h", pa.binary()), ("c", pa.binary()), ("n", pa.int64()), ("v", pa.int64()))
-        return pa.table({c: pa.array([x[i] for x in out], t) for i, (c, t) in enumerate(names)})
-
-    asked = rows.groupBy("chunk").applyInArrow(ask, "kind int, block int, chunk int, h binary, c binary")
-    known = settle(asked.groupBy("kind", "block").applyInArrow(answer, "kind int, block int, part int, h binary, c binary, n long, v long"))
-    sums = {r.kind: (r.n, r.v) for r in known.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}
-    ends = df.where(~F.coalesce(held_out, F.lit(False))).count()
-    tokens, distinct = sums.get(0, (0, 0))[0] + ends, sums.get(0, (0, 0))[1] + (ends > 0)
-    least = max(FLOOR, GAIN * sums.get(1, (0, 0))[0])
-
-    def choose(table: pa.Table) -> pa.Table:
-        codes, counts = (np.frombuffer(b"".join(table[n].to_pylist()), t) for n, t in (("h", np.uint64), ("c", np.int64)))
-        found = kept(codes, counts, least)
-        return pa.table({c: pa.array([x[i] for x in found], t) for i, (c, t) in enumerate((("code", pa.int64()), ("depth", pa.int32()), ("nexts", pa.binary()), ("counts", pa.binary())))})
-
-    contexts = known.where("kind = 1").groupBy("part").applyInArrow(choose, "code long, depth int, nexts binary, counts binary").collect()
-    shared = spark.sparkContext.broadcast(plant([tuple(r) for r in contexts]))
+            words.append((own, np.bincount(at, np.repeat(~held, np.diff(first)), len(own))))
+            for out_of_fold in (False, True):
+                some = [t for t, h in zip(texts, held.tolist()) if h == out_of_fold]
+                if some:
+                    own, count = np.unique(grams(*symbols(some)), return_counts=True)
+                    strings.append((own, count * (not out_of_fold)))
+        for kind, parts in ((0, words), (1, strings)):
+            values, count = added(parts)
+            order, cut = dealt(values, n_blocks)
+            for b in np.flatnonzero(np.diff(cut)).tolist():
+                own = order[cut[b] : cut[b + 1]]
+                out.append((kind, b, table["chunk"][0].as_py(), values[own].tobytes(), count[own].astype(np.int32).tobytes()))
+        return packed(out, "kind block chunk h c")
+
+    def sent(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        return tuple([np.frombuffer(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int32)))
+
+    def merge(table: pa.Table) -> pa.Table:
+        """Strings of a block with their counts, by part."""
+        out = []
+        if table["kind"][0].as_py():
+            values, count = added(list(zip(*sent(table))))
+            order, cut = dealt(low(values >> np.uint64(8), SHORT + 1), n_parts)
+            for p in np.flatnonzero(np.diff(cut)).tolist():
+                own = order[cut[p] : cut[p + 1]]
+                out.append((1, table["block"][0].as_py(), p, values[own].tobytes(), count[own].tobytes()))
+        return packed(out, "kind block part h c")
+
+    def tree(table: pa.Table) -> pa.Table:
+        """Log probabilities of a part's strings, back by block."""
+        h, c = ([np.frombuffer(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int64)))
+        codes, at = np.unique(np.concatenate(h), return_inverse=True)  # each string comes from one block
+        logs = np.log10(chances(codes, np.bincount(at, np.concatenate(c), len(codes)), shared.value)).astype(np.float32)[at]
+        ends_ = np.cumsum([len(x) for x in h])
+        return packed([(1, b, x.tobytes(), logs[e - len(x) : e].tobytes()) for b, x, e in zip(table["block"].to_pylist(), h, ends_.tolist())], "kind block h c")
+
+    def answer(table: pa.Table, logs: pa.Table) -> pa.Table:
+        """What each chunk asked a block for: counts of words, or log probabilities of strings."""
+        out = []
+        if table.num_rows:
+            h, c = sent(table)
+            if table["kind"][0].as_py():
+                codes, found = (np.concatenate([np.frombuffer(x, t) for x in logs[n].to_pylist()]) for n, t in (("h", np.uint64), ("c", np.float32)))
+                order = np.argsort(codes)
+                codes, found = codes[order], found[order]
+            else:
+                codes, found = added(list(zip(h, c)))
+            out = [(table["kind"][0].as_py(), table["block"][0].as_py(), n, found[np.searchsorted(codes, x)].tobytes()) for n, x in zip(table["chunk"].to_pylist(), h)]
+        return packed(out, "kind block chunk c")
+
+    def distinct(table: pa.Table) -> pa.Table:
+        """How many words of a block are in training texts."""
+        known = 0 if table["kind"][0].as_py() else np.count_nonzero(added(list(zip(*sent(table))))[1])
+        return pa.table({"v": pa.array([known], pa.int64())})
 
     def grade(table: pa.Table, answers: pa.Table) -> pa.Table:
-        tree, n = shared.value, table.num_rows
-        parts, score, slabs = [], np.zeros(n), []
-        for lo, hi, data, offsets in H.slabs(table["text"]):
+        n, parts = table.num_rows, []
+        for lo, hi, texts, _, data, offsets in slabs(table):
             hashes, first = H.word_hashes(data, offsets)
-            slabs.append((lo, hi, hashes, first))
-            parts.append(np.unique(hashes))
-            raw = data.tobytes()
-            stream, starts = symbols([raw[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())])
-            logs = log_chances(grams(stream, starts), tree).astype(np.float64)
-            score[lo:hi] = np.add.reduceat(logs, starts[:-1] - DEPTH * np.arange(hi - lo))
-        values = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-        block, counts = (H.mix(values) % np.uint64(n_blocks)).astype(np.int64), np.zeros(len(values), np.int64)
-        for b, c in zip(answers["block"].to_pylist(), answers["c"].to_pylist()):
-            counts[block == b] = np.frombuffer(c, np.int64)
-        base, words, hits = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for lo, hi, hashes, first in slabs:
-            own = counts[np.searchsorted(values, hashes)]
-            for out, value in ((base, np.log10((own + 1) / (tokens + distinct + 1))), (hits, own > 0)):
-                run = np.concatenate([[0], np.cumsum(value)])
-                out[lo:hi] = run[first[1:]] - run[first[:-1]]
-            words[lo:hi] = np.diff(first)
+            stream, starts = symbols(texts)
+            code = grams(stream, starts)
+            parts.append((lo, hi, [(*np.unique(hashes, return_inverse=True), first), (*np.unique(code, return_inverse=True), starts - DEPTH * np.arange(hi - lo + 1))]))
+        kinds, sums = answers["kind"].to_numpy(), {}
+        for kind, dtype in ((0, np.int64), (1, np.float32)):
+            values = np.unique(np.concatenate([p[kind][0] for _, _, p in parts])) if parts else np.zeros(0, np.uint64)
+            order, cut = dealt(values, n_blocks)
+            found, own = np.zeros(len(values), dtype), answers.filter(pa.array(kinds == kind))
+            for b, c in zip(own["block"].to_pylist(), own["c"].to_pylist()):
+                found[order[cut[b] : cut[b + 1]]] = np.frombuffer(c, dtype)
+            for name, value in (("base", np.log10(found + 1.0)), ("known", found > 0)) if kind == 0 else (("score", found.astype(np.float64)),):
+                sums[name] = np.zeros(n)
+                for lo, hi, p in parts:
+                    mine, at, first = p[kind]
+                    run = np.concatenate([[0.0], np.cumsum(value[np.searchsorted(values, mine)][at])])
+                    sums[name][lo:hi] = run[first[1:]] - run[first[:-1]]
+        words = np.concatenate([np.diff(p[0][2]) for _, _, p in parts]) if parts else np.zeros(0, np.int64)
         return pa.table({
-            "k": table["k"], "held_out": table["held"], "n_tokens": words + 1, "n_known": hits + int(ends > 0), "train_tokens": np.full(n, tokens, np.int64),
-            "base_score": base + math.log10((ends + 1) / (tokens + distinct + 1)), "score": score,
+            "k": table["k"], "held_out": table["held"], "n_tokens": words + 1, "n_known": sums["known"].astype(np.int64) + int(ends > 0),
+            "seen": sums["base"] + np.log10(ends + 1), "score": sums["score"],
         })
 
+    shape = "kind int, block int, chunk int, h binary, c binary"
+    asked = settle(rows.groupBy("chunk").applyInArrow(ask, shape)).groupBy("kind", "block")
+    merged = asked.applyInArrow(merge, "kind int, block int, part int, h binary, c binary")
+    logs = merged.groupBy("part").applyInArrow(tree, "kind int, block int, h binary, c binary")
+    told = asked.cogroup(logs.groupBy("kind", "block")).applyInArrow(answer, "kind int, block int, chunk int, c binary")
+    known = (asked.applyInArrow(distinct, "v long").agg(F.sum("v")).first()[0] or 0) + int(ends > 0)
     kind = df.schema[key].dataType.simpleString()
-    told = known.where("kind = 0").select(F.col("part").alias("chunk"), "block", "c")
-    shape = f"k {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-    def both(table: pa.Table, answers: pa.Table) -> pa.Table:
-        return grade(table, answers) if table.num_rows else grade(table.slice(0, 0), answers.slice(0, 0))
-
-    return rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(both, shape).withColumnRenamed("k", key)
+    graded = rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(grade, f"k {kind}, held_out boolean, n_tokens long, n_known long, seen double, score double")
+    base = F.col("seen") - F.col("n_tokens") * F.lit(float(np.log10(tokens + known + 1)))
+    return graded.select(F.col("k").alias(key), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

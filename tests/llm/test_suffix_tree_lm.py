@@ -42,17 +42,12 @@ def test_baseline_and_gain(spark):
     assert all(r.score < 0 for r in got)
 
 
-def test_tree_against_a_plain_one():
-    rng = random.Random(2)
-    texts = [" ".join(rng.choice(["ab", "abc", "ba", "c"]) for _ in range(30)).encode() for _ in range(40)]
-    codes, counts = np.unique(L.grams(*L.symbols(texts)), return_counts=True)
-    contexts = []
-    for s in np.unique((codes >> np.uint64(8)) & np.uint64(255)):
-        own = ((codes >> np.uint64(8)) & np.uint64(255)) == s
-        contexts += L.kept(codes[own], counts[own], 5.0)
+def plain_chances(train, texts, least):
+    """log10 probability of every symbol of ``texts``, from a tree of dictionaries."""
+    lead = bytes([L.END]) * L.DEPTH
+    line = lambda t: lead + b" ".join([*t.split(), b""]) + lead[:1]
     table = {}
-    for t in texts:
-        s = bytes([L.END]) * L.DEPTH + b" ".join([*t.split(), b""]) + bytes([L.END])
+    for s in map(line, train):
         for i in range(L.DEPTH, len(s)):
             for d in range(L.DEPTH + 1):
                 table.setdefault(s[i - d : i], Counter())[s[i]] += 1
@@ -61,26 +56,64 @@ def test_tree_against_a_plain_one():
         own, above = table[c], table[c[1:]]
         return sum(k * math.log(k / sum(own.values()) / (above[x] / sum(above.values()))) for x, k in own.items())
 
-    keep = {c for c in table if len(c) == 1 or len(c) > 1 and gain(c) >= 5.0}
+    keep = {c for c in table if len(c) <= L.SHORT or gain(c) >= least}
     keep |= {c[i:] for c in keep for i in range(len(c))} | {b""}
-    assert {(c.to_bytes(d, "big")) for c, d, _, _ in contexts} == keep - {b""}
 
     def chance(c, x):
-        own = table[c]
-        above = chance(c[1:], x) if c else 1 / L.SYMBOLS
-        return (max(own[x] - L.DISCOUNT, 0) + L.DISCOUNT * len(own) * above) / sum(own.values())
-
-    new = [b"abc ba c", b"zab", b""]
-    stream, starts = L.symbols(new)
-    logs = L.log_chances(L.grams(stream, starts), L.plant(contexts))
-    want = []
-    for t in new:
-        s = bytes([L.END]) * L.DEPTH + b" ".join([*t.split(), b""]) + bytes([L.END])
+        own, above = table.get(c, Counter()), chance(c[1:], x) if c else 1 / L.SYMBOLS
+        return (max(own[x] - L.DISCOUNT, 0) + L.DISCOUNT * len(own) * above) / sum(own.values()) if own else above
+
+    out = []
+    for s in map(line, texts):
         for i in range(L.DEPTH, len(s)):
-            state = next(s[i - d : i] for d in range(L.DEPTH, -1, -1) if s[i - d : i] in keep)
-            want.append(math.log10(chance(state, s[i])))
-    assert np.allclose(logs, want, atol=1e-4)
-    assert abs((10.0 ** L.plant(contexts).logs).sum(1) - 1).max() < 1e-3
+            out.append(math.log10(chance(next(s[i - d : i] for d in range(L.DEPTH, -1, -1) if s[i - d : i] in keep), s[i])))
+    return out, keep
+
+
+def some_texts(n):
+    rng = random.Random(2)
+    return [" ".join(rng.choice(["ab", "abc", "ba", "c", "abcabc"]) for _ in range(30)).encode() for _ in range(n)]
+
+
+def test_tree_against_a_plain_one():
+    train, new = some_texts(60), [b"abc ba c", b"zab", b"", b"abcabc abcabc ab"]
+    codes, counts = np.unique(L.grams(*L.symbols(train)), return_counts=True)
+    asked = np.unique(L.grams(*L.symbols(new)))
+    codes, counts = L.added([(codes, counts), (asked, np.zeros(len(asked)))])
+    short = L.root(*(x.astype(t) for x, t in zip(np.unique(L.grams(*L.symbols(train), L.SHORT), return_counts=True), (np.uint64, np.int64))))
+    for least in (5.0, 0.0, 1e9):
+        found = np.log10(L.chances(codes, counts, short, least))
+        want, keep = plain_chances(train, new, least)
+        assert np.allclose(found[np.searchsorted(codes, L.grams(*L.symbols(new)))], want, atol=1e-6)
+    _, keep = plain_chances(train, new, 5.0)
+    assert max(map(len, keep)) > L.SHORT
+
+
+def test_probabilities_add_up():
+    codes, counts = np.unique(L.grams(*L.symbols(some_texts(60))), return_counts=True)
+    short = L.root(*(x.astype(t) for x, t in zip(np.unique(L.grams(*L.symbols(some_texts(60)), L.SHORT), return_counts=True), (np.uint64, np.int64))))
+    for context in (int(codes[len(codes) // 2]) >> 8, 0x61626361626361, 0x7A7A7A7A7A7A7A):
+        every = np.arange(256, dtype=np.uint64) | np.uint64(context << 8)
+        all_codes, all_counts = L.added([(codes, counts), (every, np.zeros(256))])
+        assert math.isclose(L.chances(all_codes, all_counts, short)[np.searchsorted(all_codes, every)].sum(), 1, rel_tol=1e-9)
+
+
+def test_score_of_rows(spark, monkeypatch):
+    """Whole query over several chunks and blocks, against the plain tree."""
+    monkeypatch.setattr(L, "CHUNK_BYTES", 600)
+    train, new = some_texts(60), [b"abc ba c", b"zab", b"", b"abcabc abcabc ab", "\u00c9t\u00e9".encode()]
+    rows = [(i, t.decode(), "t") for i, t in enumerate(train)] + [(100 + i, t.decode(), "h") for i, t in enumerate(new)]
+    got = {r.doc_id: r.score for r in L.score(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", F.col("score") == "h").collect()}
+    for i, t in enumerate(new):
+        assert math.isclose(got[100 + i], sum(plain_chances(train, [t], L.GAIN)[0]), rel_tol=1e-5)
+
+
+def test_added_text_keeps_contexts():
+    """A context that passes still passes when other text is added: the threshold does not grow."""
+    other = [bytes(random.Random(i).choices(b"mnopqrstuvwxyz ", k=300)) for i in range(60)]
+    held = [b"abcabc abc abcabc"]
+    both = sum(plain_chances(some_texts(60) + other, held, L.GAIN)[0])
+    assert both > sum(plain_chances(some_texts(60), held, L.GAIN)[0]) - 1
 
 
 def test_nothing_to_learn_from(spark):
