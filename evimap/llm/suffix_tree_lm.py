@@ -38,7 +38,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evimap.llm import hashing as H
-from evimap.llm.components import settle
 
 DEPTH, SHORT, GAIN, DISCOUNT = 7, 2, 12.0, 0.5
 END, SYMBOLS = 255, 256
@@ -82,6 +81,20 @@ def discounted(count: np.ndarray, kinds: np.ndarray, total: np.ndarray, above: n
     return np.where(total > 0, (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * above) / np.maximum(total, 1), above)
 
 
+def shut(x: np.ndarray, near: bool = False) -> bytes:
+    """An array as compressed bytes, those of one place together; ``near``: as differences of neighbours."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if near else x
+    raw = x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def opened(raw: bytes, kind: type, near: bool = False) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    places = np.frombuffer(pa.decompress(raw[8:], size, codec="zstd", asbytes=True), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    x = np.ascontiguousarray(places.T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if near else x
+
+
 @dataclass
 class Root:
     """Counts of SHORT + 1 symbols, and the distributions of the contexts of one symbol."""
@@ -204,11 +217,12 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
             order, cut = dealt(values, n_blocks)
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 own = order[cut[b] : cut[b + 1]]
-                out.append((kind, b, table["chunk"][0].as_py(), values[own].tobytes(), count[own].astype(np.int32).tobytes()))
+                out.append((kind, b, table["chunk"][0].as_py(), shut(values[own], not kind), shut(count[own].astype(np.int32))))
         return packed(out, "kind block chunk h c")
 
     def sent(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        return tuple([np.frombuffer(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int32)))
+        near = not table["kind"][0].as_py()
+        return [opened(x, np.uint64, near) for x in table["h"].to_pylist()], [opened(x, np.int32) for x in table["c"].to_pylist()]
 
     def merge(table: pa.Table) -> pa.Table:
         """Strings of a block with their counts, by part."""
@@ -218,29 +232,29 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
             order, cut = dealt(low(values >> np.uint64(8), SHORT + 1), n_parts)
             for p in np.flatnonzero(np.diff(cut)).tolist():
                 own = order[cut[p] : cut[p + 1]]
-                out.append((1, table["block"][0].as_py(), p, values[own].tobytes(), count[own].tobytes()))
+                out.append((1, table["block"][0].as_py(), p, shut(values[own]), shut(count[own])))
         return packed(out, "kind block part h c")
 
     def tree(table: pa.Table) -> pa.Table:
         """Log probabilities of a part's strings, back by block."""
-        h, c = ([np.frombuffer(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int64)))
+        h, c = ([opened(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int64)))
         codes, at = np.unique(np.concatenate(h), return_inverse=True)  # each string comes from one block
         logs = np.log10(chances(codes, np.bincount(at, np.concatenate(c), len(codes)), shared.value)).astype(np.float32)[at]
         ends_ = np.cumsum([len(x) for x in h])
-        return packed([(1, b, x.tobytes(), logs[e - len(x) : e].tobytes()) for b, x, e in zip(table["block"].to_pylist(), h, ends_.tolist())], "kind block h c")
+        return packed([(1, b, p, shut(logs[e - len(x) : e])) for b, p, x, e in zip(table["block"].to_pylist(), table["part"].to_pylist(), h, ends_.tolist())], "kind block part c")
 
     def answer(table: pa.Table, logs: pa.Table) -> pa.Table:
         """What each chunk asked a block for: counts of words, or log probabilities of strings."""
         out = []
         if table.num_rows:
             h, c = sent(table)
+            values, found = added(list(zip(h, c)))
             if table["kind"][0].as_py():
-                codes, found = (np.concatenate([np.frombuffer(x, t) for x in logs[n].to_pylist()]) for n, t in (("h", np.uint64), ("c", np.float32)))
-                order = np.argsort(codes)
-                codes, found = codes[order], found[order]
-            else:
-                codes, found = added(list(zip(h, c)))
-            out = [(table["kind"][0].as_py(), table["block"][0].as_py(), n, found[np.searchsorted(codes, x)].tobytes()) for n, x in zip(table["chunk"].to_pylist(), h)]
+                order, cut = dealt(low(values >> np.uint64(8), SHORT + 1), n_parts)
+                found = np.zeros(len(values), np.float32)
+                for p, x in zip(logs["part"].to_pylist(), logs["c"].to_pylist()):
+                    found[order[cut[p] : cut[p + 1]]] = opened(x, np.float32)
+            out = [(table["kind"][0].as_py(), table["block"][0].as_py(), n, shut(found[np.searchsorted(values, x)])) for n, x in zip(table["chunk"].to_pylist(), h)]
         return packed(out, "kind block chunk c")
 
     def distinct(table: pa.Table) -> pa.Table:
@@ -261,7 +275,7 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
             order, cut = dealt(values, n_blocks)
             found, own = np.zeros(len(values), dtype), answers.filter(pa.array(kinds == kind))
             for b, c in zip(own["block"].to_pylist(), own["c"].to_pylist()):
-                found[order[cut[b] : cut[b + 1]]] = np.frombuffer(c, dtype)
+                found[order[cut[b] : cut[b + 1]]] = opened(c, dtype)
             for name, value in (("base", np.log10(found + 1.0)), ("known", found > 0)) if kind == 0 else (("score", found.astype(np.float64)),):
                 sums[name] = np.zeros(n)
                 for lo, hi, p in parts:
@@ -275,12 +289,13 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
         })
 
     shape = "kind int, block int, chunk int, h binary, c binary"
-    asked = settle(rows.groupBy("chunk").applyInArrow(ask, shape)).groupBy("kind", "block")
+    # One plan without a stop: the exchanges of texts and of what the chunks ask are used by several consumers.
+    asked = rows.groupBy("chunk").applyInArrow(ask, shape).groupBy("kind", "block")
     merged = asked.applyInArrow(merge, "kind int, block int, part int, h binary, c binary")
-    logs = merged.groupBy("part").applyInArrow(tree, "kind int, block int, h binary, c binary")
+    logs = merged.groupBy("part").applyInArrow(tree, "kind int, block int, part int, c binary")
     told = asked.cogroup(logs.groupBy("kind", "block")).applyInArrow(answer, "kind int, block int, chunk int, c binary")
-    known = (asked.applyInArrow(distinct, "v long").agg(F.sum("v")).first()[0] or 0) + int(ends > 0)
     kind = df.schema[key].dataType.simpleString()
     graded = rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(grade, f"k {kind}, held_out boolean, n_tokens long, n_known long, seen double, score double")
-    base = F.col("seen") - F.col("n_tokens") * F.lit(float(np.log10(tokens + known + 1)))
+    known = F.coalesce(asked.applyInArrow(distinct, "v long").agg(F.sum("v")).scalar(), F.lit(0)) + int(ends > 0)
+    base = F.col("seen") - F.col("n_tokens") * F.log10(known + (tokens + 1))
     return graded.select(F.col("k").alias(key), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
