@@ -18,7 +18,7 @@ sends each distinct word and each distinct string of DEPTH + 1 symbols once,
 with its count, to the block its hash falls in.  Blocks add up, and send the
 strings on to parts by the last SHORT + 1 symbols of their context, where every
 longer context has all its counts.  A part tests, smooths and returns one log
-probability a string; blocks answer the chunks.  Only the counts of SHORT + 1
+probability a string (in steps of 1 / ``STEP``); blocks answer the chunks.  Only the counts of SHORT + 1
 symbols (at most 2**24, whatever the input) are sent to every task.  There are
 at most ``MAX_BLOCKS`` blocks, so messages grow with the input and not with its
 square.  Words are told apart by 64-bit hashes.
@@ -39,7 +39,9 @@ from pyspark.sql import functions as F
 
 from evimap.llm import hashing as H
 
-DEPTH, SHORT, GAIN, DISCOUNT = 7, 2, 12.0, 0.5
+DEPTH, SHORT, GAIN, DISCOUNT = 6, 2, 12.0, 0.5
+#: Log10 probabilities are rounded down to multiples of 1 / STEP, so that sums do not pass one (but for 16 decades at most).
+STEP = 2048
 END, SYMBOLS = 255, 256
 CHUNK_BYTES, MAX_BLOCKS, MAX_PARTS = 8_000_000, 32_768, 4096
 #: Blocks in which the counts of short strings are added up.
@@ -151,6 +153,11 @@ def chances(codes: np.ndarray, counts: np.ndarray, short: Root, least: float = G
     return chance[at]
 
 
+def steps(chance: np.ndarray) -> np.ndarray:
+    """Minus log10 of probabilities in whole steps, rounded up; 16 decades at most."""
+    return np.ceil(np.minimum(-np.log10(chance), 15.9) * STEP - 1e-6).astype(np.int16)
+
+
 def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
     """``key``, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; the rows not held out are the training texts."""
     spark = df.sparkSession
@@ -186,7 +193,7 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
     nexts = np.bincount(codes & np.uint32(255), counts, 256).astype(np.int64)
     ends, tokens = int(nexts[END]), int(nexts[END] + nexts[32])
     n_chunks = max(1, -(-sum(r.size for r in sums) // CHUNK_BYTES))
-    n_blocks = min(max(1, n_chunks // 4), MAX_BLOCKS)
+    n_blocks = min(max(1, n_chunks // 2), MAX_BLOCKS)
     n_parts = min(n_blocks, MAX_PARTS)
     shared = spark.sparkContext.broadcast(root(codes.astype(np.uint64), counts))
     rows = plain.select(F.pmod(F.xxhash64("k", "text"), F.lit(n_chunks)).cast("int").alias("chunk"), "k", "held", "text")
@@ -239,7 +246,7 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
         """Log probabilities of a part's strings, back by block."""
         h, c = ([opened(x, t) for x in table[n].to_pylist()] for n, t in (("h", np.uint64), ("c", np.int64)))
         codes, at = np.unique(np.concatenate(h), return_inverse=True)  # each string comes from one block
-        logs = np.log10(chances(codes, np.bincount(at, np.concatenate(c), len(codes)), shared.value)).astype(np.float32)[at]
+        logs = steps(chances(codes, np.bincount(at, np.concatenate(c), len(codes)), shared.value))[at]
         ends_ = np.cumsum([len(x) for x in h])
         return packed([(1, b, p, shut(logs[e - len(x) : e])) for b, p, x, e in zip(table["block"].to_pylist(), table["part"].to_pylist(), h, ends_.tolist())], "kind block part c")
 
@@ -251,9 +258,9 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
             values, found = added(list(zip(h, c)))
             if table["kind"][0].as_py():
                 order, cut = dealt(low(values >> np.uint64(8), SHORT + 1), n_parts)
-                found = np.zeros(len(values), np.float32)
+                found = np.zeros(len(values), np.int16)
                 for p, x in zip(logs["part"].to_pylist(), logs["c"].to_pylist()):
-                    found[order[cut[p] : cut[p + 1]]] = opened(x, np.float32)
+                    found[order[cut[p] : cut[p + 1]]] = opened(x, np.int16)
             out = [(table["kind"][0].as_py(), table["block"][0].as_py(), n, shut(found[np.searchsorted(values, x)])) for n, x in zip(table["chunk"].to_pylist(), h)]
         return packed(out, "kind block chunk c")
 
@@ -270,13 +277,13 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
             code = grams(stream, starts)
             parts.append((lo, hi, [(*np.unique(hashes, return_inverse=True), first), (*np.unique(code, return_inverse=True), starts - DEPTH * np.arange(hi - lo + 1))]))
         kinds, sums = answers["kind"].to_numpy(), {}
-        for kind, dtype in ((0, np.int64), (1, np.float32)):
+        for kind, dtype in ((0, np.int64), (1, np.int16)):
             values = np.unique(np.concatenate([p[kind][0] for _, _, p in parts])) if parts else np.zeros(0, np.uint64)
             order, cut = dealt(values, n_blocks)
             found, own = np.zeros(len(values), dtype), answers.filter(pa.array(kinds == kind))
             for b, c in zip(own["block"].to_pylist(), own["c"].to_pylist()):
                 found[order[cut[b] : cut[b + 1]]] = opened(c, dtype)
-            for name, value in (("base", np.log10(found + 1.0)), ("known", found > 0)) if kind == 0 else (("score", found.astype(np.float64)),):
+            for name, value in (("base", np.log10(found + 1.0)), ("known", found > 0)) if kind == 0 else (("score", found / -STEP),):
                 sums[name] = np.zeros(n)
                 for lo, hi, p in parts:
                     mine, at, first = p[kind]
