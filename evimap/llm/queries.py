@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evimap.llm import jaccard_join, language_id, nbsvm, packing, preference, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, unigram_pieces
+from evimap.llm import jaccard_join, language_id, nbsvm, packing, preference, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, token_alignment, unigram_pieces
 
 #: Session setting that names a published vocabulary with byte fallback, and where it is else; not part of the repository.
 PIECES_SETTING, PIECES = "spark.evimap.pieces", "/opt/tokenizers/piece_bpe_32k.model"
+#: The same for a byte-level BPE.
+BYTES_SETTING, BYTES = "spark.evimap.byte_bpe", "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,5 +74,10 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold(4, 2), F.lit(False)).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality)}
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (Path(spark.conf.get(*names)).read_bytes() for names in ((BYTES_SETTING, BYTES), (PIECES_SETTING, PIECES)))
+    return token_alignment.linked(table(spark, sf_dir, "documents"), "doc_id", "text", a, b)
+
+
+QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality, op13_token_alignment)}
 ORACLE_SQL: dict[str, str] = {"op1_preference_pairs": preference.PAIRS_SQL, "op2_jaccard_join": jaccard_join.LINKS_SQL, "op5_suffix_dedup": suffix_dedup.REPEATS_SQL}
