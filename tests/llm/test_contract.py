@@ -15,6 +15,7 @@ COLUMNS = {
     "op4_suffix_tree_lm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"}, "op5_suffix_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
     "op6_language_id": {"doc_id", "held_out", "lang_pred", "score"}, "op7_scaled_sketch": {"doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"},
     "op8_unigram_pieces": {"doc_id", "n_pieces"}, "op9_projection_search": {"query_id", "rank", "vec_id", "score"}, "op10_nbsvm_quality": {"doc_id", "held_out", "score", "predicted"},
+    "op12_embedding_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
     "op13_token_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
 }
 
