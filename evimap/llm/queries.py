@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evimap.llm import jaccard_join, language_id, nbsvm, packing, preference, projection_search, scaled_sketch, suffix_dedup, suffix_tree_lm, token_alignment, unigram_pieces, whitening
+from evimap.llm import jaccard_join, language_id, nbsvm, packing, preference, projection_search, quality_rules, scaled_sketch, suffix_dedup, suffix_tree_lm, token_alignment, unigram_pieces, whitening
 
 #: Session setting that names a published vocabulary with byte fallback, and where it is else; not part of the repository.
 PIECES_SETTING, PIECES = "spark.evimap.pieces", "/opt/tokenizers/piece_bpe_32k.model"
@@ -74,6 +74,11 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold(4, 2), F.lit(False)).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judged(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", table(spark, sf_dir, "labels"), "quality")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
@@ -83,5 +88,5 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.linked(table(spark, sf_dir, "documents"), "doc_id", "text", a, b)
 
 
-QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality, op12_embedding_whitening, op13_token_alignment)}
-ORACLE_SQL: dict[str, str] = {"op1_preference_pairs": preference.PAIRS_SQL, "op2_jaccard_join": jaccard_join.LINKS_SQL, "op5_suffix_dedup": suffix_dedup.REPEATS_SQL}
+QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality, op11_quality_rules, op12_embedding_whitening, op13_token_alignment)}
+ORACLE_SQL: dict[str, str] = {"op1_preference_pairs": preference.PAIRS_SQL, "op2_jaccard_join": jaccard_join.LINKS_SQL, "op5_suffix_dedup": suffix_dedup.REPEATS_SQL, "op11_quality_rules": quality_rules.RULES_SQL}

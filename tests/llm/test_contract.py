@@ -15,6 +15,7 @@ COLUMNS = {
     "op4_suffix_tree_lm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"}, "op5_suffix_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
     "op6_language_id": {"doc_id", "held_out", "lang_pred", "score"}, "op7_scaled_sketch": {"doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"},
     "op8_unigram_pieces": {"doc_id", "n_pieces"}, "op9_projection_search": {"query_id", "rank", "vec_id", "score"}, "op10_nbsvm_quality": {"doc_id", "held_out", "score", "predicted"},
+    "op11_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
     "op12_embedding_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
     "op13_token_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
 }
@@ -47,7 +48,7 @@ def test_query(spark, tables, name):
     assert COLUMNS[name] <= set(rows.columns)
     if not docs:
         assert got == []
-    elif name in ("op2_jaccard_join", "op4_suffix_tree_lm", "op5_suffix_dedup", "op6_language_id", "op7_scaled_sketch", "op8_unigram_pieces", "op10_nbsvm_quality", "op13_token_alignment"):
+    elif name in ("op2_jaccard_join", "op4_suffix_tree_lm", "op5_suffix_dedup", "op6_language_id", "op7_scaled_sketch", "op8_unigram_pieces", "op10_nbsvm_quality", "op11_quality_rules", "op13_token_alignment"):
         assert sorted(str(r.doc_id) for r in got) == sorted(str(d[0]) for d in docs)
     elif name == "op9_projection_search":
         assert len(got) == 3 * 20
