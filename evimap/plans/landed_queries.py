@@ -100,7 +100,7 @@ def study_counts(spark, d):
 
 
 def article_documents(spark, d):
-    """Parts as article XML; every seventh has no numeric id."""
+    """Parts as article XML; every seventh has no numeric id.  Titles and abstracts hold signs of comparison and inline tags, written as [i]."""
     p = table(spark, d, "part")
     k = F.col("p_partkey")
     heading = lambda name, ui, major, *qualifiers: F.struct(F.struct(name.alias("_VALUE"), F.lit(ui).alias("_UI"), F.lit(major).alias("_MajorTopicYN")).alias("DescriptorName"), F.array(*(F.struct(F.lit(q).alias("_VALUE"), F.lit(u).alias("_UI"), F.lit(m).alias("_MajorTopicYN")) for q, u, m in qualifiers)).cast("array<struct<_VALUE: string, _UI: string, _MajorTopicYN: string>>").alias("QualifierName"))
@@ -109,27 +109,26 @@ def article_documents(spark, d):
     date = F.struct(F.when(k % 3 > 0, year).alias("Year"), F.when(k % 3 == 2, "Mar").alias("Month"), F.lit(None).cast("string").alias("Day"), F.when(k % 3 == 0, F.concat(year, F.lit(" Spring"))).alias("MedlineDate"))
     bank = F.when(k % 2 == 0, F.array(F.struct(F.lit("registry").alias("DataBankName"), F.struct(F.array(F.lit("bad"), nct("p_partkey"), F.lit("NCT99999999")).alias("AccessionNumber")).alias("AccessionNumberList"))))
     article = F.struct(
-        F.concat(F.col("p_name"), F.lit("  and MAP")).alias("ArticleTitle"), F.struct(F.array(part("AIM", F.concat(F.lit("To see "), F.col("p_brand"), F.lit("."))), part("RESULTS", F.lit("Lactate & SOFA < 3."))).alias("AbstractText")).alias("Abstract"),
+        F.concat(F.col("p_name"), F.lit("  and MAP < 65 mmHg, [i]HR[/i] > 100 & [sub]x[/sub]p<.05 or &lt;")).alias("ArticleTitle"), F.struct(F.array(part("AIM", F.concat(F.lit("To see "), F.col("p_brand"), F.lit("."))), part("RESULTS", F.lit("Lactate & SOFA < 3, > 1 [b]in <b>old</b> [i]and[/i] new[/b] 4>2<3."))).alias("AbstractText")).alias("Abstract"),
         F.struct(F.col("p_type").alias("Title"), F.struct(date.alias("PubDate")).alias("JournalIssue")).alias("Journal"), F.struct(bank.alias("DataBank")).alias("DataBankList"),
     )
     ids = F.array(F.struct(s("p_partkey").alias("_VALUE"), F.lit("pubmed").alias("_IdType")), F.struct(F.concat(F.lit("10.1/"), s("p_partkey")).alias("_VALUE"), F.lit("doi").alias("_IdType")), F.struct(F.lit("10.1/second").alias("_VALUE"), F.lit("doi").alias("_IdType")), F.struct(F.concat(F.lit("PMC"), s("p_partkey")).alias("_VALUE"), F.lit("pmc").alias("_IdType")))
     mesh = F.array(heading(F.col("p_brand"), "D1", "Y"), heading(F.lit("Shock"), "D2", "N", ("therapy", "Q1", "Y"), ("blood", "Q2", "N")))
     cite = F.struct(F.when(k % 7 == 0, F.concat(F.lit("x"), s("p_partkey"))).otherwise(s("p_partkey")).alias("PMID"), article.alias("Article"), F.struct(mesh.alias("MeshHeading")).alias("MeshHeadingList"))
     path = staged(spark, "articles")
-    p.select(cite.alias("MedlineCitation"), F.struct(F.struct(ids.alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData")).write.format("xml").option("rootTag", "PubmedArticleSet").option("rowTag", "PubmedArticle").save(path)
+    record = F.to_xml(F.struct(cite.alias("MedlineCitation"), F.struct(F.struct(ids.alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData")), {"rowTag": "PubmedArticle"})
+    p.select(F.regexp_replace(record, r"\[(/?(?:i|b|sub))\]", "<$1>")).write.text(path)
     return landing.read_articles(spark, path)
 
 
-_ARTICLES = f"""a as (select p_partkey k, cast(p_partkey as varchar) pmid, p_name || ' and MAP' title, 'AIM: To see ' || p_brand || '. RESULTS: Lactate & SOFA < 3.' abstract, p_type journal, cast(1990 + p_partkey % 30 as varchar) || case p_partkey % 3 when 0 then ' Spring' when 2 then '-03' else '' end pub_date,
+_ARTICLES = f"""a as (select p_partkey k, cast(p_partkey as varchar) pmid, p_name || ' and MAP < 65 mmHg, HR > 100 & xp<.05 or &lt;' title, 'AIM: To see ' || p_brand || '. RESULTS: Lactate & SOFA < 3, > 1 in <b>old</b> and new 4>2<3.' abstract, p_type journal, cast(1990 + p_partkey % 30 as varchar) || case p_partkey % 3 when 0 then ' Spring' when 2 then '-03' else '' end pub_date,
 '10.1/' || p_partkey doi, 'PMC' || p_partkey pmcid, case when p_partkey % 2 = 0 then {_NCT.format('p_partkey')} || ';NCT99999999' else '' end nct_ids, p_brand || ';Shock' mesh_terms, case when p_partkey % 2 = 0 then {_NCT.format('p_partkey')} else 'PMID:' || p_partkey end study from part where p_partkey % 7 <> 0)"""
 
 
 @query(f"with {_ARTICLES} select * exclude (k, study) from a")
 def landed_articles(spark, d):
     rows = landing.articles(article_documents(spark, d))
-    # text with markup signs comes back escaped, as it stands in the file
-    plain = F.replace(F.replace(F.col("abstract"), F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
-    return rows.withColumns({"abstract": plain, "nct_ids": F.array_join("nct_ids", ";"), "mesh_terms": F.array_join("mesh_terms", ";")})
+    return rows.withColumns({"nct_ids": F.array_join("nct_ids", ";"), "mesh_terms": F.array_join("mesh_terms", ";")})
 
 
 @query(f"with {_ARTICLES} select study nct_id, 'PMID:' || pmid trial_id, title brief_title, pub_date start_date, mesh_terms conditions, 'PubMed' source_registry from a")
@@ -138,7 +137,7 @@ def landed_article_studies(spark, d):
     return rows.select("nct_id", "trial_id", "brief_title", "start_date", F.array_join("conditions", ";").alias("conditions"), "source_registry")
 
 
-@query(f"with {_ARTICLES} select study nct_id, 'inferred' outcome_type, title measure, unnest(['MAP', 'lactate', 'SOFA']) keyword from a")
+@query(f"with {_ARTICLES} select study nct_id, 'inferred' outcome_type, title measure, unnest(['MAP', 'HR', 'lactate', 'SOFA']) keyword from a")
 def landed_article_mentions(spark, d):
     return landing.article_mentions(landing.articles(article_documents(spark, d))).drop("matched_text")
 

@@ -105,24 +105,45 @@ def outcome_mentions(found: DataFrame, keywords=D.KEYWORDS) -> DataFrame:
     return found.withColumn("keyword", F.explode(R.matches(text, keywords))).withColumn("matched_text", F.substring(text, 1, 500)).drop("time_frame", "description", "place")
 
 
+# References to the three signs that would pass for markup once the parser has decoded them.
+_SIGNS = {"<": "&(?:lt|#0*60|#x0*3[cC]);", ">": "&(?:gt|#0*62|#x0*3[eE]);", "&": "&(?:amp|#0*38|#x0*26);"}
+_END = "</PubmedArticle>"
+
+
+def _decoded(c: Column) -> Column:
+    for sign, pattern in _SIGNS.items():
+        c = F.regexp_replace(c, pattern, sign)
+    return c
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "PubmedArticle").schema(ARTICLE_SCHEMA).load(path)
+    """Article records of XML files, which are split between records as lines are.
+
+    The XML parser decodes references inside mixed content, where ``&lt;`` and a
+    tag then look the same; so the three signs stay escaped here, in every
+    field, and ``articles`` and ``article_mesh`` decode them after the tags are gone.
+    """
+    text = spark.read.option("lineSep", _END).text(path)
+    record = F.regexp_substr("value", F.lit(r"(?s)<PubmedArticle(?=[\s>]).*"))
+    kept = F.regexp_replace(F.concat(record, F.lit(_END)), f"&(?={'|'.join(x[1:] for x in _SIGNS.values())})", "&amp;")
+    return text.select(F.from_xml(kept, ARTICLE_SCHEMA).alias("x")).where("x is not null").select("x.*")
 
 
 def articles(docs: DataFrame) -> DataFrame:
     """pmid, title, abstract, journal, pub_date, doi, pmcid, nct_ids, mesh_terms; articles without a numeric id are dropped.
 
-    Title and abstract come as raw markup, so text around inline tags is kept;
+    Title and abstract are the text of their nodes in order: inline tags go, the
+    text around and inside them stays, and so do the signs < > & of the text;
     labelled abstract parts read ``LABEL: text``.
     """
     c = F.col("MedlineCitation")
     a, date = c["Article"], c["Article"]["Journal"]["JournalIssue"]["PubDate"]
-    plain = lambda x: T.normal_space(F.regexp_replace(F.coalesce(x, F.lit("")), r"<[^>]*>", ""))
+    plain = lambda x: T.normal_space(_decoded(F.regexp_replace(F.coalesce(x, F.lit("")), r"<[^>]*>", "")))
     labelled = F.regexp_replace(F.coalesce(a["Abstract"], F.lit("")), r'<AbstractText[^>]*Label="([^"]*)"[^>]*>', " $1: ")
     ids = F.coalesce(F.col("PubmedData.ArticleIdList.ArticleId"), F.array().cast("array<struct<_VALUE: string, _IdType: string>>"))
-    of = lambda k: F.coalesce(F.try_element_at(F.filter(ids, lambda x: x["_IdType"] == k), F.lit(1))["_VALUE"], F.lit(""))
+    of = lambda k: _decoded(F.coalesce(F.try_element_at(F.filter(ids, lambda x: x["_IdType"] == k), F.lit(1))["_VALUE"], F.lit("")))
     banks = F.coalesce(F.flatten(F.transform(a["DataBankList"]["DataBank"], lambda b: b["AccessionNumberList"]["AccessionNumber"])), F.array().cast("array<string>"))
-    mesh = F.transform(c["MeshHeadingList"]["MeshHeading"], lambda m: m["DescriptorName"]["_VALUE"])
+    mesh = F.transform(c["MeshHeadingList"]["MeshHeading"], lambda m: _decoded(m["DescriptorName"]["_VALUE"]))
     out = docs.select(
         F.trim(c["PMID"]).alias("pmid"), plain(a["ArticleTitle"]).alias("title"), plain(F.regexp_replace(labelled, "</AbstractText>", " ")).alias("abstract"), plain(a["Journal"]["Title"]).alias("journal"),
         T.partial_date(date["Year"], date["Month"], date["Day"], date["MedlineDate"]).alias("pub_date"), of("doi").alias("doi"), of("pmc").alias("pmcid"),
@@ -152,7 +173,7 @@ def article_mesh(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.trim("MedlineCitation.PMID").alias("pmid"), F.explode("MedlineCitation.MeshHeadingList.MeshHeading").alias("m"))
     rows = rows.select("pmid", F.col("m.DescriptorName").alias("d"), F.explode_outer("m.QualifierName").alias("q"))
     major = F.coalesce(F.col("q._MajorTopicYN"), F.col("d._MajorTopicYN")) == "Y"
-    return rows.select("pmid", F.coalesce("d._UI", F.lit("")).alias("descriptor_ui"), F.col("d._VALUE").alias("descriptor_name"), F.coalesce("q._UI", F.lit("")).alias("qualifier_ui"), F.coalesce("q._VALUE", F.lit("")).alias("qualifier_name"), F.coalesce(major, F.lit(False)).cast("int").alias("is_major_topic"))
+    return rows.select("pmid", F.coalesce("d._UI", F.lit("")).alias("descriptor_ui"), _decoded(F.col("d._VALUE")).alias("descriptor_name"), F.coalesce("q._UI", F.lit("")).alias("qualifier_ui"), _decoded(F.coalesce("q._VALUE", F.lit(""))).alias("qualifier_name"), F.coalesce(major, F.lit(False)).cast("int").alias("is_major_topic"))
 
 
 def europmc_publications(docs: DataFrame) -> DataFrame:

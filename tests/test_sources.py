@@ -45,6 +45,21 @@ def test_articles(spark, tmp_path):
     assert [(r.qualifier_ui, r.is_major_topic) for r in mesh] == [("Q1", 1), ("Q2", 0)] and landing.article_mesh(docs).count() == 14
 
 
+def test_signs_in_article_text(spark, tmp_path):
+    text = "<i>MAP</i> &lt; 65 mmHg and <sup>1</sup>HR &gt; 100 &amp; lactate &#60;b&#x3E; &amp;lt; &#946; a&lt;b&gt;c"
+    want = "MAP < 65 mmHg and 1HR > 100 & lactate <b> &lt; β a<b>c"
+    one = f"<PubmedArticle Status='x'>\n<MedlineCitation><PMID Version='1'>%s</PMID><Article><Journal><Title>A &amp; B</Title></Journal><ArticleTitle>{text}</ArticleTitle><Abstract><AbstractText Label='X &lt; Y'>{text}</AbstractText><AbstractText>{text}\n</AbstractText></Abstract></Article><MeshHeadingList><MeshHeading><DescriptorName UI='D1' MajorTopicYN='Y'>p &lt; q</DescriptorName></MeshHeading></MeshHeadingList></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType='doi'>10.1/a&lt;1::b&gt;3</ArticleId></ArticleIdList></PubmedData></PubmedArticle>\n"
+    (tmp_path / "a.xml").write_text(f"<?xml version='1.0'?>\n<PubmedArticleSet>\n{one % 1}{one % 2}</PubmedArticleSet>\n", encoding="utf-8")
+    (tmp_path / "b.xml").write_text(f"<PubmedArticleSet>{one % 3}</PubmedArticleSet>", encoding="utf-8")
+    docs = landing.read_articles(spark, str(tmp_path))
+    rows = landing.articles(docs)
+    got = rows.orderBy("pmid").collect()
+    assert [r.pmid for r in got] == ["1", "2", "3"]
+    assert all((r.title, r.abstract, r.journal, r.doi, r.mesh_terms) == (want, f"X < Y: {want} {want}", "A & B", "10.1/a<1::b>3", ["p < q"]) for r in got)
+    assert {r.keyword for r in landing.article_mentions(rows).collect()} == {"MAP", "HR", "lactate"} - ({"HR"} if "1HR" in want else set())
+    assert landing.article_mesh(docs).first().descriptor_name == "p < q"
+
+
 def test_secondary_landings(spark):
     read = lambda doc, schema: spark.createDataFrame([(json.dumps(doc),)], "j string").select(F.from_json("j", schema).alias("x")).select("x.*")
     alex = read({"results": [{"doi": "https://doi.org/10.1/a", "cited_by_count": 3, "referenced_works_count": 2}, {"doi": None}]}, "results array<struct<doi: string, cited_by_count: int, referenced_works_count: int>>")
