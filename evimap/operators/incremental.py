@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from evimap.operators.dedup import last_per_key, one_per_key, top_per_key
+from evimap.operators.dedup import last_per_key, top_per_key
+from evimap.operators.greedy import first_by_keys, placed
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +37,26 @@ def replace_children(base: DataFrame | None, delta: DataFrame | None, parents: D
 
 
 def insert_ignore(base: DataFrame, delta: DataFrame, unique: list[list[str]], order: list[str]) -> DataFrame:
-    """First wins on each unique key; a null in a key never collides."""
+    """Base rows, then the delta rows that insertion one after the other in ``order`` keeps.
+
+    A row is ignored if the base or a row kept before it has its value of any
+    unique key; an ignored row stands in nobody's way, and a null in a key never
+    collides.  Rows that tie in ``order`` come in the order of their values.
+    """
+    keys = {f"_key{i}": F.when(_whole(k), F.struct(*k)) for i, k in enumerate(unique)}
     new = delta
-    for keys in unique:
-        there = F.lit(True)
-        for k in keys:
-            there &= F.col(k).isNotNull()
-        kept = one_per_key(new.where(there), keys, *(F.col(c) for c in order))
-        new = kept.join(keyed(base, keys).select(keys).distinct(), keys, "left_anti").select(delta.columns).unionByName(new.where(~there))
-    return _aligned(base, new)
+    for k in unique:
+        new = new.join(base.where(_whole(k)).select(k).distinct(), k, "left_anti").select(delta.columns)
+    new = placed(new, [*(F.col(c) for c in order), *(F.col(c) for c in sorted(delta.columns) if c not in order)], "_place")
+    kept = first_by_keys(new.withColumns(keys).select("_place", *keys), "_place", list(keys))
+    return _aligned(base, new.join(kept, "_place", "left_semi").select(delta.columns))
+
+
+def _whole(keys: list[str]) -> Column:
+    there = F.lit(True)
+    for k in keys:
+        there &= F.col(k).isNotNull()
+    return there
 
 
 def cursor(log: DataFrame, completed: str, sequence: str, status: str = "status") -> DataFrame:

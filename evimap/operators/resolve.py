@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from evimap.functions import text as T
 from evimap.operators.dedup import one_per_key
+from evimap.operators.greedy import first_by_links
 from evimap.operators.lineage import settle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,55 +25,104 @@ def exact_title_matches(left: DataFrame, right: DataFrame, key_l: str, key_r: st
     return a.join(b.groupBy("t").agg(F.min("right_id").alias("right_id")), "t").select("left_id", "right_id")
 
 
-def title_pairs(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float, shared_half: bool = True) -> DataFrame:
-    """Pairs of distinct titles by the Jaccard similarity of their words of four letters or more.
+def titles(df: DataFrame, key: str, title: str) -> DataFrame:
+    """Distinct titles that have words of four letters or more, under their smallest id: title, id, w (in order), n (length)."""
+    own = df.groupBy(F.lower(T.normal_space(F.col(title))).alias("title")).agg(F.min(key).alias("id"))
+    return own.withColumns({"w": F.array_sort(T.title_words(F.col("title"))), "n": F.length("title")}).where(F.size("w") > 0)
 
-    Works on distinct titles under their smallest id, so copies are compared
-    once.  Words are ordered by how many titles have them, rarest first; titles
-    of n words that are alike enough share one of the first n - ceil(j n) + 1, so
-    only these meet in the join, and common words meet hardly ever.  A title
-    counts as sharing enough from max(2, half of the left title's words) words on.
-    """
 
-    def titles(df: DataFrame, key: str, title: str) -> DataFrame:
-        own = df.groupBy(F.lower(T.normal_space(F.col(title))).alias("title")).agg(F.min(key).alias("id"))
-        return own.withColumn("w", T.title_words(F.col("title"))).where(F.size("w") > 0)
+def word_set_pairs(a: DataFrame, b: DataFrame, least_jaccard: float, shared_half: bool = True) -> DataFrame:
+    """Pairs of distinct word sets of the titles of ``a`` and ``b`` that are alike enough: w_l, w_r, jaccard, apart (words of one side only).
+
+    Titles of one word set meet once, however many they are.  Words are ordered
+    by how many sets have them, rarest first; sets of n words that are alike
+    enough share one of the first n - ceil(j n) + 1, so only these meet in the
+    join, and common words meet hardly ever.  A set counts as sharing enough
+    from max(2, half of the left set's words) words on.
+    """
+    sets = [x.groupBy("w").agg(F.min("id").alias("set")) for x in (a, b)]
+    frequency = sets[0].select(F.explode("w").alias("x")).unionByName(sets[1].select(F.explode("w").alias("x"))).groupBy("x").agg(F.count("*").alias("f"))
 
-    def prefixes(rows: DataFrame, x: str) -> DataFrame:
-        ranked = rows.select("id", F.explode("w").alias("w"), F.size("w").alias("n")).join(frequency, "w")
-        sets = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("s"))
+    def prefixes(rows: DataFrame, side: str) -> DataFrame:
+        ranked = rows.select("set", F.explode("w").alias("x"), F.size("w").alias("n")).join(frequency, "x")
+        own = ranked.groupBy("set", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("s"))
         first = F.col("n") - F.ceil(F.lit(least_jaccard) * F.col("n") - 1e-9) + 1
-        return sets.select(F.col("id").alias(f"id_{x}"), F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("p")).select(f"id_{x}", F.col("p.w").alias("w"))
+        return own.select(F.col("set").alias(side), F.explode(F.slice("s", F.lit(1), first.cast("int"))).alias("p")).select(side, F.col("p.x").alias("x"))
+
+    pairs = prefixes(sets[0], "l").join(prefixes(sets[1], "r"), "x").select("l", "r").distinct()
+    pairs = pairs.join(sets[0].select(F.col("set").alias("l"), F.col("w").alias("w_l")), "l").join(sets[1].select(F.col("set").alias("r"), F.col("w").alias("w_r")), "r")
+    return _alike(pairs, least_jaccard, shared_half).select("w_l", "w_r", "jaccard", "apart")
+
+
+def _alike(pairs: DataFrame, least_jaccard: float, shared_half: bool) -> DataFrame:
+    shared, n_l, n_r = F.size(F.array_intersect("w_l", "w_r")), F.size("w_l"), F.size("w_r")
+    enough = shared >= F.greatest(F.lit(2), F.floor(n_l / 2)) if shared_half else F.lit(True)
+    return pairs.where(enough).withColumns({"jaccard": shared / (n_l + n_r - shared), "apart": n_l + n_r - 2 * shared}).where(F.col("jaccard") >= least_jaccard)
+
+
+def _sided(x: DataFrame, side: str) -> DataFrame:
+    return x.select(*(F.col(c).alias(f"{c}_{side}") for c in ("title", "id", "w", "n")))
+
+
+def _measured(pairs: DataFrame, floor: Column) -> DataFrame:
+    """Pairs of titles with an edit similarity of at least ``floor``; the distance stops where it cannot be."""
+    longest = F.greatest("n_l", "n_r")
+    limit = F.floor((1 - floor) * longest + 1e-9).cast("int")
+    # one edit changes three words at most: two that it joins, and the one they become
+    pairs = pairs.withColumns({"longest": longest, "limit": limit}).where((F.abs(F.col("n_l") - F.col("n_r")) <= F.col("limit")) & (F.col("apart") <= 3 * F.col("limit")))
+    return pairs.withColumn("d", F.expr("levenshtein(title_l, title_r, `limit`)")).where("d >= 0").withColumn("similarity", 1 - F.col("d") / F.col("longest")).drop("longest", "limit", "d")
+
 
-    a, b = titles(left, key_l, title_l), titles(right, key_r, title_r)
-    frequency = a.select(F.explode("w").alias("w")).unionByName(b.select(F.explode("w").alias("w"))).groupBy("w").agg(F.count("*").alias("f"))
-    pairs = prefixes(a, "l").join(prefixes(b, "r"), "w").select("id_l", "id_r").distinct()
-    named = lambda df, x: df.select(F.col("id").alias(f"id_{x}"), F.col("title").alias(f"title_{x}"), F.col("w").alias(f"w_{x}"))
-    both = pairs.join(named(a, "l"), "id_l").join(named(b, "r"), "id_r").withColumn("shared", F.size(F.array_intersect("w_l", "w_r")))
-    n_l, n_r = F.size("w_l"), F.size("w_r")
-    enough = F.col("shared") >= F.greatest(F.lit(2), F.floor(n_l / 2)) if shared_half else F.lit(True)
-    both = both.withColumn("jaccard", F.col("shared") / (n_l + n_r - F.col("shared")))
-    return both.where(enough & (F.col("jaccard") >= least_jaccard)).drop("w_l", "w_r", "shared")
+#: Titles of at most so many characters are looked up by what is left without one of them.
+SHORT = 64
+
+
+def one_edit_pairs(a: DataFrame, b: DataFrame, least_jaccard: float, shared_half: bool) -> DataFrame:
+    """Pairs of short titles at an edit distance of 1, which meet in what is left of both without one character."""
+
+    def rests(x: DataFrame, side: str, longest: int) -> DataFrame:
+        less = F.transform(F.sequence(F.lit(1), F.col(f"n_{side}")), lambda i: F.concat(F.substring(f"title_{side}", F.lit(1), i - 1), F.substring(f"title_{side}", i + 1, F.col(f"n_{side}"))))
+        return _sided(x, side).where(F.col(f"n_{side}") <= longest).withColumn("rest", F.explode(F.array_distinct(F.concat(F.array(f"title_{side}"), less))))
+
+    pairs = rests(a, "l", SHORT).join(rests(b, "r", SHORT + 1), "rest").drop("rest").where("title_l <> title_r and levenshtein(title_l, title_r, 1) = 1")
+    return _alike(pairs, least_jaccard, shared_half).distinct().withColumn("similarity", 1 - 1 / F.greatest("n_l", "n_r"))
+
+
+def best_titles(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float, shared_half: bool, least_similarity: float = 0.0) -> DataFrame:
+    """left_id, right_id, similarity: the most similar right title for each left row, ties to the smaller right id.
+
+    Pairs that cannot win are not made.  A left title with an equal on the right
+    is done; so is one with a neighbour at one edit (two edits can only be more
+    similar on a title twice as long, which is more edits away).  The others first
+    measure one title of the word set that is most like theirs, and then
+    meet only titles that can be more similar than that by their lengths and words.
+    """
+    a, b = titles(left, key_l, title_l), settle(titles(right, key_r, title_r))
+    result = lambda x: x.select("title_l", F.col("id_r").alias("right_id"), "similarity")
+    equal = _alike(_sided(a, "l").join(_sided(b, "r"), F.col("title_l") == F.col("title_r")), least_jaccard, shared_half).withColumn("similarity", F.lit(1.0))
+    equal = settle(result(equal))
+    rest = settle(a.join(equal.select(F.col("title_l").alias("title")), "title", "left_anti"))
+    near = settle(result(one_edit_pairs(rest, b, least_jaccard, shared_half).where(F.col("similarity") >= least_similarity)))
+    rest = rest.join(near.select(F.col("title_l").alias("title")), "title", "left_anti")
+    sets = settle(word_set_pairs(rest, b, least_jaccard, shared_half))
+    ours, theirs = _sided(rest, "l"), _sided(b, "r")
+    pilot = sets.groupBy("w_l").agg(F.max(F.struct("jaccard", "w_r")).alias("p")).select("w_l", F.col("p.w_r").alias("w_r"))
+    pilot = pilot.join(b.groupBy(F.col("w").alias("w_r")).agg(F.min("title").alias("pilot")), "w_r").select("w_l", "pilot")
+    ours = ours.join(pilot, "w_l").withColumn("floor", F.greatest(F.lit(least_similarity), T.edit_similarity(F.col("title_l"), F.col("pilot")))).drop("pilot")
+    found = result(_measured(ours.join(sets, "w_l").join(theirs, "w_r"), F.col("floor")).where(F.col("similarity") >= least_similarity))
+    best = one_per_key(equal.unionByName(near).unionByName(found), ["title_l"], -F.col("similarity"), F.col("right_id"))
+    back = left.select(F.col(key_l).alias("left_id"), F.lower(T.normal_space(F.col(title_l))).alias("title_l"))
+    return back.join(best, "title_l").select("left_id", "right_id", "similarity")
 
 
 def fuzzy_title_matches(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float = 0.5, least_similarity: float = 0.85) -> DataFrame:
     """left_id, right_id, similarity: the most similar right title for each left title, ties to the smaller id."""
-    pairs = title_pairs(left, right, key_l, key_r, title_l, title_r, least_jaccard)
-    longest = F.greatest(F.length("title_l"), F.length("title_r"))
-    distance = F.expr(f"levenshtein(title_l, title_r, cast(ceil({1 - least_similarity:.6f} * greatest(length(title_l), length(title_r))) as int))")
-    close = pairs.where(F.abs(F.length("title_l") - F.length("title_r")) <= 0.3 * longest).withColumn("d", distance).where("d >= 0").withColumn("similarity", 1 - F.col("d") / longest)
-    best = one_per_key(close.where(F.col("similarity") >= least_similarity).select("title_l", "id_r", "similarity"), ["title_l"], -F.col("similarity"), F.col("id_r"))
-    back = left.select(F.col(key_l).alias("left_id"), F.lower(T.normal_space(F.col(title_l))).alias("title_l"))
-    return back.join(best, "title_l").select("left_id", F.col("id_r").alias("right_id"), "similarity")
+    return best_titles(left, right, key_l, key_r, title_l, title_r, least_jaccard, True, least_similarity)
 
 
 def nearest_titles(left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str, least_jaccard: float = 0.2) -> DataFrame:
     """For each left row, the best edit similarity among right titles with a word Jaccard of at least ``least_jaccard``; no lower limit."""
-    pairs = title_pairs(left, right, key_l, key_r, title_l, title_r, least_jaccard, shared_half=False)
-    pairs = pairs.withColumn("similarity", T.edit_similarity(F.col("title_l"), F.col("title_r")))
-    best = one_per_key(pairs.select("title_l", "id_r", "similarity"), ["title_l"], -F.col("similarity"), F.col("id_r"))
-    back = left.select(F.col(key_l).alias("left_id"), F.lower(T.normal_space(F.col(title_l))).alias("title_l"))
-    return back.join(best, "title_l").select("left_id", F.col("id_r").alias("right_id"), "similarity")
+    return best_titles(left, right, key_l, key_r, title_l, title_r, least_jaccard, False)
 
 
 def known_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, key_l: str, key_r: str, title_l: str, title_r: str) -> DataFrame:
@@ -88,20 +138,32 @@ def unmatched(new: DataFrame, crosswalk: DataFrame, key: str, base: DataFrame) -
     return one_per_key(rest, [key])
 
 
-def chained(new: DataFrame, key: str, title: str, order: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """New records join the index as they come, so later ones with the same title are the same study.
+def chained(new: DataFrame, key: str, title: str, order: Column | None = None, least_jaccard: float = 0.5, least_similarity: float = 0.85) -> tuple[DataFrame, DataFrame]:
+    """New records join the index as they come, so later ones with an equal or close title are the same study.
 
-    Returns the rows that stay (the first of each title by ``order``, then key;
-    rows without a title stay all) and the crosswalk left_id -> right_id of the
-    others.  Close titles of new records are left apart, as which of them came
-    first would decide.
+    Records come by ``order``, then key.  A title stays unless an earlier title
+    that stays is close to it, as in ``fuzzy_title_matches``; a record of a title
+    that goes belongs to the most similar title that stays and came before the
+    record (ties to the earlier one).  Returns the rows that stay (the first
+    of each title that does; rows without a title stay all) and the crosswalk
+    left_id -> right_id of the others.
     """
     rows = new.withColumn("_t", F.lower(T.normal_space(F.col(title)))).withColumn("_o", F.struct((F.lit(0) if order is None else order).alias("o"), F.col(key).alias("k")))
-    first = rows.where("_t <> ''").groupBy("_t").agg(F.min("_o").alias("_f")).select("_t", F.col("_f.k").alias("right_id"))
-    known = rows.join(first, "_t", "left")
-    stays = known.where(F.col("right_id").isNull() | (F.col("right_id") == F.col(key)))
-    links = known.where(F.col("right_id") != F.col(key)).select(F.col(key).alias("left_id"), "right_id").distinct()
-    return one_per_key(stays.select(new.columns), [key]), links
+    first = settle(rows.where("_t <> ''").groupBy("_t").agg(F.min("_o").alias("o")).withColumns({"title": F.col("_t"), "id": F.col("_t"), "w": F.array_sort(T.title_words(F.col("_t"))), "n": F.length("_t")}))
+    worded = first.where(F.size("w") > 0)
+    sets = word_set_pairs(worded, worded, least_jaccard)
+    at = lambda side: first.select(F.col("_t").alias(f"title_{side}"), F.col("o").alias(f"o_{side}"))
+    close = _sided(worded, "l").join(sets, "w_l").join(_sided(worded, "r"), "w_r").where("title_l <> title_r").join(at("l"), "title_l").join(at("r"), "title_r").where("o_r < o_l")
+    close = settle(_measured(close, F.lit(least_similarity)).where(F.col("similarity") >= least_similarity).select("title_l", "title_r", "o_r", "similarity"))
+    fate = settle(first_by_links(close.select(F.col("title_l").alias("later"), F.col("title_r").alias("earlier"))))
+    gone = fate.where("not stays").select(F.col("node").alias("_t"))
+    owners = close.join(fate.where("stays").select(F.col("node").alias("title_r")), "title_r", "left_semi").withColumnRenamed("title_l", "_t")
+    near = rows.join(gone, "_t", "left_semi").join(owners, "_t").where("o_r < _o")
+    near = one_per_key(near.select(F.col(key).alias("left_id"), "_o", "similarity", "o_r"), ["left_id", "_o"], -F.col("similarity"), F.col("o_r")).select("left_id", F.col("o_r.k").alias("right_id"))
+    known = rows.join(first.select("_t", F.col("o.k").alias("right_id")).join(gone, "_t", "left_anti"), "_t", "left").join(gone.withColumn("_gone", F.lit(True)), "_t", "left")
+    stays = known.where("_gone is null").where(F.col("right_id").isNull() | (F.col("right_id") == F.col(key)))
+    links = known.where(F.col("right_id") != F.col(key)).select(F.col(key).alias("left_id"), "right_id")
+    return one_per_key(stays.select(new.columns), [key]), links.unionByName(near).distinct()
 
 
 def merge_sources(base: DataFrame, new: DataFrame, key: str, title: str, sources: str, fill: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from evimap.functions import defaults as D
 from evimap.functions import rules as R
 from evimap.operators import build, evidence
 from evimap.plans.queries import query, table
-from evimap.plans.text_queries import _HEADS, _SHARED, _SIM, _SPLIT, CATEGORIES, VETO, WORDS, heads
+from evimap.plans.text_queries import _CHAIN, _HEADS, _SHARED, _SIM, _SPLIT, CATEGORIES, VETO, WORDS, heads
 from pyspark.sql import functions as F
 
 #: The default rules, with words, contexts and units that these documents have as well.
@@ -90,7 +90,7 @@ x1 as (select distinct id l, id r from fresh where id in (select id from base)),
 x2 as (select f.id l, min(b.id) r from r1 f join base b on b.t = f.t and f.t <> '' group by 1), r2 as (select * from r1 where id not in (select l from x2)),
 x as (select t, min(id) id, {_SPLIT} w from r2 group by t), y as (select t, min(id) id, {_SPLIT} w from base group by t), {_SHARED}, q as (select tl, ir, {_SIM} sim from p where s >= greatest(2, n // 2) and s / (n + m - s) >= 0.5),
 z as (select tl, arg_max(ir, (sim, -ir)) r from q where sim >= 0.85 group by 1), x3 as (select r2.id l, z.r from r2 join z on z.tl = r2.t), r3 as (select * from r2 where id not in (select l from x3)),
-o as (select t, min(id) r from r3 where t <> '' group by 1), links as (select r3.id l, o.r from r3 join o on o.t = r3.t where o.r <> r3.id), stays as (select * from r3 where id not in (select l from links)),
+{_CHAIN}, stays as (select * from r3 where id not in (select l from links)),
 tags as (select r id, min(nullif(c, '')) c from (select * from x1 union all select * from x2 union all select * from x3) a join fresh on fresh.id = l group by 1), more as (select r id, min(nullif(c, '')) c from links join r3 on r3.id = l group by 1),
 studies as (select b.id, case when tags.id is null then 'registry' else 'article;registry' end s, coalesce(nullif(b.c, ''), tags.c) c from base b left join tags on tags.id = b.id union all select k.id, 'article', coalesce(nullif(k.c, ''), more.c) from stays k left join more on more.id = k.id),
 cross_ as (select * from (select * from x2 union all select * from x3 union all select * from links) where l <> r)"""
@@ -108,12 +108,12 @@ def whole_build(spark, d):
     return build.Build(base, new.unionByName(again), found(docs.where(one).select("nct_id", "text")), found(docs.where(~one).select("nct_id", "text")), F.col("nct_id") >= 0, rules=RULES)
 
 
-@query(f"with {_MERGE} select id nct_id, s data_sources, c countries from studies")
+@query(f"with recursive {_MERGE} select id nct_id, s data_sources, c countries from studies")
 def merged_studies(spark, d):
     return whole_build(spark, d).studies.select("nct_id", "data_sources", "countries")
 
 
-@query(f"with {_MERGE} select l left_id, r right_id from cross_")
+@query(f"with recursive {_MERGE} select l left_id, r right_id from cross_")
 def merge_crosswalk(spark, d):
     return whole_build(spark, d).crosswalk
 
@@ -121,25 +121,25 @@ def merge_crosswalk(spark, d):
 _BUILT = f"{_MERGE}, {_MENTIONS}, {_map_sql('u')}, b as (select coalesce(cross_.r, m.doc_id) id, m.keyword, m.normalized_keyword, m.unit_raw, m.normalized_unit, m.doc_id own from m left join cross_ on cross_.l = m.doc_id), w as (select b.*, studies.s, studies.c, e.lang = 'en' placebo from b join studies on studies.id = b.id join documents e on e.doc_id = b.id)"
 
 
-@query(f"with {_BUILT} select id nct_id, keyword, normalized_keyword, unit_raw, normalized_unit, placebo has_placebo_arm, s data_sources, c countries, count(*) n from w group by all")
+@query(f"with recursive {_BUILT} select id nct_id, keyword, normalized_keyword, unit_raw, normalized_unit, placebo has_placebo_arm, s data_sources, c countries, count(*) n from w group by all")
 def built_map(spark, d):
     wide = whole_build(spark, d).map
     return wide.groupBy("nct_id", "keyword", "normalized_keyword", "unit_raw", "normalized_unit", "has_placebo_arm", "data_sources", "countries").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {_BUILT}, f as (select unnest(['outcome_type', 'normalized_keyword', 'normalized_unit']) facet, unnest(['inferred', normalized_keyword, normalized_unit]) as value, id, placebo from w) select facet, value, count(*) mention_count, count(distinct id) study_count, count(distinct case when placebo then id end) placebo_study_count from f group by 1, 2""")
+@query(f"""with recursive {_BUILT}, f as (select unnest(['outcome_type', 'normalized_keyword', 'normalized_unit']) facet, unnest(['inferred', normalized_keyword, normalized_unit]) as value, id, placebo from w) select facet, value, count(*) mention_count, count(distinct id) study_count, count(distinct case when placebo then id end) placebo_study_count from f group by 1, 2""")
 def built_facets(spark, d):
     return whole_build(spark, d).facets
 
 
-@query(f"""with {_BUILT}, f as (select count(*) mentions, count(distinct id) total, count(distinct normalized_keyword) categories, count(*) filter (normalized_keyword = 'Unmapped') / count(*) unmapped, count(*) filter (normalized_unit = '') / count(*) unitless, (select count(*) from studies where id > 50000 or id = 0) bad from w)
+@query(f"""with recursive {_BUILT}, f as (select count(*) mentions, count(distinct id) total, count(distinct normalized_keyword) categories, count(*) filter (normalized_keyword = 'Unmapped') / count(*) unmapped, count(*) filter (normalized_unit = '') / count(*) unitless, (select count(*) from studies where id > 50000 or id = 0) bad from w)
 select 'totals_non_negative' rule_id, true passed from f union all select 'id_format', true from f union all select 'totals_add_up', true from f union all select 'unmapped', unmapped <= 0.05 from f union all select 'unit_gap', unitless <= 0.4 from f
 union all select 'facets_present', categories > 0 from f union all select 'enrollment', bad = 0 from f union all select 'orphans', true from f""")
 def built_quality(spark, d):
     return whole_build(spark, d).quality.select("rule_id", "passed")
 
 
-@query(f"with {_BUILT} select 'broad' as label, count(*) total_mentions, count(distinct id) total_studies, count(distinct case when placebo then id end) placebo_studies, count(distinct keyword) keywords, true versioned from w")
+@query(f"with recursive {_BUILT} select 'broad' as label, count(*) total_mentions, count(distinct id) total_studies, count(distinct case when placebo then id end) placebo_studies, count(distinct keyword) keywords, true versioned from w")
 def built_record(spark, d):
     record = whole_build(spark, d).record
     total = lambda n: F.get_json_object("totals", f"$.{n}").cast("long").alias(n)

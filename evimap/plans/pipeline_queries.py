@@ -53,6 +53,16 @@ def insert_ignore(spark, d):
     return incremental.insert_ignore(base, o.where(~old).select("o_custkey", "o_orderkey"), [["o_custkey"], ["o_orderkey"]], ["o_orderkey"])
 
 
+@query("""with recursive n as (select o_custkey c, o_orderkey k, o_orderpriority p, month(o_orderdate) % 5 m, row_number() over (partition by o_custkey order by o_orderkey) i from orders),
+s as (select c, i, k, p, m, [p] ps, [m] ms, true ok from n where i = 1 union all select n.c, n.i, n.k, n.p, n.m, case when x then list_append(ps, n.p) else ps end, case when x then list_append(ms, n.m) else ms end, x
+from (select n.*, s.ps, s.ms, not list_contains(ps, n.p) and not list_contains(ms, n.m) x from s join n on n.c = s.c and n.i = s.i + 1) n) select k o_orderkey, c o_custkey, p o_orderpriority, m from s where ok""")
+def insert_ignore_crosswise(spark, d):
+    """One order of a priority and one of a month class for each customer; an order that one key keeps out must not keep others out by the other key."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", (F.month("o_orderdate") % 5).cast("long").alias("m"))
+    base = o.groupBy("o_custkey").agg(F.min(F.struct(*o.columns)).alias("x")).select("x.*")
+    return incremental.insert_ignore(base, o, [["o_custkey", "o_orderpriority"], ["o_custkey", "m"]], ["o_orderkey"])
+
+
 @query("select o_custkey, max(o_orderkey) o_orderkey from orders group by 1")
 def last_wins(spark, d):
     return last_per_key(table(spark, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey")

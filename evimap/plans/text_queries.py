@@ -124,6 +124,21 @@ def nearest_titles(spark, d):
     return resolve.nearest_titles(*halves(spark, d), "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
 
 
+# A loop over the titles in the order of their first record: each stays unless an earlier one that stays is close.
+_CHAIN = f"""ct as (select t, min(id) o, {_SPLIT} w from r3 where t <> '' group by t),
+cs as (select l.t tl, r.t tr, l.o ol, r.o o, len(list_intersect(l.w, r.w)) s, len(l.w) n, len(r.w) m from ct l join ct r on r.o < l.o and list_has_any(l.w, r.w)),
+cp as (select * from (select *, {_SIM} sim from cs where s >= greatest(2, n // 2) and s / (n + m - s) >= 0.5) where sim >= 0.85), cn as (select tl, list(tr) e, row_number() over (order by any_value(ol)) i from cp group by tl),
+walk as (select cast(0 as bigint) i, cast([] as varchar[]) gone union all select cn.i, case when len(list_filter(e, lambda x: not list_contains(gone, x))) > 0 then list_append(gone, tl) else gone end from walk join cn on cn.i = walk.i + 1),
+gone as (select unnest(gone) t from (select gone from walk order by i desc limit 1)), cb as (select r3.id l, o r, row_number() over (partition by r3.id order by sim desc, o) k from r3 join cp on cp.tl = r3.t where r3.t in (from gone) and cp.tr not in (from gone) and o < r3.id),
+links as (select r3.id l, ct.o r from r3 join ct on ct.t = r3.t where ct.o <> r3.id and r3.t not in (from gone) union all select l, r from cb where k = 1)"""
+
+
+@query(f"with recursive {_HEADS}, r3 as (select doc_id id, t from h where source like 'src%'), {_CHAIN} select l left_id, r right_id from links")
+def chained_titles(spark, d):
+    """Every document is new: later ones with an equal or close title belong to earlier ones."""
+    return resolve.chained(heads(spark, d).where(F.col("source").startswith("src")).select("doc_id", "t"), "doc_id", "t")[1]
+
+
 @query(f"with {_HEADS} select a.doc_id left_id, b.doc_id right_id, round(case when greatest(length(a.t), length(b.t)) > 0 then 1 - levenshtein(a.t, b.t) / greatest(length(a.t), length(b.t)) else 1 end, 6) similarity from h a join h b on b.doc_id = a.doc_id + 1")
 def known_pairs(spark, d):
     h = heads(spark, d)
