@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from evimap.functions import rules as R
 from evimap.functions import text as T
-from evimap.operators import evidence, resolve
+from evimap.operators import dictionary, evidence, resolve
 from evimap.operators.incremental import keyed
 from evimap.plans.queries import query, table
 from pyspark.sql import functions as F
@@ -34,6 +34,22 @@ def keyword_mentions(spark, d):
     return evidence.mentions(docs(spark, d), F.col("text"), WORDS, VETO).select("doc_id", "keyword")
 
 
+# The dictionary is the start of every document: its first word if that is short, else its first two.
+_TERMS = r"""d as (select doc_id, lower(text) t from documents), w as (select regexp_extract(t, '^[a-z]+(?: [a-z]+)?') f from d),
+terms as (select distinct case when length(split_part(f, ' ', 1)) <= 3 then split_part(f, ' ', 1) else f end x from w where f <> '')"""
+
+
+@query(rf"""with {_TERMS}, m as (select doc_id, t, chr(1) || regexp_replace(t, '([^\pL\pN\pM_])', chr(1) || '\1' || chr(1), 'g') || chr(1) e from d)
+select doc_id, x keyword from m, terms where length(x) > 3 and contains(e, chr(1) || replace(x, ' ', chr(1) || ' ' || chr(1)) || chr(1)) or length(x) <= 3 and list_contains({_PARTS}, x)""")
+def dictionary_mentions(spark, d):
+    """Terms that come from a table, found in every document."""
+    own = docs(spark, d).select("doc_id", "text")
+    first = F.regexp_extract(F.lower("text"), "^[a-z]+(?: [a-z]+)?", 0)
+    word = F.split_part(first, F.lit(" "), F.lit(1))
+    terms = own.select(F.when(F.length(word) <= 3, word).otherwise(first).alias("term"))
+    return dictionary.mentions(own, F.col("text"), terms).select("doc_id", "keyword")
+
+
 def _case(text: str) -> str:
     return "case " + " ".join(f"when {' or '.join('(' + _has(t, text) + ')' for t in tokens)} then '{name}'" for name, tokens in CATEGORIES) + " end"
 
