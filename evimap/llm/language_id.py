@@ -50,7 +50,7 @@ def fit(df: DataFrame, text: str, lang: str, key: str, where: Column, dictionary
     chosen = F.filter(hashes, lambda x: (F.pmod(x["h"], F.lit(1 << 40)) < F.col("share")) | (x["h"] == F.col("least")))
     cut = F.transform(chosen, lambda x: F.struct(x["h"].alias("h"), F.substring("text", x["place"] * F.col("width") + 1, F.col("width")).alias("text")))
     found: dict[str, list] = {name: [] for name in sizes}
-    for r in rows.select("lang", F.explode(cut).alias("x")).select("lang", "x.*").collect():
+    for r in rows.select("lang", F.explode(cut).alias("x")).select("lang", "x.*").distinct().collect():
         found[r.lang].append((r.h, r.text.lower().encode()))
     out = []
     for name in sorted(sizes, key=lambda x: (-sizes[x].n, x)):

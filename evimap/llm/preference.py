@@ -15,12 +15,11 @@ named are read; an empty table gives no rows.
 
 from __future__ import annotations
 
+from evimap.llm.components import settle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ASSISTANT = "assistant"
-#: Neighbouring keys among which answers are swapped.
-BLOCK = 1024
 
 
 def conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -64,20 +63,23 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id
     )
 
 
-def swapped_answers(turns: DataFrame, key: str = "conv_id", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Pairs made from conversations: in the rejected one, the last answer is that of another conversation.
+def swapped_answers(turns: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """Pairs made from conversations: in the rejected one, the last answer is that of the next conversation that has one.
 
-    It is the one with the next key that has an answer, among the keys (whole
-    numbers) of a block of ``block``; the last of a block takes the first's.
-    An answer that is alone in its block gives way to an empty one.
+    Next is by ``key``, of any type that sorts; the last takes the first's, and
+    the only answer of a table gives way to an empty one.  Answers are sorted
+    over range partitions; only the first of each partition crosses to the one before.
     """
     chosen = conversations(turns, key)
     back = F.array_position(F.reverse(F.transform("turns", lambda x: x["role"])), ASSISTANT)
     at = chosen.withColumn("at", F.when(back > 0, F.size("turns") - back).cast("int"))
-    own = at.where("at is not null").select(key, F.expr("turns[at].text").alias("text"), F.floor(F.col(key) / block).alias("block"))
-    near = Window.partitionBy("block").orderBy(key)
-    following = F.coalesce(F.lead("text").over(near), F.first("text").over(near))
-    answers = own.select(key, F.when(F.count("*").over(Window.partitionBy("block")) > 1, following).otherwise("").alias("other"))
+    own = settle(at.where("at is not null").select(F.col(key).alias("k"), F.expr("turns[at].text").alias("text")).sort("k").withColumn("part", F.spark_partition_id()))
+    heads = own.groupBy("part").agg(F.min(F.struct("k", "text")).alias("head"), F.count("*").alias("n"))
+    parts = Window.orderBy("part")  # one row for each partition of the sort
+    whole = Window.partitionBy()
+    heads = heads.select("part", F.coalesce(F.lead("head.text").over(parts), F.first("head.text").over(parts)).alias("after"), F.sum("n").over(whole).alias("all"))
+    near = Window.partitionBy("part").orderBy("k")
+    answers = own.join(heads, "part").select(F.col("k").alias(key), F.when(F.col("all") > 1, F.coalesce(F.lead("text").over(near), "after")).otherwise("").alias("other"))
     swap = F.transform("turns", lambda x, i: F.struct(x["turn"].alias("turn"), x["role"].alias("role"), F.when(i == F.col("at"), F.coalesce("other", F.lit(""))).otherwise(x["text"]).alias("text")))
     return chosen, at.join(answers, key, "left").select(key, swap.alias("turns"))
 
@@ -87,8 +89,8 @@ PAIRS_SQL = """
 with t as (select conv_id, row_number() over (partition by conv_id order by turn, role, text) i, role, text
            from (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations where conv_id is not null)),
 last as (select conv_id, max(i) i from t where role = 'assistant' group by conv_id),
-answer as (select conv_id, case when count(*) over (partition by b) = 1 then '' else coalesce(lead(text) over (partition by b order by conv_id), first_value(text) over (partition by b order by conv_id)) end text
-           from (select t.conv_id, t.text, floor(t.conv_id / 1024) b from t join last using (conv_id, i))),
+answer as (select conv_id, case when count(*) over () = 1 then '' else coalesce(lead(text) over (order by conv_id), first_value(text) over (order by conv_id)) end text
+           from (select t.conv_id, t.text from t join last using (conv_id, i))),
 sides as (select t.conv_id, t.i, t.role, t.text c, case when last.i is not null then coalesce(answer.text, '') else t.text end r
          from t left join last on last.conv_id = t.conv_id and last.i = t.i left join answer on answer.conv_id = t.conv_id),
 cut as (select conv_id, coalesce(min(i) filter (c <> r), max(i) + 1) - 1 n from sides group by conv_id),

@@ -17,7 +17,7 @@ bounded in bytes, and a candidate is sent once for each batch of ``QUERY_ROWS``
 queries, a query once for each block.  Equal vectors are searched as one and
 expanded to their smallest keys, which is exact.  Rows with a null key take no
 part, nor vectors that are null, empty, zero or hold null or non-finite
-components.  Vectors of different lengths have no inner product: each length is
+components.  Keys are whole numbers; vectors of doubles are searched and scored as such.  Vectors of different lengths have no inner product: each length is
 searched by itself.  A key that repeats counts once, with its least vector (a
 shorter one before a longer one).  An empty table gives no rows, and only the
 two columns named are read.
@@ -68,15 +68,16 @@ def tree(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray,
 class Index:
     """A block of distinct candidate vectors in the order of its tree."""
 
-    def __init__(self, keys: np.ndarray, vectors: np.ndarray, k: int, norm: float) -> None:
-        raw = np.ascontiguousarray(vectors.astype(np.float32)).view([("", np.float32)] * vectors.shape[1]).ravel()
+    def __init__(self, keys: np.ndarray, vectors: np.ndarray, k: int, norm: float, unit: float = 1.0) -> None:
+        raw = np.ascontiguousarray(vectors).view([("", vectors.dtype)] * vectors.shape[1]).ravel()
         sort = np.lexsort((keys, np.unique(raw, return_inverse=True)[1]))
         keys, vectors = keys[sort], vectors[sort].astype(np.float64)
         first = np.flatnonzero(np.concatenate([[True], (vectors[1:] != vectors[:-1]).any(1)]))
         members, distinct = np.split(keys, first[1:]), vectors[first]
-        lift = np.sqrt(np.maximum(0, norm**2 - (distinct**2).sum(1)))
+        self.unit, scaled = unit, distinct / unit
+        lift = np.sqrt(np.maximum(0, norm**2 - (scaled**2).sum(1)))
         self.matrix = np.random.default_rng(SEED).standard_normal((distinct.shape[1] + 1, DIMS))
-        points = np.column_stack([distinct, lift]) @ self.matrix
+        points = np.column_stack([scaled, lift]) @ self.matrix
         order, self.starts, self.low, self.high = tree(points)
         self.ends = np.append(self.starts[1:], len(order))
         self.points, self.vectors, self.members, self.norm = points[order], distinct[order], [members[i][: k + 1] for i in order], norm
@@ -100,6 +101,7 @@ class Index:
 
     def nearest(self, key: int, q: np.ndarray, k: int, cut: float) -> tuple[list[tuple[float, int]], int]:
         """(-score, key) of the best k but ``key`` itself, and how many vectors were verified."""
+        exact_q, q = q, q / np.abs(q).max() if self.unit != 1.0 else q
         scale = self.norm / math.sqrt(float(q @ q))
         rows, scores, worst, n, size, stop = [], [], -np.inf, 0, 64, False
         for own, far in self.candidates((q * scale) @ self.matrix[:-1]):
@@ -111,7 +113,7 @@ class Index:
                     break
                 took = own[a : a + size]
                 a, size = a + size, min(2 * size, 512)
-                rows.append(took), scores.append(self.vectors[took] @ q)
+                rows.append(took), scores.append((self.vectors[took] / self.unit) @ q)
                 n += len(took)
                 every = np.concatenate(scores)
                 if len(every) > k:
@@ -122,13 +124,14 @@ class Index:
             if stop:
                 break
         own = np.concatenate(rows)
-        exact = (self.vectors[own] * q).sum(1)
+        with np.errstate(over="ignore"):
+            exact = (self.vectors[own] * exact_q).sum(1)
         return sorted((-s, int(i)) for s, r in zip(exact.tolist(), own.tolist()) for i in self.members[r] if i != key)[:k], n
 
 
-def search_block(keys: np.ndarray, vectors: np.ndarray, query_keys: np.ndarray, queries: np.ndarray, k: int, norm: float, sure: float = SURE) -> tuple[list[tuple[int, int, float]], int]:
+def search_block(keys: np.ndarray, vectors: np.ndarray, query_keys: np.ndarray, queries: np.ndarray, k: int, norm: float, sure: float = SURE, unit: float = 1.0) -> tuple[list[tuple[int, int, float]], int]:
     """(query, key, score) of the best k in this block for each query, and how many vectors were verified in all."""
-    index, cut, out, verified = Index(keys, vectors, k, norm), chi_square_cut(DIMS, sure), [], 0
+    index, cut, out, verified = Index(keys, vectors, k, norm, unit), chi_square_cut(DIMS, sure), [], 0
     for key, q in zip(query_keys.tolist(), queries.astype(np.float64)):
         found, n = index.nearest(key, q, k, cut)
         out += [(key, i, -s) for s, i in found]
@@ -137,8 +140,8 @@ def search_block(keys: np.ndarray, vectors: np.ndarray, query_keys: np.ndarray,
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    v = F.col("v")
-    fine = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")).where(
+    v, kind = F.col("v"), "float" if df.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    fine = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("v")).where(
         F.col("id").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     )
     return fine.groupBy("id").agg(F.min(F.struct(F.size("v").alias("dim"), "v")).alias("x")).select("id", "x.dim", "x.v")
@@ -152,11 +155,13 @@ def nearest(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 20,
     """
     rows = usable(df, key, vector)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    facts = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"), F.max(square).alias("m")).collect()  # one row for each length
+    facts = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"), F.max(square).alias("m"), F.max(F.array_max(F.transform("v", F.abs))).cast("double").alias("u")).collect()  # one row for each length
     tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-    norms, sizes = {r.dim: math.sqrt(r.m) for r in facts}, {}
+    # where squares pass the range of a double (or vanish), lengths are measured in the greatest entry
+    units = {r.dim: 1.0 if 1e-280 < r.m < 1e280 else r.u for r in facts}
+    norms, sizes = {r.dim: math.sqrt(r.m) if units[r.dim] == 1.0 else math.sqrt(r.dim) for r in facts}, {}
     for r in facts:
-        most = max(1, BLOCK_BYTES // (4 * r.dim))
+        most = max(1, BLOCK_BYTES // (8 * r.dim))
         blocks = max(-(-r.n // most), min(tasks, -(-r.n // SMALL_BLOCK)))
         sizes[r.dim] = (blocks, max(1, -(-r.q // QUERY_ROWS), min(-(-tasks // blocks), -(-r.q // 512))))
     shape = F.create_map(*(F.lit(x) for d, (c, q) in (sizes or {0: (1, 1)}).items() for x in (d, f"{c},{q}")))[F.col("dim")]
@@ -169,7 +174,8 @@ def nearest(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 20,
         got = []
         if candidates.num_rows and queries.num_rows:
             sides = [(t["id"].to_numpy(), t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)) for t in (candidates, queries)]
-            got, _ = search_block(*sides[0], *sides[1], k, norms[candidates["dim"][0].as_py()], sure)
+            dim = candidates["dim"][0].as_py()
+            got, _ = search_block(*sides[0], *sides[1], k, norms[dim], sure, units[dim])
         return pa.table({"query_id": pa.array([x[0] for x in got], pa.int64()), "vec_id": pa.array([x[1] for x in got], pa.int64()), "score": pa.array([x[2] for x in got], pa.float64())})
 
     best = left.groupBy("dim", "c", "q").cogroup(right.groupBy("dim", "c", "q")).applyInArrow(block, "query_id long, vec_id long, score double")

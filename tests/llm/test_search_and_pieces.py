@@ -123,3 +123,18 @@ def test_pieces_with_inner_markers(vocabulary):
     keys = [(b" a b", 0), (b" a", 1), (b" b", 2), (b"b", 3)]
     v = U.Vocabulary(*U.double_array(keys), np.log([0.4, 0.2, 0.2, 0.2]), [k for k, _ in keys], np.zeros(256, np.int64), -20.0, False)
     assert U.encode(["a b"], v, {})[0].tolist() == [0]
+
+
+def test_doubles_are_searched_as_doubles(spark):
+    rng = np.random.default_rng(12)
+    v = rng.standard_normal((300, 3))
+    v[7] = [1e200, -1e200, 3e199]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(1000, [0.1 + 1e-10, 0.0, 0.0]), (1020, [1.0, 0.0, 0.0])]
+    got = P.nearest(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v", F.col("id") % 20 == 0, sure=0.999999).collect()
+    found = {(r.query_id, r.vec_id): r.score for r in got}
+    own = dict(rows)
+    for (q, i), score in found.items():
+        assert score == float((np.array(own[i]) * np.array(own[q])).sum())
+    assert (1020, 7) in found and all((q, 7) in found for q in range(0, 300, 20) if float(v[q] @ (v[7] / 1e200)) > 0)
+    exact = P.nearest(spark.createDataFrame(rows[300:] + [(1, [0.1, 5.0, 0.0])], "vec_id long, v array<double>"), "vec_id", "v", F.col("id") % 20 == 0).collect()
+    assert {(r.query_id, r.vec_id): r.score for r in exact}[1020, 1000] == 0.1 + 1e-10

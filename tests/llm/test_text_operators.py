@@ -45,6 +45,13 @@ def test_language(spark):
     assert language_id.predict(df.limit(2), "text", language_id.fit(df.limit(0), "text", "lang", "doc_id", F.lit(True))).first().lang_pred == "und"
 
 
+def test_copies_of_a_row_are_drawn_once(spark):
+    """3,000 copies of one row under one key: the pieces that reach the driver are distinct."""
+    rows = [(1, "die einheit und der schutz " * 3, "de")] * 3000 + [(2, "the thing with the tion", "en")]
+    known = dict(language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", "doc_id", F.lit(True)))
+    assert known["de"].count(b"einheit") == 3 and set(known) == {"de", "en"}
+
+
 def test_quality(spark):
     rows = documents() + ODD
     df = spark.createDataFrame(rows, DOCS)
@@ -199,14 +206,27 @@ def test_preference_pairs(spark):
     assert got[3].rejected == "" and got[3].chosen == "<||>\n<|end|>\n"
 
 
+def test_answers_of_any_keys(spark):
+    """Keys far apart, or texts, get the answer of the next key all the same."""
+    plain = [(i * 5_000_000 if i % 2 else -i, 0, "assistant", f"a{i}") for i in range(300)]
+    for shape, name in (("conv_id long", lambda k: k), ("conv_id string", lambda k: f"{k:x}")):
+        turns = [(name(k), *r) for k, *r in plain]
+        rows = preference.preference_pairs(*preference.swapped_answers(spark.createDataFrame(turns, shape + ", turn long, role string, text string").repartition(7))).collect()
+        order = sorted(turns)
+        after = {t[0]: order[(i + 1) % len(order)][3] for i, t in enumerate(order)}
+        assert {r.conv_id: r.rejected for r in rows} == {k: f"<|assistant|>\n{v}<|end|>\n" for k, v in after.items()}
+
+
 def test_long_and_repeated_turns(spark):
     shape = "conv_id long, turn long, role string, text string"
     turns = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(3000)] + [(5, 0, "user", "q"), (5, 0, "user", "q"), (5, 1, "assistant", "a"), (9, 0, "assistant", "z"), (5000, 0, "assistant", "alone")]
     df = spark.createDataFrame(turns, shape)
     got = {r.conv_id: r for r in preference.preference_pairs(*preference.swapped_answers(df)).collect()}
     assert got[1].n_prompt_turns == 2999 and got[1].rejected == "<|assistant|>\na<|end|>\n" and got[1].rejected_spans == "14-22"
-    assert got[5].n_prompt_turns == 2 and got[5].rejected == "<|assistant|>\nz<|end|>\n" and got[9].rejected.startswith("<|assistant|>\nt2999")
-    assert got[5000].rejected == "<|assistant|>\n<|end|>\n"
+    assert got[5].n_prompt_turns == 2 and got[5].rejected == "<|assistant|>\nz<|end|>\n" and got[9].rejected.startswith("<|assistant|>\nalone")
+    assert got[5000].rejected == "<|assistant|>\nt2999<|end|>\n"
+    only = preference.preference_pairs(*preference.swapped_answers(df.where("conv_id = 9"))).collect()
+    assert [(r.conv_id, r.rejected) for r in only] == [(9, "<|assistant|>\n<|end|>\n")]
     assert preference.preference_pairs(*preference.swapped_answers(df.limit(0))).collect() == []
     spans = preference.preference_pairs(*(preference.conversations(x) for x in (df.where("conv_id = 1"), df.where("conv_id = 9")))).first()
     own = [spans.chosen[int(a) : int(b)] for a, b in (x.split("-") for x in spans.chosen_spans.split(","))]
