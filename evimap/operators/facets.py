@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -15,13 +16,42 @@ def facet_stats(rows: DataFrame, facets: Mapping[str, Column], study: str, flag:
     found by a first aggregation on (facet, value, study), which keeps one hot
     value from landing in one task.
     """
+    return state_stats(facet_state(rows, facets, study, flag))
+
+
+def facet_state(rows: DataFrame, facets: Mapping[str, Column], study: str, flag: Column) -> DataFrame:
+    """facet, value, study, n (mentions), flagged (those of them with the flag): what the statistics of facets are kept as."""
     def pair(name: str):
         return lambda v: F.struct(F.lit(name).alias("facet"), v.cast("string").alias("value"))
 
     pairs = [F.transform(c if _is_list(rows, c) else F.array(c), pair(name)) for name, c in facets.items()]
     long = rows.select(F.col(study).alias("study"), F.coalesce(flag, F.lit(False)).alias("flag"), F.explode(F.concat(*pairs)).alias("f")).select("f.facet", "f.value", "study", "flag")
-    per_study = long.groupBy("facet", "value", "study").agg(F.count("*").alias("n"), F.max("flag").alias("flag"))
-    return per_study.groupBy("facet", "value").agg(F.sum("n").alias("mention_count"), F.count("study").alias("study_count"), F.count_if(F.col("flag") & F.col("study").isNotNull()).alias("placebo_study_count"))
+    return long.groupBy("facet", "value", "study").agg(F.count("*").alias("n"), F.count_if("flag").alias("flagged"))
+
+
+def state_changes(old: DataFrame, new: DataFrame, facets: Mapping[str, Column], study: str, flag: Column) -> DataFrame:
+    """What an increment does to the state: ``old`` are the rows that it takes away or replaces, as they were, ``new`` those that it brings."""
+    minus = facet_state(old, facets, study, flag).withColumns({"n": -F.col("n"), "flagged": -F.col("flagged")})
+    return added(minus, facet_state(new, facets, study, flag))
+
+
+def added(state: DataFrame, changes: DataFrame) -> DataFrame:
+    """State and signed changes added up; supports that fall to 0 are gone."""
+    both = state.unionByName(changes).groupBy("facet", "value", "study").agg(F.sum("n").alias("n"), F.sum("flagged").alias("flagged"))
+    return both.where((F.col("n") != 0) | (F.col("flagged") != 0))
+
+
+def state_stats(state: DataFrame) -> DataFrame:
+    """``facet_stats`` of a state."""
+    there = F.col("study").isNotNull()
+    return state.groupBy("facet", "value").agg(F.sum("n").alias("mention_count"), F.count("study").alias("study_count"), F.count_if((F.col("flagged") > 0) & there).alias("placebo_study_count"))
+
+
+def touched_stats(stats: DataFrame, changes: DataFrame, state: DataFrame) -> DataFrame:
+    """Statistics after an increment: those of values that ``changes`` names are made anew from ``state`` (with the changes in), the others stay."""
+    names = changes.select(F.col("facet").alias("f_"), F.col("value").alias("v_")).distinct()
+    same = lambda x: x["facet"].eqNullSafe(names["f_"]) & x["value"].eqNullSafe(names["v_"])
+    return stats.join(names, same(stats), "left_anti").unionByName(state_stats(state.join(names, same(state), "left_semi")))
 
 
 def _is_list(rows: DataFrame, c: Column) -> bool:
@@ -136,21 +166,82 @@ def status_counts(log: DataFrame, source: str, status: str, statuses: list[str])
 def shares_and_quartiles(rows: DataFrame, value: str, flags: Mapping[str, tuple[Column, Column]], accuracy: int | None = None) -> DataFrame:
     """Median, quartiles and sum of a number, and shares of flags among the rows of their own denominator.
 
-    Rows are counted by value first, so the quartiles (interpolated) meet one
-    count for each distinct value: right for whole numbers such as enrolments.
-    With ``accuracy`` they are approximate, off by at most 1 / accuracy of the
-    rows, and memory is bounded for any number of values.
+    Quartiles are interpolated and exact: ``exact_quantiles`` finds them in a few
+    passes of bounded size.  With ``accuracy`` they take one pass and are off by
+    at most 1 / accuracy of the rows.
     """
-    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    at = [0.25, 0.5, 0.75]
     shares = [F.try_divide(F.count_if(of & flag), F.count_if(of)).alias(name) for name, (flag, of) in flags.items()]
     sums = rows.agg(F.sum(value).alias("total"), *shares)
     if accuracy:
-        q = rows.agg(F.approx_percentile(F.col(value).cast("double"), at, accuracy).alias("q"))
+        q = rows.agg(F.approx_percentile(F.col(value).cast("double"), F.array(*map(F.lit, at)), accuracy).alias("q"))
     else:
-        q = rows.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c")).agg(F.percentile("v", at, F.col("c")).alias("q"))
+        found = exact_quantiles(rows, value, at)
+        q = rows.sparkSession.range(1).select(F.array(*(F.lit(x).cast("double") for x in found)).alias("q"))
     return q.crossJoin(F.broadcast(sums)).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "total", *flags)  # one row each
 
 
+#: Cells that a pass cuts the range around a quantile into; values of a cell below which they are fetched themselves.
+CELLS, FEW = 1024, 1024
+
+
+def exact_quantiles(rows: DataFrame, value: str, at: list[float], cells: int = CELLS, few: int = FEW) -> list[float | None]:
+    """Exact interpolated quantiles of a numeric column, as ``percentile`` gives them, without all values in one task.
+
+    The ranks that matter are closed in by histograms: a pass counts the values
+    of ``cells`` cells of the range around each rank, with the least and
+    the greatest value of each cell, and the cell that holds the rank is the next
+    range, until it holds one value or at most ``few``, which are then fetched.
+    Values are counted as they are, so many equal ones make no difference.
+    Nulls do not count; NaN is above infinity.  Without values all are null.
+    """
+    v = F.col("v")
+    rows = rows.select(F.col(value).cast("double").alias("v")).where("v is not null")
+    fine = ~F.isnan(v) & (F.abs(v) < float("inf"))
+    facts = rows.agg(F.count("*").alias("n"), F.count_if(v == float("-inf")).alias("below"), F.count_if(fine).alias("fine"), F.count_if(v == float("inf")).alias("above"), F.min(F.when(fine, v)).alias("lo"), F.max(F.when(fine, v)).alias("hi")).first()
+    if not facts.n:
+        return [None] * len(at)
+    places = [(facts.n - 1) * p for p in at]
+    found: dict[int, float] = {}
+    ranges: dict[int, tuple[float, float, int, int]] = {}  # rank -> least and greatest value, values below, values in it
+    for rank in {f(x) for x in places for f in (math.floor, math.ceil)}:
+        if rank < facts.below:
+            found[rank] = -math.inf
+        elif rank < facts.below + facts.fine:
+            ranges[rank] = (facts.lo, facts.hi, facts.below, facts.fine)
+        else:
+            found[rank] = math.inf if rank < facts.below + facts.fine + facts.above else math.nan
+    while ranges:
+        found |= {r: lo for r, (lo, hi, _, _) in ranges.items() if lo == hi}
+        ranges = {r: x for r, x in ranges.items() if r not in found}
+        for lo, hi, before in {(x[0], x[1], x[2]) for x in ranges.values() if x[3] <= few}:
+            own = sorted(r.v for r in rows.where(v.between(lo, hi)).collect())  # at most ``few``
+            found |= {r: own[r - before] for r, x in ranges.items() if x[:2] == (lo, hi)}
+        ranges = {r: x for r, x in ranges.items() if r not in found}
+        spans = sorted({x[:3] for x in ranges.values()})
+        if not spans:
+            break
+        # halves before the difference, which could pass the range of a double
+        cell = lambda lo, hi: F.least(F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * cells), F.lit(cells - 1)).cast("int") if hi / 2 > lo / 2 else (v > lo).cast("int")
+        into = F.array_compact(F.array(*(F.when(v.between(lo, hi), F.struct(F.lit(i).alias("span"), cell(lo, hi).alias("cell"))) for i, (lo, hi, _) in enumerate(spans))))
+        counted = rows.select("v", F.explode(into).alias("x")).groupBy("x.span", "x.cell").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        cells_of: dict[int, list] = {}
+        for r in sorted(counted.collect()):  # at most ``cells`` for each span
+            cells_of.setdefault(r.span, []).append(r)
+        for rank, x in ranges.items():
+            before = x[2]
+            for r in cells_of[spans.index(x[:3])]:
+                if rank < before + r.n:
+                    ranges[rank] = (r.lo, r.hi, before, r.n)
+                    break
+                before += r.n
+    out = []
+    for x in places:
+        low, high = math.floor(x), math.ceil(x)
+        out.append(found[low] if low == high or found[low] == found[high] else (high - x) * found[low] + (x - low) * found[high])
+    return out
+
+
 def supported(stats: DataFrame, count: str, least: int = 2) -> DataFrame:
     return stats.where(F.col(count) >= least)
 

@@ -7,22 +7,50 @@ import json
 import re
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from evimap.functions import text as T
-from pyspark.sql import DataFrame, Window
+from evimap.operators.lineage import settle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def file_manifest(spark, path: str, extensions: Sequence[str] = (), largest: int = 1 << 30) -> DataFrame:
+#: Bytes that a task holds of a file that it streams.
+BLOCK = 8 << 20
+
+
+def file_manifest(spark, path: str, extensions: Sequence[str] = (), largest: int = 1 << 28) -> DataFrame:
     """path, sha256, bytes and modification time of the files under a folder, of the given extensions or all.
 
-    A row holds less than 2 GB: files above ``largest`` bytes are listed with a
-    null hash, and their contents are not read.
+    Files up to ``largest`` bytes are hashed as rows.  Larger ones, which no row
+    could hold, are streamed through the digest ``BLOCK`` bytes at a time, a file
+    a task; their store has to be one that Arrow opens (local, HDFS, S3, GCS).
+    Empty files are not listed, as Spark's file scan leaves them out.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     if extensions:
         files = files.where(F.lower("path").rlike(r"\.(?:" + "|".join(re.escape(e.lower().lstrip(".")) for e in extensions) + ")$"))
-    own = lambda rows, hashed: rows.select("path", hashed.alias("sha256"), F.col("length").alias("bytes"), "modificationTime")
-    return own(files.where(F.col("length") <= largest), F.sha2("content", 256)).unionByName(own(files.where(F.col("length") > largest), F.lit(None).cast("string")))
+    facts = ["path", "length", "modificationTime"]
+
+    def digests(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([streamed_sha256(p.as_py()) for p in batch.column(0)], pa.string())], [*facts, "sha256"])
+
+    small = files.where(F.col("length") <= largest).select(*facts, F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > largest).select(*facts)
+    large = large.repartition(F.col("path")).mapInArrow(digests, "path string, length long, modificationTime timestamp, sha256 string")
+    return small.unionByName(large).select("path", "sha256", F.col("length").alias("bytes"), "modificationTime")
+
+
+def streamed_sha256(path: str) -> str:
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    store, name = (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(path)
+    digest = hashlib.sha256()
+    with store.open_input_stream(name) as stream:
+        while block := stream.read(BLOCK):
+            digest.update(block)
+    return digest.hexdigest()
 
 
 def table_hash(df: DataFrame) -> DataFrame:
@@ -30,6 +58,53 @@ def table_hash(df: DataFrame) -> DataFrame:
     return df.select(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)").alias("h")).agg(F.count("*").alias("rows"), F.sum("h").cast("string").alias("hash"))
 
 
+def hash_tree(df: DataFrame, keys: Sequence[str], depth: int = 3, row: Column | None = None) -> DataFrame:
+    """level, node, rows, hash: a table's contents as a tree of 16 branches a level over buckets of its key.
+
+    A row falls into the leaf that the first ``depth`` hex digits of the MD5 of
+    its key name, and counts with 60 bits of the MD5 of ``row`` (all columns as
+    JSON by default).  A node holds the sums of what is below it, so neither
+    row order nor partitions matter, and rows that repeat count each.  The root
+    is the node '' of level 0.  Keys are told apart from their neighbours and
+    from nulls.
+    """
+    row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}) if row is None else row
+    named = F.md5(F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in keys)))
+    rows = df.select(F.substring(named, 1, depth).alias("node"), F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)").alias("h"))
+    leaves = rows.groupBy("node").agg(F.count("*").alias("rows"), F.sum("h").alias("hash"))
+    nodes = leaves.select(F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("level"), F.col("node").alias("leaf"), "rows", "hash")
+    return nodes.groupBy("level", F.expr("substring(leaf, 1, level)").alias("node")).agg(F.sum("rows").alias("rows"), F.sum("hash").cast("decimal(38,0)").alias("hash"))
+
+
+def changed_nodes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Nodes of two trees that differ: level, node, old_rows, new_rows (0 where a side has none), from the root down.
+
+    Only the branches of a node that differs are looked at, so equal trees cost
+    their roots; the driver sees one flag a level.
+    """
+    side = lambda t, n: t.select("level", "node", F.col("rows").alias(f"{n}_rows"), F.col("hash").alias(f"{n}_hash"))
+    out, parents, level, deepest = None, None, 0, max(t.agg(F.max("level")).first()[0] or 0 for t in (old, new))
+    while level <= deepest:
+        one, two = (side(t.where(F.col("level") == level), n) for t, n in ((old, "old"), (new, "new")))
+        if parents is not None:
+            one, two = (x.join(parents, F.substring("node", 1, level - 1) == parents["parent"], "left_semi") for x in (one, two))
+        both = one.join(two, ["level", "node"], "full").where(~F.col("old_hash").eqNullSafe(F.col("new_hash")) | ~F.col("old_rows").eqNullSafe(F.col("new_rows")))
+        found = settle(both.select("level", "node", F.coalesce("old_rows", F.lit(0)).alias("old_rows"), F.coalesce("new_rows", F.lit(0)).alias("new_rows")))
+        out = found if out is None else out.unionByName(found)
+        if found.isEmpty():
+            break
+        parents, level = found.select(F.col("node").alias("parent")), level + 1
+    return out
+
+
+def changed_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], depth: int = 3) -> DataFrame:
+    """Rows of the leaves that differ, in one of the tables and not, or not so often, in the other; ``side`` is old or new."""
+    leaves = changed_nodes(hash_tree(old, keys, depth), hash_tree(new, keys, depth)).where(F.col("level") == depth).select(F.col("node").alias("_leaf"))
+    named = F.substring(F.md5(F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in keys))), 1, depth)
+    a, b = (t.withColumn("_leaf", named).join(leaves, "_leaf", "left_semi").drop("_leaf") for t in (old, new))
+    return a.exceptAll(b).withColumn("side", F.lit("old")).unionByName(b.exceptAll(a).withColumn("side", F.lit("new")))
+
+
 def rule_version(rules: object) -> str:
     return hashlib.sha256(json.dumps(rules, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
 

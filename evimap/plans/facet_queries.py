@@ -5,6 +5,7 @@ from __future__ import annotations
 from evimap.functions import text as T
 from evimap.operators import charts, evidence, explore, facets, sampling
 from evimap.operators.dedup import top_per_key, with_most_values
+from evimap.operators.lineage import settle
 from evimap.plans.queries import query, table
 from pyspark.sql import functions as F
 
@@ -313,3 +314,18 @@ def detail_index(spark, d):
 @query("with r as (select *, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) rank from orders) select o_custkey, cast(rank as int) rank, o_orderkey from r where rank <= 10")
 def top_ten_per_study(spark, d):
     return top_per_key(table(spark, d, "orders"), ["o_custkey"], 10, F.desc("o_totalprice"), F.col("o_orderkey")).select("o_custkey", "rank", "o_orderkey")
+
+
+@query("""with x as (select *, o_orderkey % 10 k from orders), n as (select case when k = 1 then 'replaced' else o_orderpriority end p, case when k = 2 then 'Z' else o_orderstatus end s, o_custkey, o_orderstatus = 'F' f from x where k <> 3),
+l as (select 'priority' facet, p as value, o_custkey, f from n union all select 'status', s, o_custkey, f from n) select facet, value, count(*) mention_count, count(distinct o_custkey) study_count, count(distinct case when f then o_custkey end) placebo_study_count from l group by 1, 2""")
+def kept_facets(spark, d):
+    """Facet counts carried through three increments (rows replaced twice, rows removed) instead of counted again."""
+    o, k = table(spark, d, "orders").withColumn("flag", F.col("o_orderstatus") == "F"), F.col("o_orderkey") % 10
+    by = ({"priority": F.col("o_orderpriority"), "status": F.col("o_orderstatus")}, "o_custkey", F.col("flag"))
+    state = facets.facet_state(o, *by)
+    stats = facets.state_stats(state)
+    for old, new in ((o.where(k == 1), o.where(k == 1).withColumn("o_orderpriority", F.lit("replaced"))), (o.where(k == 2), o.where(k == 2).withColumn("o_orderstatus", F.lit("Z"))), (o.where(k == 3), o.limit(0))):
+        changes = settle(facets.state_changes(old, new, *by))
+        state = settle(facets.added(state, changes))
+        stats = settle(facets.touched_stats(stats, changes, state))
+    return stats

@@ -246,3 +246,21 @@ def canonical_hashes(spark, d):
 @query()
 def table_hash(spark, d):
     return provenance.table_hash(table(spark, d, "lineitem"))
+
+
+_TREE = """n as (select md5('=' || l_orderkey || '|=' || l_linenumber) k, ('0x' || left(md5(l_orderkey || '|' || l_linenumber || '|' || l_returnflag), 15))::bigint h from lineitem)"""
+
+
+@query(f"with {_TREE} select cast(l as int) as level, left(k, l) node, count(*) as rows, cast(sum(h) as varchar) hash from n, range(0, 3) t(l) group by 1, 2")
+def table_tree(spark, d):
+    """The contents of a table as a tree of hashes over buckets of its key."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return provenance.hash_tree(lines, ["l_orderkey", "l_linenumber"], 2, F.concat_ws("|", *lines.columns)).withColumn("hash", F.col("hash").cast("string"))
+
+
+@query("""select o_orderkey, o_orderstatus, 'old' side from orders where o_orderkey % 500 in (3, 7) union all select o_orderkey, 'changed', 'new' from orders where o_orderkey % 500 = 7 union all select -o_orderkey, 'added', 'new' from orders where o_orderkey % 500 = 9""")
+def traced_changes(spark, d):
+    """Rows that were changed, removed or added between two states of a table, found through their trees."""
+    old, k = table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), F.col("o_orderkey") % 500
+    new = old.where(k != 3).withColumn("o_orderstatus", F.when(k == 7, "changed").otherwise(F.col("o_orderstatus"))).unionByName(old.where(k == 9).select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit("added").alias("o_orderstatus")))
+    return provenance.changed_rows(old, new, ["o_orderkey"])
