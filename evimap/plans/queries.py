@@ -30,5 +30,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 from evimap.plans import facet_queries, landed_queries, map_queries, pipeline_queries, text_queries  # noqa: E402, F401
 
 
-def entry(spark: SparkSession) -> DataFrame:
-    return QUERIES["facet_stats"](spark, "/root/testdata/sf0.001")
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["facet_stats"](spark, sf_dir)

@@ -113,6 +113,41 @@ def test_stream_of_increments(spark, tmp_path, replay):
     assert rows(upserts.current(spark, table, shape)) == [("NCT001", "a", 1), ("NCT002", "b2", 2), ("NCT003", "c", 2)]
 
 
+def size_of(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_buckets_split_as_the_table_grows(spark, tmp_path):
+    """A batch rewrites a bounded share of the files while the table grows to ten times its size, and the table stays that of a plain upsert."""
+    table, shape, most, rng = tmp_path / "t", "id long, body string, seq long", 200, random.Random(1)
+    want, written = {}, []
+    def land(number, keys):
+        batch = [(k, f"{number}-{k}-" + "x" * 40, number) for k in keys]
+        upserts.merge(frame(spark, batch, shape), number, str(table), shape, ["id"], ["seq"], most)
+        want.update({r[0]: r for r in batch})
+    land(0, range(300))
+    for n in range(1, 10):
+        land(2 * n - 1, range(300 * n, 300 * (n + 1)))
+        land(2 * n, rng.sample(range(300 * n), 2))
+        written.append(size_of(table / f"version={2 * n}"))
+    entries = upserts.directory(spark, str(table))
+    assert len(entries) > 15 and all(rows <= most for _, _, rows in entries) and sum(rows for _, _, rows in entries) == 3000
+    prefixes = [b for b, _, _ in entries]
+    assert sum(2.0 ** -len(p) for p in prefixes) == 1.0  # they cover every hash once
+    assert max(written[4:]) <= 2 * max(written[:2])
+    assert rows(upserts.current(spark, str(table), shape)) == sorted(want.values(), key=str)
+    # a batch that runs again changes nothing, an older state can still be read, and old files go
+    upserts.merge(frame(spark, [(5, "again", 30)], shape), 30, str(table), shape, ["id"], ["seq"], most)
+    once = rows(upserts.current(spark, str(table), shape))
+    upserts.merge(frame(spark, [(5, "again", 30)], shape), 30, str(table), shape, ["id"], ["seq"], most)
+    assert rows(upserts.current(spark, str(table), shape)) == once
+    assert rows(upserts.current(spark, str(table), shape, before=30)) == sorted(want.values(), key=str)
+    assert rows(upserts.lookup(spark, str(table), shape, ["id"], frame(spark, [(5,), (77777,)], "id long"))) == [(5, "again", 30)]
+    before = size_of(table)
+    assert upserts.vacuum(spark, str(table)) > 10 and size_of(table) < before / 2 and rows(upserts.current(spark, str(table), shape)) == once
+    assert rows(upserts.current(spark, str(tmp_path / "none"), shape)) == []
+
+
 def test_badges_and_changes(spark):
     runs = frame(spark, [("a", 1, 0, 0, 100), ("a", 2, 0, 0, 104), ("a", 3, 0, 0, 104), ("a", 4, 1, 0, 200), ("a", 5, 0, 1, 200)], "label string, n int, failed int, major int, studies int")
     assert [r.badge for r in provenance.badges(runs, "label", "n", "failed", "major").orderBy("n").collect()] == ["silver", "silver", "gold", "bronze", "silver"]
