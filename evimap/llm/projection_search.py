@@ -81,21 +81,22 @@ class Index:
         order, self.starts, self.low, self.high = tree(points)
         self.ends = np.append(self.starts[1:], len(order))
         self.points, self.vectors, self.members, self.norm = points[order], distinct[order], [members[i][: k + 1] for i in order], norm
+        self.squares = (self.points * self.points).sum(1)
 
     def candidates(self, at: np.ndarray):
         """Rows and squared projected distances from ``at``, in ascending runs: no later run has a smaller distance."""
         gap = np.maximum(0, np.maximum(self.low - at, at - self.high))
         bound = (gap * gap).sum(1)
         leaves = np.argsort(bound, kind="stable")
-        rows, far, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
+        rows, far, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 48
         while done < len(leaves) or len(rows):
             took = leaves[done : done + step]
-            done, step = done + len(took), min(2 * step, 128)
-            new = np.concatenate([np.arange(self.starts[x], self.ends[x]) for x in took]) if len(took) else np.zeros(0, np.int64)
-            away = self.points[new] - at
-            rows, far = np.concatenate([rows, new]), np.concatenate([far, (away * away).sum(1)])
+            done, step = done + len(took), min(2 * step, 384)
+            sizes = self.ends[took] - self.starts[took]
+            new = np.repeat(self.starts[took] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            rows, far = np.concatenate([rows, new]), np.concatenate([far, np.maximum(0, self.squares[new] + at @ at - 2 * (self.points[new] @ at))])
             ready = far <= (bound[leaves[done]] if done < len(leaves) else np.inf)
-            order = np.argsort(far[ready], kind="stable")
+            order = np.argsort(far[ready])
             yield rows[ready][order], far[ready][order]
             rows, far = rows[~ready], far[~ready]
 
@@ -103,7 +104,7 @@ class Index:
         """(-score, key) of the best k but ``key`` itself, and how many vectors were verified."""
         exact_q, q = q, q / np.abs(q).max() if self.unit != 1.0 else q
         scale = self.norm / math.sqrt(float(q @ q))
-        rows, scores, worst, n, size, stop = [], [], -np.inf, 0, 64, False
+        rows, scores, worst, n, size, stop = [], [], -np.inf, 0, 128, False
         for own, far in self.candidates((q * scale) @ self.matrix[:-1]):
             a = 0
             while a < len(own):
@@ -112,8 +113,8 @@ class Index:
                     stop = True
                     break
                 took = own[a : a + size]
-                a, size = a + size, min(2 * size, 512)
-                rows.append(took), scores.append((self.vectors[took] / self.unit) @ q)
+                a, size = a + size, min(2 * size, 2048)
+                rows.append(took), scores.append(self.vectors[took] @ q if self.unit == 1.0 else (self.vectors[took] / self.unit) @ q)
                 n += len(took)
                 every = np.concatenate(scores)
                 if len(every) > k:
