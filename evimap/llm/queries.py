@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def file(spark: SparkSession, setting: str, default: str) -> bytes:
+    return Path(spark.conf.get(setting, default)).read_bytes()
+
+
 def fold(n: int, held: int, key: str = "doc_id"):
     """True for the rows of the held-out fold."""
     return F.crc32(F.col(key).cast("string")) % n == held
@@ -33,8 +37,13 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return packing.pack(packing.sized(docs, "doc_id", "text", "source"), "doc_id", "n_tokens", "source", "cluster")
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Bins of 2,048 tokens; no two documents of a source, and no duplicates, share one."""
+    rows = packing.sized(docs, "doc_id", "text", "source", file(docs.sparkSession, BYTES_SETTING, BYTES))
+    return packing.pack(rows, "doc_id", "n_tokens", "source", "clusters", "row_hash").drop("row_hash", "copy")
 
 
 def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,8 +93,7 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = (Path(spark.conf.get(*names)).read_bytes() for names in ((BYTES_SETTING, BYTES), (PIECES_SETTING, PIECES)))
-    return token_alignment.linked(table(spark, sf_dir, "documents"), "doc_id", "text", a, b)
+    return token_alignment.linked(table(spark, sf_dir, "documents"), "doc_id", "text", file(spark, BYTES_SETTING, BYTES), file(spark, PIECES_SETTING, PIECES))
 
 
 QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_jaccard_join, op3_best_fit_packing, op4_suffix_tree_lm, op5_suffix_dedup, op6_language_id, op7_scaled_sketch, op8_unigram_pieces, op9_projection_search, op10_nbsvm_quality, op11_quality_rules, op12_embedding_whitening, op13_token_alignment)}

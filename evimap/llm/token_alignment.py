@@ -153,27 +153,41 @@ def fragment(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -
     return Fragment((a[: x[0]], b[: y[0]]), True, closed, (a[x[-1] :], b[y[-1] :]), n)
 
 
-class Coder:
-    """Both tokenizers in one process."""
+class ByteLevel:
+    """A byte-level BPE of a published file, in one process."""
 
-    def __init__(self, a: bytes, b: bytes) -> None:
-        import sentencepiece
+    def __init__(self, file: bytes) -> None:
         import tiktoken
         from tokenizers import Tokenizer
 
-        model = json.loads(a)["model"]
+        model = json.loads(file)["model"]
         # Byte-level tokenizers write each byte as a printable character: itself, or else one from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(x): x for x in plain} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in plain)}
         ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.in_order = [model["vocab"]["".join(m)] for m in merges] == list(range(256, 256 + len(merges)))
-        self.a_slow = Tokenizer.from_str(a.decode())
-        self.a_slow.encode_special_tokens = True
-        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
+        self.slow = Tokenizer.from_str(file.decode())
+        self.slow.encode_special_tokens = True
+        self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.spelled = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+
+    def encode(self, text: str) -> list[int]:
+        """By ranks where ids are ranks: the same ids four times as fast, but long runs of white space are too deep for its pattern."""
+        if not self.in_order or _RUN.search(text):
+            return self.slow.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
+class Coder:
+    """Both tokenizers in one process."""
+
+    def __init__(self, a: bytes, b: bytes) -> None:
+        import sentencepiece
+
+        self.a, self.b = ByteLevel(a), sentencepiece.SentencePieceProcessor(model_proto=b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.a_bytes = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        self.a_bytes = self.a.spelled
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.sizes = [np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes)]
         self.apart = not any(re.search("[^▁]▁", p) for p in pieces)
@@ -185,18 +199,12 @@ class Coder:
         joined = f" {text}"
         return [u[1:] for u in _CUT.split(joined)] if _ODD.search(joined) else text.split(" ")
 
-    def encode_a(self, text: str) -> list[int]:
-        """By ranks where ids are ranks: the same ids four times as fast, but long runs of white space are too deep for its pattern."""
-        if not self.in_order or _RUN.search(text):
-            return self.a_slow.encode(text, add_special_tokens=False).ids
-        return self.a.encode_ordinary(text)
-
     def range(self, text: str, lo: int = 0, hi: int | None = None) -> Fragment | None:
         """Fragment of the tokens that end in (lo, hi] bytes of a space and the text; None where a tokenizer does not give these back."""
         if not text:
             return None
         spelled, sides = f" {text}".encode(), []
-        for ids, table, sizes in ((self.encode_a(f" {text}"), self.a_bytes, self.sizes[0]), (self.b.encode(text), self.b_bytes, self.sizes[1])):
+        for ids, table, sizes in ((self.a.encode(f" {text}"), self.a_bytes, self.sizes[0]), (self.b.encode(text), self.b_bytes, self.sizes[1])):
             if b"".join([table[i] for i in ids]) != spelled:
                 return None
             ids = np.array(ids, np.int64)

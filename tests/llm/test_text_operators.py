@@ -1,11 +1,14 @@
 import hashlib
 import math
+import os
 import random
 
 import numpy as np
+import pytest
 import zstandard
 
-from evimap.llm import language_id, nbsvm, packing, preference, scaled_sketch
+from evimap.llm import language_id, nbsvm, packing, preference, queries, scaled_sketch
+from evimap.llm.token_alignment import ByteLevel
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double"
@@ -159,7 +162,7 @@ def test_descent_solves_the_hinge_loss():
 def test_best_fit_takes_the_tightest(spark):
     rng = random.Random(3)
     items = sorted(((rng.randint(0, 60), rng.choice(["a", "a", "b", "c", None, ""]), rng.choice([None, 1, 2, 3, 4])) for _ in range(300)), key=lambda x: -x[0])
-    placed = packing.best_fit(items, 100)
+    placed = packing.best_fit([(n, s, [] if c is None else [c]) for n, s, c in items], 100)
     bins = {}
     for (n, s, c), (b, start) in zip(items, placed):
         own = bins.setdefault(b, [0, set(), set()])
@@ -174,13 +177,17 @@ def test_best_fit_takes_the_tightest(spark):
         assert own[0] <= 100
 
 
+@pytest.mark.skipif(not os.path.exists(queries.BYTES), reason="tokenizer files are not here")
 def test_pack_places_everything(spark):
-    rows = documents() + ODD + [ODD[-1]]
-    sized = packing.word_counts(spark.createDataFrame(rows, DOCS), "text").withColumn("cluster", F.xxhash64("text"))
-    got = packing.pack(sized, "doc_id", "n_tokens", "source", "cluster").collect()
+    rows = documents() + ODD + [ODD[-1]] * 3 + [(905, "ab " * 40_000, "en", "s2", 1, 0.0)]
+    bpe = open(queries.BYTES, "rb").read()
+    coder = ByteLevel(bpe)
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    sized = packing.sized(df, "doc_id", "text", "source", bpe)
+    got = packing.pack(sized, "doc_id", "n_tokens", "source", "clusters", "row_hash").collect()
     want = {}
     for d, t, *_ in rows:
-        want[d] = want.get(d, 0) + len((t or "").split()) + 1
+        want[d] = want.get(d, 0) + len(coder.encode(t or "")) + 1
     have, bins = {}, {}
     for r in got:
         have[r.doc_id] = have.get(r.doc_id, 0) + r.n_tokens
@@ -188,22 +195,35 @@ def test_pack_places_everything(spark):
     assert have == want
     for own in bins.values():
         own.sort()
-        assert all(a[0] + a[1] <= b[0] for a, b in zip(own, own[1:])) and own[-1][0] + own[-1][1] <= packing.CAPACITY
-    assert packing.pack(sized.limit(0), "doc_id", "n_tokens", "source", "cluster").collect() == []
-
-
-def test_preference_pairs(spark):
-    shape = "conv_id long, turn long, role string, text string, prompt string"
-    a = [(1, 0, "system", "Be brief", ""), (1, 1, "user", "Hi", ""), (1, 2, "assistant", "Hello é", ""), (1, 3, "user", "Bye", ""), (1, 4, "assistant", None, ""), (2, 0, "user", "x", ""), (3, 0, None, None, ""), (None, 0, "user", "lost", "")]
-    b = [(1, 0, "system", "Be brief", ""), (1, 1, "user", "Hi", ""), (1, 2, "assistant", "Go away", ""), (2, 0, "user", "x", "")]
-    got = {r.conv_id: r for r in preference.preference_pairs(*(preference.conversations(spark.createDataFrame(x, shape)) for x in (a, b))).collect()}
-    assert set(got) == {1, 2, 3}
-    one = got[1]
-    assert one.n_prompt_turns == 2 and one.prompt == "<|system|>\nBe brief<|end|>\n<|user|>\nHi<|end|>\n"
-    assert [one.chosen[int(x) : int(y)] for x, y in (s.split("-") for s in one.chosen_spans.split(","))] == ["Hello é<|end|>", "<|end|>"]
-    assert one.rejected == "<|assistant|>\nGo away<|end|>\n" and one.rejected_spans == "14-28"
-    assert (got[2].chosen, got[2].rejected, got[2].n_prompt_turns) == ("", "", 1)
-    assert got[3].rejected == "" and got[3].chosen == "<||>\n<|end|>\n"
+        assert all(a[0] + a[1] == b[0] for a, b in zip(own, own[1:])) and own[0][0] == 0 and own[-1][0] + own[-1][1] <= packing.CAPACITY
+    assert packing.pack(sized.limit(0), "doc_id", "n_tokens", "source", "clusters", "row_hash").collect() == []
+    # the same by plain loops: groups by hash, then best fit over sets instead of bitmaps
+    facts = {(r.doc_id, r.row_hash): r for r in sized.collect()}
+    for g in {r.bin_id >> 32 for r in got}:
+        own = sorted((r for r in got if r.bin_id >> 32 == g), key=lambda r: (-r.n_tokens, r.doc_id is None, r.doc_id or 0, r.piece, r.row_hash, r.copy))
+        open_: list = []
+        for r in own:
+            fact = facts[r.doc_id, r.row_hash]
+            fits = [b for b in open_ if b[0] >= r.n_tokens and not (fact.source and fact.source in b[1]) and not b[2] & set(fact.clusters)]
+            tight = min((b[0] for b in fits), default=None)
+            mine = next((b for b in open_ if b[3] == r.bin_id), None)
+            if mine is None:
+                assert not fits and r.start == 0
+                open_.append(mine := [packing.CAPACITY, set(), set(), r.bin_id])
+            else:
+                assert mine[0] == tight and mine in fits
+            mine[0] -= r.n_tokens
+            mine[1].add(fact.source), mine[2].update(fact.clusters)
+    # whole sequences give every text back
+    decode = lambda ids: b"".join(coder.spelled[i] for i in ids).decode()
+    texts = {}
+    for r in packing.sequences(df, "doc_id", "text", "source", bpe, 50256).collect():
+        assert len(r.ids) <= packing.CAPACITY and len(r.ids) == sum(s.n_tokens for s in r.segments)
+        for s in r.segments:
+            texts.setdefault(s.key, []).append((s.piece, r.ids[s.start : s.start + s.n_tokens]))
+    for d in (0, 5, 17, 905):
+        whole = [i for _, own in sorted(texts[d]) for i in own]
+        assert whole[-1] == 50256 and decode(whole[:-1]) == next(t for k, t, *_ in rows if k == d)
 
 
 def test_answers_of_any_keys(spark):
