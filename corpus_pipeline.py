@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from evimap.llm import jaccard_join, language_id, nbsvm, packing, suffix_dedup
+from evimap.llm import jaccard_join, language_id, nbsvm, queries, suffix_dedup
 from evimap.llm.components import shared_folder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +55,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bins of 2,048 tokens; no two documents of a source, and no near copies, share one."""
-    return packing.pack(packing.sized(docs.select(COLUMNS), "doc_id", "text", "source"), "doc_id", "n_tokens", "source", "cluster")
+    """Bins of 2,048 tokens; no two documents of a source, and no duplicates, share one."""
+    return queries.packed(docs.select(COLUMNS))
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("repeats", repeats), ("sequences", sequences)]
