@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from evimap.functions import text as T
-from evimap.operators import charts, evidence, explore, facets, sampling
+from evimap.operators import charts, evidence, explore, facets, sampling, search_index
 from evimap.operators.dedup import top_per_key, with_most_values
 from evimap.operators.lineage import settle
 from evimap.plans.queries import query, table
+from evimap.plans.staging import staged
 from pyspark.sql import functions as F
 
 _ROWS = "rows_ as (select l.*, o.o_orderstatus, o.o_orderpriority, o.o_custkey, o.o_orderdate, o.o_orderstatus = 'P' flag, p.p_brand, p.p_type from lineitem l join orders o on o.o_orderkey = l.l_orderkey join part p on p.p_partkey = l.l_partkey)"
@@ -298,6 +299,30 @@ def search_language(spark, d):
     return found.select(F.col("l_orderkey").alias("o_orderkey"), F.explode(hits).alias("hit")).distinct()
 
 
+def indexed(spark, d):
+    """Lines with their part and order, written with an index of three texts."""
+    parts = table(spark, d, "part").select("p_partkey", "p_name")
+    lines = rows(spark, d).join(parts, "p_partkey").withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path = staged(spark, "index")
+    search_index.build(lines, {"p_name": F.col("p_name"), "p_brand": F.col("p_brand"), "any": F.concat_ws(" ", "o_orderpriority", "o_orderstatus")}, path)
+    return search_index.Index(spark, path)
+
+
+@query("""select 'brand' hit, l_orderkey, l_linenumber from lineitem join part on p_partkey = l_partkey where lower(p_brand) like '%and#23%' union all select 'year', l_orderkey, l_linenumber from lineitem join orders on o_orderkey = l_orderkey where year(o_orderdate) > 2000
+union all select 'any', l_orderkey, l_linenumber from lineitem join orders on o_orderkey = l_orderkey where lower(o_orderpriority || ' ' || o_orderstatus) like '%urgent f%' union all
+select 'both', l_orderkey, l_linenumber from lineitem join part on p_partkey = l_partkey join orders on o_orderkey = l_orderkey where (lower(p_name) like '%art%' or lower(p_brand) like '%d#1%') and lower(p_brand) like '%#1%' and o_orderstatus = 'F'""")
+def indexed_search(spark, d):
+    """Searches and a filter that read only the buckets and rows that the index leaves."""
+    found, flag = indexed(spark, d), F.col("flag")
+    find = lambda q: found.search(q, {"brand": "p_brand"}, ("any", ["o_orderpriority", "o_orderstatus"]), "day", flag)
+    state = explore.FilterState(contains={"p_name|p_brand": "d#1", "p_brand": "#1"}, equals={"o_orderstatus": "F"})
+    wide = explore.FilterState(contains={"p_name": "art", "p_brand": "#1"}, equals={"o_orderstatus": "F"})
+    both = found.filtered(state).unionByName(found.filtered(wide)).distinct()
+    parts = {"brand": find("brand:AND#23"), "year": find("year:>2000"), "any": find("URGENT F"), "both": both}
+    out = [x.select(F.lit(n).alias("hit"), "l_orderkey", "l_linenumber") for n, x in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query("select o_orderkey, o_orderpriority, o_totalprice from orders order by lower(o_orderpriority) desc, o_totalprice, o_orderkey limit 100")
 def sorted_page(spark, d):
     return explore.sorted_page(table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), "o_orderpriority", True, 100, ["o_totalprice", "o_orderkey"])
