@@ -28,6 +28,6 @@ def test_same_as_a_scan(spark, tmp_path):
     hits = index.candidates([[("title", "needle")]])
     assert ids(hits) == [5000, 5001]
     plan = hits._jdf.queryExecution().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*\(_bucket#\d+ = \d+\)|PartitionFilters: \[[^\]]*_bucket#\d+ IN \(\d+\)", plan) and df.rdd.getNumPartitions() == 9
+    assert re.search(r"PartitionFilters: \[[^\]]*\(_bucket#\d+L? = \d+\)|PartitionFilters: \[[^\]]*_bucket#\d+L? IN \(\d+\)", plan) and df.rdd.getNumPartitions() == 9
     search_index.build(df.limit(0), {"title": F.col("title")}, str(tmp_path / "none"))
     assert search_index.Index(spark, str(tmp_path / "none")).filtered(explore.FilterState(contains={"title": "shock"})).collect() == []
