@@ -10,7 +10,8 @@ at the cost of the least log probability minus 10 for each character.  Where no
 piece has a marker after another character (``load`` looks), texts fall into
 segments (a run of markers, then other characters) that are solved
 independently; else a text is one segment.  A task solves the distinct segments
-together, all at once, one byte position after the other.
+together, all at once, one byte position after the other, and segments above
+``ALONE`` bytes each by itself in time linear in their length.
 
 Decoding joins the pieces, turns markers into spaces and drops the first one; it
 gives back every text.  Null and empty texts have no pieces.  Columns that the
@@ -20,7 +21,9 @@ result adds replace columns of the same name; an empty table stays empty.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+import math
+from array import array
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,8 @@ MARK = "▁"
 _SEGMENT = regex.compile(rb" *[^ ]+| +")
 #: Distinct segments that a task remembers.
 _REMEMBERED = 300_000
+#: Bytes above which a segment is solved by itself.
+ALONE = 2048
 
 
 @dataclass
@@ -46,6 +51,7 @@ class Vocabulary:
     byte: np.ndarray  # id of each byte's piece
     unknown: float
     apart: bool  # no piece has a marker after another character
+    lists: list = field(default_factory=list)  # the trie and the scores as lists, made where long segments are solved
 
 
 def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,6 +186,41 @@ def solve(segments: list[bytes], v: Vocabulary) -> list[np.ndarray]:
     return out
 
 
+def solve_long(segment: bytes, v: Vocabulary) -> np.ndarray:
+    """The same for one segment, walking the trie byte by byte: where nothing stands beside it, arrays of one row only cost."""
+    if not v.lists:
+        v.lists.extend(x.tolist() for x in (v.base, v.check, v.piece, v.score))
+    (base, check, piece, score), n, never = v.lists, len(segment), -math.inf
+    best, came, ident = array("d", [never]) * (n + 1), array("q", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+    best[0] = 0.0
+    for s in range(n):
+        at = best[s]
+        if at == never:
+            continue
+        lead = segment[s]
+        char, single, node, t = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4, False, 0, s
+        while t < n and base[node] > 0:
+            to = base[node] + segment[t]
+            if check[to] != node:
+                break
+            node, t = to, t + 1
+            p = piece[node]
+            if p >= 0:
+                if at + score[p] > best[t]:
+                    best[t], came[t], ident[t] = at + score[p], s, p
+                single |= t - s == char
+        if not single:
+            t = min(s + char, n)
+            if at + v.unknown > best[t]:
+                best[t], came[t], ident[t] = at + v.unknown, s, -1
+    path, t = [], n
+    while t:
+        s, p = came[t], ident[t]
+        path += [p] if p >= 0 else [int(v.byte[b]) for b in reversed(segment[s:t])]
+        t = s
+    return np.array(path[::-1], np.int64)
+
+
 def encode(texts: list[str | None], v: Vocabulary, memory: dict) -> list[np.ndarray]:
     pieces, parts = [], []
     for t in texts:
@@ -189,6 +230,9 @@ def encode(texts: list[str | None], v: Vocabulary, memory: dict) -> list[np.ndar
     if len(memory) + len(new) > _REMEMBERED:
         memory.clear()
         new = list({s for p in parts for s in p})
+    long = [s for s in new if len(s) > ALONE]
+    memory.update(zip(long, (solve_long(s, v) for s in long)))
+    new = [s for s in new if len(s) <= ALONE]
     memory.update(zip(new, solve(new, v)))
     for p in parts:
         pieces.append(np.concatenate([memory[s] for s in p]) if p else np.zeros(0, np.int64))

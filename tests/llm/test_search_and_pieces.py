@@ -1,5 +1,6 @@
 import math
 import os
+import time
 
 import numpy as np
 import pytest
@@ -110,6 +111,17 @@ def test_pieces_are_best_and_come_back(spark, vocabulary):
     assert U.encoded(rows.limit(0), "text", vocabulary).collect() == []
 
 
+def test_long_text_without_spaces(vocabulary):
+    rng = np.random.default_rng(3)
+    for letters in ("abcdefghijklmnop", "theingation", "x", "日本語é🙂a"):
+        segment = (" " + "".join(rng.choice(list(letters), 1500))).encode()
+        assert U.solve_long(segment, vocabulary).tolist() == U.solve([segment], vocabulary)[0].tolist()
+    text = "".join(rng.choice(list("theingationrs"), 1_000_000))
+    began = time.time()
+    ids = U.encode([text], vocabulary, {})[0]
+    assert time.time() - began < 30 and U.decode(ids, vocabulary) == text  # about 3 s on an idle core
+
+
 def test_ranks_become_log_probabilities(vocabulary):
     plain = np.isfinite(vocabulary.score)
     assert plain.sum() > 31000 and math.isclose(np.exp(vocabulary.score[plain]).sum(), 1.0) and vocabulary.apart
