@@ -107,6 +107,15 @@ def heads(spark, d):
     return docs(spark, d).select("doc_id", "source", F.lower(T.normal_space(F.regexp_replace(first, r"[^\x00-\x7F]", "?"))).alias("t"), "lang")
 
 
+# Where no edit distance is taken, titles are compared as they are, in every script.
+_TITLES = r"h as (select doc_id, source, lower(trim(regexp_replace(split_part(text, chr(10), 1), '\s+', ' ', 'g'))) t from documents)"
+
+
+def whole_titles(spark, d):
+    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    return docs(spark, d).select("doc_id", "source", F.lower(T.normal_space(first)).alias("t"))
+
+
 _BOTH = "a as (select doc_id, t from h where source like 'src1%'), b as (select doc_id, t from h where source not like 'src1%')"
 
 
@@ -117,9 +126,10 @@ def halves(spark, d):
     return h.where(one), h.where(~one)
 
 
-@query(f"with {_HEADS}, {_BOTH} select a.doc_id left_id, min(b.doc_id) right_id from a join b on a.t = b.t and a.t <> '' group by 1")
+@query(f"with {_TITLES}, {_BOTH} select a.doc_id left_id, min(b.doc_id) right_id from a join b on a.t = b.t and a.t <> '' group by 1")
 def exact_titles(spark, d):
-    return resolve.exact_title_matches(*halves(spark, d), "doc_id", "doc_id", "t", "t")
+    h, one = whole_titles(spark, d), F.col("source").startswith("src1")
+    return resolve.exact_title_matches(h.where(one), h.where(~one), "doc_id", "doc_id", "t", "t")
 
 
 _SPLIT = r"list_distinct(list_filter(string_split_regex(t, '[^\pL\pN\pM_]+'), lambda w: length(w) >= 4))"
@@ -162,9 +172,9 @@ def known_pairs(spark, d):
     return resolve.known_pairs(pairs, h, h, "doc_id", "doc_id", "t", "t").withColumn("similarity", F.round("similarity", 6))
 
 
-@query(f"with {_HEADS}, w as (select doc_id, {_SPLIT} w from h) select a.doc_id, round(case when len(a.w) + len(b.w) > 0 then len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) else 0 end, 6) jaccard from w a join w b on b.doc_id = a.doc_id + 1")
+@query(f"with {_TITLES}, w as (select doc_id, {_SPLIT} w from h) select a.doc_id, round(case when len(a.w) + len(b.w) > 0 then len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) else 0 end, 6) jaccard from w a join w b on b.doc_id = a.doc_id + 1")
 def word_jaccard(spark, d):
-    h = heads(spark, d).select("doc_id", T.title_words(F.col("t")).alias("w"))
+    h = whole_titles(spark, d).select("doc_id", T.title_words(F.col("t")).alias("w"))
     after = h.select((F.col("doc_id") - 1).alias("doc_id"), F.col("w").alias("v"))
     return h.join(after, "doc_id").select("doc_id", F.round(T.word_jaccard(F.col("w"), F.col("v")), 6).alias("jaccard"))
 
