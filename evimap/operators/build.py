@@ -47,9 +47,14 @@ class Build:
         found = old.unionByName(resolve.remap(new, self.names.key, self.crosswalk))
         return settle(evidence.living_map(found, self.studies, self.names.key, rules=self.rules))
 
+    @cached_property
+    def state(self) -> DataFrame:
+        """Support counts of all facets: the one pass over the map that facets and rules share, and what increments add to."""
+        return settle(facets.facet_state(self.map, {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.names.facets}, self.names.key, self._placebo))
+
     @property
     def facets(self) -> DataFrame:
-        return facets.facet_stats(self.map, {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.names.facets}, self.names.key, self._placebo)
+        return facets.state_stats(self.state)
 
     @property
     def totals(self) -> DataFrame:
@@ -58,7 +63,7 @@ class Build:
     @property
     def quality(self) -> DataFrame:
         n = self.names
-        facts = quality.map_facts(self.map, self.studies, n.key, "normalized_keyword", "normalized_unit", self._placebo, self.id_ok, self.rules.adjuncts, n.enrollment, n.enrollment_type, {f"facet_{c}": c for c in n.facets})
+        facts = quality.state_facts(self.state, self.studies, n.key, "normalized_keyword", "normalized_unit", self.id_ok, self.rules.adjuncts, n.enrollment, n.enrollment_type, n.facets)
         orphans = quality.no_orphans(evidence.orphan_counts(self.map, self.studies, n.key))
         return quality.all_checks([quality.run_checks(facts, quality.map_checks()), orphans])
 

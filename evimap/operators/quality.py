@@ -66,6 +66,33 @@ def map_facts(living_map: DataFrame, studies: DataFrame, key: str, category: str
     return a.crossJoin(F.broadcast(b))
 
 
+def state_facts(state: DataFrame, studies: DataFrame, key: str, category: str, unit: str, id_ok: Column, adjuncts: Sequence[str], enrollment: str, kind: str, sections: Sequence[str] = ()) -> DataFrame:
+    """The facts of ``map_facts`` from ``facets.facet_state`` of the map, so that the rules do not read mentions again.
+
+    ``category`` and ``unit`` name facets of the state, as do ``sections``; a
+    section needs a value that is not blank.
+    """
+    adjunct, n, mine = F.col("value").isin(*adjuncts), F.col("n"), F.col("facet") == category
+    on = lambda c, x: F.sum(F.when(c, x).otherwise(0))
+    per = state.groupBy(F.col("study").alias(key)).agg(
+        on(mine, n).alias("n"), on(mine & (F.col("value") == "Unmapped"), n).alias("unmapped"), on((F.col("facet") == unit) & (F.coalesce(F.trim("value"), F.lit("")) == ""), n).alias("unitless"),
+        on(mine, F.col("flagged")).alias("flagged"), on(mine & adjunct, n).alias("adjunct"), on(mine & ~adjunct, n).alias("core"),
+    )
+    there, zero = F.col(key).isNotNull(), F.lit(0)
+    a = per.agg(
+        *(F.coalesce(F.sum(c), zero).alias(c if c != "n" else "mentions") for c in ("n", "unmapped", "unitless", "adjunct", "core")), F.coalesce(F.sum(F.when(~id_ok, F.col("n"))), zero).alias("bad_ids"),
+        F.count_if((F.col("n") > 0) & there).alias("total"), F.count_if((F.col("flagged") > 0) & there).alias("placebo"), F.count_if((F.col("n") > F.col("flagged")) & there).alias("non_placebo"),
+        F.count_if((F.col("adjunct") > 0) & there).alias("adjunct_studies"), F.count_if((F.col("core") > 0) & there).alias("core_studies"),
+    )
+    named = [category, *(x for x in sections if x != category)]
+    values = state.where(F.trim("value") != "").select("facet", "value").distinct()
+    seen = values.agg(F.count_if(F.col("facet") == category).alias("categories"), *(F.count_if(F.col("facet") == x).alias(f"_{i}") for i, x in enumerate(named)))
+    empty = reduce(lambda x, y: x + y, (F.when(F.col(f"_{i}") > 0, 0).otherwise(1) for i in range(len(named))))
+    number = F.col(enrollment).try_cast("long")
+    b = studies.agg(F.count_if((number > 50000) | ((number == 0) & (F.upper(kind) == "ACTUAL"))).alias("implausible"), F.count("*").alias("studies"))
+    return a.crossJoin(F.broadcast(seen.select("categories", empty.alias("empty_sections")))).crossJoin(F.broadcast(b))  # one row each
+
+
 #: Totals of ``map_facts`` that a summary states.
 TOTALS = ("mentions", "unmapped", "unitless", "total", "placebo", "non_placebo", "adjunct", "core", "adjunct_studies", "core_studies", "categories")
 

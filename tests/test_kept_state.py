@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from evimap.operators import facets, provenance
+from evimap.operators import facets, provenance, quality
 from pyspark.sql import functions as F
 
 SHAPE = "id long, study string, value string, tags array<string>, flag boolean"
@@ -37,6 +37,19 @@ def test_facets_after_ten_increments(spark):
     assert empty.collect() == []
 
 
+def test_rules_from_the_state_are_those_from_the_map(spark):
+    rng = random.Random(7)
+    rows = [(f"N{rng.randrange(40)}" if rng.random() > 0.05 else None, rng.choice(["MAP", "Unmapped", "Adjunct"]), rng.choice(["mmHg", "", None, " "]), rng.choice([True, False, None]), rng.choice(["x", None])) for _ in range(500)]
+    wide = spark.createDataFrame(rows, "nct_id string, cat string, unit string, flag boolean, none string")
+    studies = spark.createDataFrame([("N1", "60000", "ACTUAL"), ("N2", "0", "actual"), ("N3", "x", None)], "nct_id string, n string, t string")
+    ok, flag = F.coalesce(F.col("nct_id") != "N7", F.lit(True)), F.col("flag")
+    names = {"cat": F.col("cat"), "unit": F.col("unit"), "none": F.col("none")}
+    for df in (wide, wide.limit(0)):
+        want = quality.map_facts(df, studies, "nct_id", "cat", "unit", flag, ok, ["Adjunct"], "n", "t", {"s1": "unit", "s2": "none"}).first().asDict()
+        got = quality.state_facts(facets.facet_state(df, names, "nct_id", flag), studies, "nct_id", "cat", "unit", ok, ["Adjunct"], "n", "t", ["unit", "none"]).first().asDict()
+        assert got == {k: v for k, v in want.items() if k in got} and {"categories", "bad_ids", "empty_sections", "implausible", "core_studies"} <= set(got)
+
+
 @pytest.mark.parametrize("kind", ["doubles", "skewed", "equal", "two", "tiny", "edges", "few"])
 def test_exact_quantiles(spark, kind):
     rng = np.random.default_rng(5)
