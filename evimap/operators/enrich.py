@@ -57,14 +57,13 @@ def latest_log(log: DataFrame, keys: list[str], stamp: str, sequence: str) -> Da
     return last_per_key(log, keys, stamp, sequence)
 
 
-def needs_refetch(work: DataFrame, log: DataFrame, keys: list[str], stamp: str, sequence: str, status: str, now: Column, max_age_days: float, good: tuple[str, ...] = ("ok", "empty")) -> DataFrame:
-    """Work items whose latest log row is not good, or older than the limit, or missing."""
-    latest = latest_log(log, keys, stamp, sequence)
-    fresh = latest.where(F.col(status).isin(*good) & (F.timestamp_diff("SECOND", F.col(stamp), now) < max_age_days * 86400))
-    return work.join(fresh.select(*keys), keys, "left_anti")
+def needs_refetch(work: DataFrame, log: DataFrame, keys: list[str], stamp: str, status: str, now: Column, max_age_days: float, good: tuple[str, ...] = ("ok", "empty")) -> DataFrame:
+    """Work items without a good log row that is at most ``max_age_days`` old; an error after a good row does not undo it."""
+    fresh = log.where(F.col(status).isin(*good) & (F.timestamp_diff("MICROSECOND", F.col(stamp), now) <= max_age_days * 86_400_000_000))
+    return work.join(fresh.select(*keys).distinct(), keys, "left_anti")
 
 
-def fetch_cycle(work: DataFrame, log: DataFrame, keys: list[str], fetch: Callable[[DataFrame], DataFrame], stamp: str, sequence: str, status: str, now: Column, max_age_days: float, failed: Column, at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def fetch_cycle(work: DataFrame, log: DataFrame, keys: list[str], fetch: Callable[[DataFrame], DataFrame], stamp: str, status: str, now: Column, max_age_days: float, failed: Column, at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """One gated cycle: fresh items are skipped, the rest fetched, and every fetched item is logged.
 
     ``fetch`` turns the work list (``keys``) into result rows that carry
@@ -72,7 +71,7 @@ def fetch_cycle(work: DataFrame, log: DataFrame, keys: list[str], fetch: Callabl
     to store and the log rows to append: keys, stamp (``at``, else the current
     time), status (ok, empty or error) and the number of rows stored.
     """
-    due = needs_refetch(work, log, keys, stamp, sequence, status, now, max_age_days).select(*keys).distinct()
+    due = needs_refetch(work, log, keys, stamp, status, now, max_age_days).select(*keys).distinct()
     rows = fetch(due)
     bad = F.coalesce(failed, F.lit(False))
     per = rows.groupBy(*keys).agg(F.count_if(~bad).alias("rows"), F.count_if(bad).alias("_failed"))

@@ -396,7 +396,7 @@ def run_strategies(spark, d):
     return records.drop("run_id", "previous")
 
 
-@query("""with g as (select user_id, arg_max(event_type, (ts, event_id)) last, max(ts) t from events group by 1), due as (select user_id from g where not (last in ('click', 'view') and date_sub('second', t, (select max(ts) from events)) < 43200)),
+@query("""with due as (select distinct user_id from events where user_id not in (select user_id from events where event_type in ('click', 'view') and ts >= (select max(ts) from events) - interval 12 hour)),
 r as (select user_id, count(*) filter (user_id % 5 <> 0) as rows, count(*) filter (user_id % 5 = 0) bad from events where event_type = 'view' and user_id in (select user_id from due) group by 1)
 select due.user_id, case when bad > 0 then 'error' when rows > 0 then 'ok' else 'empty' end status, coalesce(rows, 0) as rows, (select count(*) from events where event_type = 'view' and user_id % 5 <> 0 and user_id in (select user_id from due)) stored from due left join r using (user_id)""")
 def fetch_cycle(spark, d):
@@ -405,5 +405,5 @@ def fetch_cycle(spark, d):
     log = e.withColumn("status", F.when(F.col("event_type") == "click", "ok").when(F.col("event_type") == "view", "empty").otherwise("error")).crossJoin(F.broadcast(now))  # one row
     work = e.select("user_id").distinct()
     views = e.where("event_type = 'view'").select("user_id", "value")
-    stored, entries = enrich.fetch_cycle(work, log, ["user_id"], lambda due: views.join(due, "user_id", "left_semi"), "ts", "event_id", "status", F.col("now"), 0.5, F.col("user_id") % 5 == 0)
+    stored, entries = enrich.fetch_cycle(work, log, ["user_id"], lambda due: views.join(due, "user_id", "left_semi"), "ts", "status", F.col("now"), 0.5, F.col("user_id") % 5 == 0)
     return entries.crossJoin(F.broadcast(stored.agg(F.count("*").alias("stored")))).select("user_id", "status", "rows", "stored")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from evimap.functions import text as T
 from evimap.operators import enrich, evidence, incremental, provenance, quality
 from evimap.operators.dedup import last_per_key
+from evimap.operators.lineage import shared_folder
 from evimap.plans.facet_queries import late_orders, rows
 from evimap.plans.queries import query, table
 from evimap.sources import landing
+from evimap.streaming import gating
 from pyspark.sql import functions as F
 
 _CUT = "timestamp '1999-01-01'"
@@ -76,9 +80,13 @@ def updated_since(spark, d):
 _LOG = "log as (select *, case event_type when 'click' then 'ok' when 'view' then 'empty' else 'error' end status, user_id % 9 source from events)"
 
 
-def log(spark, d):
+def logged(events):
     status = F.when(F.col("event_type") == "click", "ok").when(F.col("event_type") == "view", "empty").otherwise("error")
-    return table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value", status.alias("status"), (F.col("user_id") % 9).alias("source"))
+    return events.select("event_id", "ts", "user_id", "event_type", "value", status.alias("status"), (F.col("user_id") % 9).alias("source"))
+
+
+def log(spark, d):
+    return logged(table(spark, d, "events"))
 
 
 @query("with r as (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) k from events) select user_id, event_type, event_id from r where k = 1")
@@ -89,11 +97,22 @@ def latest_log(spark, d):
 _NOW = "(select max(ts) from events)"
 
 
-@query(f"with {_LOG}, r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k from log), m as (select max(ts) m from events) select distinct user_id from events where user_id not in (select user_id from r, m where k = 1 and status in ('ok', 'empty') and date_sub('second', ts, m) < 86400)")
+@query(f"with {_LOG} select distinct user_id from events where user_id not in (select user_id from log where status in ('ok', 'empty') and ts >= {_NOW} - interval 1 day)")
 def needs_refetch(spark, d):
     now = table(spark, d, "events").agg(F.max("ts").alias("now"))
     work = table(spark, d, "events").select("user_id").distinct()
-    return enrich.needs_refetch(work, log(spark, d).crossJoin(F.broadcast(now)), ["user_id"], "ts", "event_id", "status", F.col("now"), 1.0)  # one row
+    return enrich.needs_refetch(work, log(spark, d).crossJoin(F.broadcast(now)), ["user_id"], "ts", "status", F.col("now"), 1.0)  # one row
+
+
+@query(f"""with {_LOG}, n as (select epoch_us(max(ts)) // 1000 now from log), g as (select user_id, source, min(epoch_us(ts) // 1000) filter (event_type = 'signup') asked, max(epoch_us(ts) // 1000) filter (status in ('ok', 'empty')) good from log group by 1, 2)
+select user_id, source, case when good is null then asked else greatest(asked, good + 86400000) end since from g, n where asked is not null and (good is null or good + 86400000 < now)""")
+def fetch_gate(spark, d):
+    """The log as a stream: what is due at its end, from state and timers instead of a pass over the log."""
+    own = f"{shared_folder(spark)}/gate-{uuid.uuid4()}"
+    landed = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")  # one file or a folder of them
+    rows = logged(landed).withColumn("asks", F.col("event_type") == "signup")
+    gating.start(gating.changes(rows, ["user_id", "source"], "ts", "status", "asks", 1.0, clock="ts"), own, "ts").awaitTermination()
+    return gating.work_list(spark.read.schema("user_id long, source long, number long, due boolean, since long").parquet(f"{own}/changes"), ["user_id", "source"])
 
 
 @query(f"with {_LOG}, s as (select source, max(ts) t from log group by 1) select strftime(min(t), '%Y-%m-%d') oldest, round(date_sub('second', min(t), (select max(ts) from events)) / 86400, 4) age_days from s")
