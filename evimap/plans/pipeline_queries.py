@@ -105,14 +105,15 @@ def needs_refetch(spark, d):
 
 
 @query(f"""with {_LOG}, n as (select epoch_us(max(ts)) // 1000 now from log), g as (select user_id, source, min(epoch_us(ts) // 1000) filter (event_type = 'signup') asked, max(epoch_us(ts) // 1000) filter (status in ('ok', 'empty')) good from log group by 1, 2)
-select user_id, source, case when good is null then asked else greatest(asked, good + 86400000) end since from g, n where asked is not null and (good is null or good + 86400000 < now)""")
+select user_id, source, strftime(make_timestamp(1000 * case when good is null then asked else greatest(asked, good + 86400000) end), '%Y-%m-%d %H:%M:%S.%g') since from g, n where asked is not null and (good is null or good + 86400000 < now)""")
 def fetch_gate(spark, d):
     """The log as a stream: what is due at its end, from state and timers instead of a pass over the log."""
     own = f"{shared_folder(spark)}/gate-{uuid.uuid4()}"
     landed = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")  # one file or a folder of them
     rows = logged(landed).withColumn("asks", F.col("event_type") == "signup")
     gating.start(gating.changes(rows, ["user_id", "source"], "ts", "status", "asks", 1.0, clock="ts"), own, "ts").awaitTermination()
-    return gating.work_list(spark.read.schema("user_id long, source long, number long, due boolean, since long").parquet(f"{own}/changes"), ["user_id", "source"])
+    sent = spark.read.schema("user_id long, source long, number long, due boolean, since long").parquet(f"{own}/changes")
+    return gating.work_list(sent, ["user_id", "source"]).withColumn("since", F.date_format(F.timestamp_millis("since"), "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
 @query(f"with {_LOG}, s as (select source, max(ts) t from log group by 1) select strftime(min(t), '%Y-%m-%d') oldest, round(date_sub('second', min(t), (select max(ts) from events)) / 86400, 4) age_days from s")
