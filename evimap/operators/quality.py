@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from evimap.operators.facets import distinct_values
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -120,6 +120,25 @@ def map_checks() -> list[Check]:
     ]
 
 
+#: Rules of ``map_checks`` that rows decide one by one, without a count of studies.
+ROW_RULES = ("id_format", "unmapped", "unit_gap")
+
+
+def row_facts(category: str, unit: str, id_ok: Column, adjuncts: Sequence[str]) -> dict[str, Column]:
+    """Facts of ``map_facts`` that need no grouping, for ``files.write_map`` to gather with the write."""
+    adjunct = F.col(category).isin(*adjuncts)
+    return {
+        "mentions": F.count(F.lit(1)), "unmapped": F.count_if(F.col(category) == "Unmapped"), "unitless": F.count_if(F.coalesce(F.trim(unit), F.lit("")) == ""),
+        "bad_ids": F.count_if(~id_ok), "adjunct": F.count_if(adjunct), "core": F.count_if(~adjunct),
+    }
+
+
+def row_checks(spark: SparkSession, facts: Mapping[str, object]) -> DataFrame:
+    """The rules ``ROW_RULES`` over facts as the write gave them."""
+    one = spark.range(1).select(*(F.lit(facts[n]).cast("long").alias(n) for n in ("mentions", "unmapped", "unitless", "bad_ids")))
+    return run_checks(one, [c for c in map_checks() if c.rule_id in ROW_RULES])
+
+
 def single_fact(df: DataFrame, check: Check) -> DataFrame:
     return run_checks(df, [check])
 

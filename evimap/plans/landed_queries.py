@@ -357,6 +357,20 @@ def enrichment_rules(spark, d):
     return quality.enrichment_checks(facts.crossJoin(F.broadcast(stored)))  # one row each
 
 
+_WRITTEN = """w as (select case when l_linenumber = 7 then 'Unmapped' else l_returnflag end category, case when l_quantity < 20 then ' ' else l_linestatus end unit, l_orderkey > 3 ok from lineitem),
+f as (select count(*) n, count(*) filter (category = 'Unmapped') unmapped, count(*) filter (trim(unit) = '') unitless, count(*) filter (not ok) bad, count(*) filter (category = 'A') adjunct from w)"""
+
+
+@query(f"""with {_WRITTEN} select 'id_format' rule_id, 'P0' severity, bad = 0 passed, n as written, adjunct from f union all select 'unmapped', 'P1', unmapped / n <= 0.05, n, adjunct from f union all select 'unit_gap', 'P1', unitless / n <= 0.4, n, adjunct from f""")
+def written_rules(spark, d):
+    """Rules over what was written, from facts that the write itself gathered."""
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_linenumber") == 7, "Unmapped").otherwise(F.col("l_returnflag")).alias("category"), F.when(F.col("l_quantity") < 20, " ").otherwise(F.col("l_linestatus")).alias("unit"),
+    )
+    facts = files.write_map(rows, staged(spark, "watched"), "broad", quality.row_facts("category", "unit", F.col("l_orderkey") > 3, ["A"]))
+    return quality.row_checks(spark, facts).select("rule_id", "severity", "passed", F.lit(facts["mentions"]).alias("written"), F.lit(facts["adjunct"]).alias("adjunct"))
+
+
 _VERSION = """select sha256('[' || string_agg('["' || p_brand || '", [' || k || ']]', ', ' order by p_brand) || ']') v from (select p_brand, string_agg(p_partkey, ', ' order by p_partkey) k from part where p_partkey <= 3 group by 1)"""
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from evimap.functions import text as T
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,9 +24,16 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(safe).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
-def write_map(df: DataFrame, path: str, label: str) -> None:
-    """Parquet, one partition for each label; other labels stay."""
-    df.withColumn("label", F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("label").parquet(path)
+def write_map(df: DataFrame, path: str, label: str, facts: Mapping[str, Column] | None = None) -> dict[str, object]:
+    """Parquet, one partition for each label; other labels stay.
+
+    ``facts`` are aggregates of the rows (none of them distinct), gathered by the
+    tasks that write them and given back: no second pass reads what was written.
+    """
+    watch = Observation() if facts else None
+    rows = df.observe(watch, *(c.alias(n) for n, c in facts.items())) if watch and facts else df
+    rows.withColumn("label", F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("label").parquet(path)
+    return dict(watch.get) if watch else {}
 
 
 def read_map(spark: SparkSession, path: str, label: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 
 from evimap.operators import greedy, provenance, quality
 from evimap.operators import incremental as I
+from evimap.sources import files
 from evimap.streaming import upserts
 from pyspark.sql import functions as F
 
@@ -162,6 +163,23 @@ def test_quality_rows(spark):
     assert not quality.expected_categories(a, b, "k").first().passed and quality.reference_recall(a, b, "k").first().passed
 
 
+@pytest.mark.parametrize("size", [0, 200])
+def test_facts_gathered_with_the_write(spark, tmp_path, size):
+    """The facts that the write gives back, and their rules, are those of a pass over the written map."""
+    rng = random.Random(5)
+    data = [(rng.choice(["s1", "s2", "bad", None]), rng.choice(["x", "Unmapped", "adj", None]), rng.choice(["mg", " ", None])) for _ in range(size)]
+    wide = frame(spark, data, "nct_id string, category string, unit string").repartition(3)
+    ok = F.col("nct_id").startswith("s")
+    facts = files.write_map(wide, str(tmp_path / "map"), "broad", quality.row_facts("category", "unit", ok, ["adj"]))
+    back = files.read_map(spark, str(tmp_path / "map"), "broad") if size else wide
+    studies = frame(spark, [], "nct_id string, n string, kind string")
+    plain = quality.map_facts(back.drop("label"), studies, "nct_id", "category", "unit", F.lit(True), ok, ["adj"], "n", "kind")
+    want = plain.first().asDict()
+    assert facts == {k: want[k] for k in facts} and facts["mentions"] == size
+    assert rows(quality.row_checks(spark, facts)) == rows(quality.run_checks(plain, quality.map_checks()).where(F.col("rule_id").isin(*quality.ROW_RULES)))
+    assert files.write_map(wide, str(tmp_path / "map"), "narrow") == {}
+
+
 def test_table_hash_ignores_order(spark):
     df = spark.range(100).withColumn("x", F.col("id") % 7)
     assert provenance.table_hash(df).first() == provenance.table_hash(df.orderBy(F.desc("id")).repartition(3)).first() != provenance.table_hash(df.limit(99)).first()
