@@ -331,7 +331,7 @@ def sorted_page(spark, d):
 @query("""with r as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) k from lineitem), f as (select l_orderkey, l_returnflag, l_linestatus from r where k = 1),
 o as (select l_orderkey, string_agg(distinct l_partkey || ':' || l_linestatus, ',' order by l_partkey || ':' || l_linestatus) outcomes from lineitem group by 1) select * from f join o using (l_orderkey)""")
 def detail_index(spark, d):
-    index = evidence.detail_index(table(spark, d, "lineitem").withColumn("p", F.col("l_partkey").cast("string")).withColumn("k", line_order()), "l_orderkey", ["l_returnflag", "l_linestatus"], ["p", "l_linestatus"], "k")
+    index = evidence.detail_index(table(spark, d, "lineitem").withColumn("p", F.col("l_partkey").cast("string")).withColumn("k", F.struct("l_linenumber", "l_partkey", "l_suppkey")), "l_orderkey", ["l_returnflag", "l_linestatus"], ["p", "l_linestatus"], "k")
     texts = F.array_sort(F.transform("outcomes", lambda x: F.concat_ws(":", x["p"], x["l_linestatus"])))
     return index.withColumn("outcomes", F.array_join(texts, ","))
 
