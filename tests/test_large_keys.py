@@ -1,7 +1,6 @@
 """Orders and messages that hold for keys and numbers of any size."""
 
-
-from evimap.operators import quality
+from evimap.operators import enrich, quality
 from evimap.plans.queries import QUERIES
 from pyspark.sql import functions as F
 
@@ -20,3 +19,9 @@ def test_numbers_of_messages_are_plain(spark):
         facts = spark.createDataFrame([(x,)], "x double")
         got = quality.single_fact(facts, quality.Check("r", "P1", F.lit(True), F.col("x"), "value")).first()
         assert got.message == f"value: {want}"
+
+
+def test_ages_are_rounded_as_in_sql(spark):
+    """6,156 seconds are 0.07125 days, in doubles a little less."""
+    log = spark.sql("select 'a' k, timestamp '2024-01-01 00:00:00' t union all select 'b', timestamp '2024-01-01 01:42:36'")
+    assert enrich.staleness(log, "k", "t").first().age_days == 0.0712
