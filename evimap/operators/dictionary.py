@@ -4,15 +4,17 @@ The rules are those of ``rules.matches``: terms of up to three characters are
 whole parts between delimiters, longer ones stand at word boundaries, and a veto
 pattern anywhere in the text suppresses its term.  A term is looked up under one
 anchor that every text with the term has as well: the term itself where it is
-short, else the rarest of its words (in the texts), else, without any, the whole
-gap between two words.  Anchors of texts and terms meet in a join, whose small
-side Spark takes by its size, and only terms that met are searched in a text.
+short, else the rarest (in the texts) of its couples, which are two words and what
+is between them, else its one word, else, without any, the whole gap between two
+words.  Anchors of texts and terms meet in a join, whose small side Spark takes by
+its size, and only terms that met are searched in a text.
 """
 
 from __future__ import annotations
 
 from evimap.functions import rules as R
 from evimap.functions import text as T
+from evimap.operators.lineage import settle, stored
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,32 +30,51 @@ def _edged(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\b", _EDGE)
 
 
-def _named(prefix: str, values: Column) -> Column:
-    return F.transform(values, lambda x: F.concat(F.lit(prefix), x))
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(c, F.lit(r"(?U)(\w+)"), F.lit(1))
 
 
-def _words(c: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?U)(\w+)"), F.lit(1)))
+def _gaps(c: Column) -> Column:
+    """What is before, between and after the words."""
+    return F.split(c, r"(?U)\w+")
+
+
+def _couples(words: Column, gaps: Column) -> Column:
+    """Each word with the next one and what is between them."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    # whole arrays side by side: an array looked into from a lambda is made anew for each item
+    heads = F.zip_with(F.slice(words, 1, n), F.slice(gaps, 2, n), lambda w, g: F.concat(w, g))
+    return F.zip_with(heads, F.slice(words, 2, n), lambda h, w: F.concat(h, w))
+
+
+def _hashed(prefix: str, values: Column) -> Column:
+    return F.transform(values, lambda x: F.xxhash64(F.lit(prefix), x))
 
 
 def anchors(low: Column) -> Column:
-    """Everything in a text that a term can be looked up under."""
+    """Hashes of everything in a text that a term can be looked up under."""
     parts = F.split(F.translate(low, T.DELIMITERS, " " * len(T.DELIMITERS)), r"(?U)\s+")
     short = F.filter(parts, lambda p: F.length(p).between(1, 3))
-    gaps = F.filter(F.regexp_extract_all(low, F.lit(r"(?U)(\W+)"), F.lit(1)), lambda g: F.length(g) > 3)
-    return F.array_distinct(F.concat(_named("p", short), _named("w", _words(low)), _named("g", gaps)))
+    gaps = F.filter(_gaps(low), lambda g: F.length(g) > 3)
+    return F.array_distinct(F.concat(_hashed("p", short), _hashed("w", _words(low)), _hashed("c", _couples(_words(low), _gaps(low))), _hashed("g", gaps)))
 
 
-def index(terms: DataFrame, term: str, seen: DataFrame) -> DataFrame:
-    """anchor, low, term, edged of each term; ``seen`` has the anchors of the texts and how many texts have each."""
+def places(terms: DataFrame, term: str) -> DataFrame:
+    """term, low, places: the anchors that a text with the term has all of."""
     rows = terms.select(F.col(term).alias("term"), _plain(F.col(term)).alias("low")).where("low <> ''").distinct()
-    rows = rows.withColumn("places", F.when(F.length("low") <= 3, F.array(F.concat(F.lit("p"), "low"))).when(F.size(_words(F.col("low"))) > 0, _named("w", _words(F.col("low")))).otherwise(F.array(F.concat(F.lit("g"), "low"))))
-    each = rows.select("term", "low", F.explode("places").alias("anchor"), F.size("places").alias("n")).join(seen, "anchor")
-    # a term with a word that no text has is nowhere
+    words, one = _words(F.col("low")), lambda prefix: F.array(F.xxhash64(F.lit(prefix), F.col("low")))
+    long = F.when(F.size(words) > 1, F.array_distinct(_hashed("c", _couples(words, _gaps(F.col("low")))))).when(F.size(words) > 0, _hashed("w", words)).otherwise(one("g"))
+    return rows.withColumn("places", F.when(F.length("low") <= 3, one("p")).otherwise(long))
+
+
+def index(placed: DataFrame, seen: DataFrame) -> DataFrame:
+    """anchor, term, low, edged of each term of ``places``; ``seen`` has the anchors of the texts and how many rows have each."""
+    each = placed.select("term", "low", F.explode("places").alias("anchor"), F.size("places").alias("n")).join(seen, "anchor")
+    # a term with a couple that no text has is nowhere
     rarest = each.groupBy("term", "low").agg(F.count("*").alias("met"), F.first("n").alias("n"), F.min(F.struct("texts", "anchor")).alias("x")).where("met = n")
     edge = F.lit(_EDGE)
     inner = F.regexp_replace(_edged(F.col("low")), f"^{_EDGE}|{_EDGE}$", "")
-    return rarest.select("term", F.col("x.anchor").alias("anchor"), F.when(F.length("low") > 3, F.concat(edge, inner, edge)).alias("edged"))
+    return rarest.select("term", "low", F.col("x.anchor").alias("anchor"), F.when(F.length("low") > 3, F.concat(edge, inner, edge)).alias("edged"))
 
 
 def mentions(texts: DataFrame, text: Column, terms: DataFrame, term: str = "term", vetoes: DataFrame | None = None) -> DataFrame:
@@ -63,16 +84,21 @@ def mentions(texts: DataFrame, text: Column, terms: DataFrame, term: str = "term
     hold for every spelling of their term.  Null texts and null or empty terms
     have no part; terms that repeat count once.
     """
-    rows = texts.withColumns({"_low": _plain(text), "_id": F.xxhash64(_plain(text))})
-    held = rows.select("_id", F.explode(anchors(F.col("_low"))).alias("anchor")).distinct()
+    placed = stored(places(terms, term))
+    # of a text only the anchors that some term has go on; they are hashes, and one that two anchors share only adds terms to look for
+    wanted = stored(placed.select(F.explode("places").alias("anchor")).distinct())
+    rows = texts.withColumn("_id", F.xxhash64(_plain(text)))
+    held = settle(rows.select("_id", F.explode(anchors(_plain(text))).alias("anchor")).join(wanted, "anchor", "left_semi"))
     seen = held.groupBy("anchor").agg(F.count("*").alias("texts"))
-    met = held.join(index(terms, term, seen), "anchor").select("_id", "term", "edged")
+    met = held.join(stored(index(placed, seen)), "anchor").select("_id", "term", "low", "edged")
     # one row for each text with all terms to look for: equal texts share it, and a hash that two texts share only adds terms to look for
-    met = met.groupBy("_id").agg(F.collect_list(F.struct("term", "edged")).alias("_met"))
-    rows = rows.join(met, "_id").withColumn("_edged", _edged(F.col("_low")))
+    met = met.groupBy("_id").agg(F.collect_set(F.struct("term", "low", "edged")).alias("_met"))
+    rows = rows.join(met, "_id").withColumn("_low", _plain(text))
     parts = F.split(F.translate("_low", T.DELIMITERS, " " * len(T.DELIMITERS)), r"(?U)\s+")
-    found = F.filter("_met", lambda m: F.when(m["edged"].isNull(), F.array_contains(parts, _plain(m["term"]))).otherwise(F.contains(F.col("_edged"), m["edged"])))
-    rows = rows.withColumn("keyword", F.explode(F.transform(found, lambda m: m["term"])))
+    # the text's forms are items of an array of one, so they are made once and not for each term
+    forms = F.array(F.struct(_edged(F.col("_low")).alias("edged"), parts.alias("parts")))
+    found = F.transform(forms, lambda t: F.filter("_met", lambda m: F.when(m["edged"].isNull(), F.array_contains(t["parts"], m["low"])).otherwise(F.contains(t["edged"], m["edged"]))))
+    rows = rows.withColumn("keyword", F.explode(F.transform(F.flatten(found), lambda m: m["term"])))
     if vetoes is not None:
         barred = vetoes.select(_plain(F.col("term")).alias("_term"), F.concat(F.lit("(?iU)(?:"), "pattern", F.lit(")")).alias("_bar")).groupBy("_term").agg(F.collect_set("_bar").alias("_bars"))
         rows = rows.withColumn("_term", _plain(F.col("keyword"))).join(barred, "_term", "left").where(F.col("_bars").isNull() | ~F.exists("_bars", lambda b: F.regexp_like(F.col("_low"), b)))
