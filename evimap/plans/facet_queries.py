@@ -5,7 +5,7 @@ from __future__ import annotations
 from evimap.functions import text as T
 from evimap.operators import charts, evidence, explore, facets, sampling, search_index
 from evimap.operators.dedup import top_per_key, with_most_values
-from evimap.operators.lineage import settle
+from evimap.operators.lineage import settle, tasks_for
 from evimap.plans.queries import query, table
 from evimap.plans.staging import staged
 from pyspark.sql import functions as F
@@ -14,9 +14,11 @@ _ROWS = "rows_ as (select l.*, o.o_orderstatus, o.o_orderpriority, o.o_custkey,
 
 
 def rows(spark, d):
-    o, p = table(spark, d, "orders"), table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
-    out = table(spark, d, "lineitem").join(o.drop("o_totalprice"), F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
-    return out.withColumn("flag", F.col("o_orderstatus") == "P")
+    """Lines with their part and order, dealt by order to tasks of so many rows; what is grouped by order (and more) stays where it is."""
+    lines, o, p = table(spark, d, "lineitem"), table(spark, d, "orders").drop("o_totalprice"), table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
+    n = tasks_for(lines)
+    out = lines.join(p, F.col("l_partkey") == F.col("p_partkey")).repartition(n, "l_orderkey").join(o.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return out.select(*lines.columns, *o.columns, *p.columns, (F.col("o_orderstatus") == "P").alias("flag"))
 
 
 def line_order():
@@ -32,8 +34,9 @@ with m as (select l.l_orderkey, l_returnflag, l_linestatus, o_orderpriority, o_o
 f as (select 'flag' facet, l_returnflag v, l_orderkey, flag from m union all select 'status', l_linestatus, l_orderkey, flag from m union all select 'priority', o_orderpriority, l_orderkey, flag from m)
 select facet, v as value, count(*) mention_count, count(distinct l_orderkey) study_count, count(distinct case when flag then l_orderkey end) placebo_study_count from f group by 1, 2""")
 def facet_stats(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus")
-    mentions = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").join(orders, "l_orderkey", "left")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
+    orders, n = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus"), tasks_for(lines)
+    mentions = lines.repartition(n, "l_orderkey").join(orders.repartition(n, "l_orderkey"), "l_orderkey", "left")
     return facets.facet_stats(mentions, {"flag": F.col("l_returnflag"), "status": F.col("l_linestatus"), "priority": F.col("o_orderpriority")}, "l_orderkey", F.col("o_orderstatus") == "P")
 
 
