@@ -76,17 +76,17 @@ def study_fields(docs: DataFrame) -> DataFrame:
 def arms(docs: DataFrame) -> DataFrame:
     """One row for each arm: type by declaration, else by words; every type but experimental is a control."""
     s = T.normal_space
-    rows = docs.select(s(F.col("protocolSection.identificationModule.nctId")).alias("nct_id"), F.explode("protocolSection.armsInterventionsModule.armGroups").alias("a"), "query_name")
-    declared = F.upper(s(F.coalesce(T.blank_to_null(F.col("a.type")), F.col("a.armGroupType"))))
-    names = _list(F.col("a.interventionNames"))
-    text = F.concat_ws(" ", s(F.col("a.label")), s(F.col("a.description")), F.array_join(names, " "))
-    table = lambda i: F.create_map(*(F.lit(x) for k, v in D.DECLARED_ARMS.items() for x in (k, v[i])))
-    kind = F.coalesce(table(0)[declared], R.classify_arm(text))
-    return rows.select(
-        "nct_id", s(F.col("a.label")).alias("arm_label"), s(F.col("a.description")).alias("arm_description"), F.array_join(names, "; ").alias("intervention_names"),
-        F.coalesce(table(1)[declared], R.is_placebo(text)).alias("is_placebo_arm"), kind.alias("comparator_type"),
-        F.when(kind == "experimental", "experimental").otherwise("control").alias("arm_role"), "query_name",
-    ).where(T.is_nct_id(F.col("nct_id")))
+    known = docs.withColumn("nct_id", s(F.col("protocolSection.identificationModule.nctId"))).where(T.is_nct_id(F.col("nct_id")))
+    rows = known.select("nct_id", F.explode("protocolSection.armsInterventionsModule.armGroups").alias("a"), "query_name")
+    # what is used more than once is a column of its own, so that it is made once an arm
+    own = rows.select("nct_id", "query_name", s(F.col("a.label")).alias("arm_label"), s(F.col("a.description")).alias("arm_description"), _list(F.col("a.interventionNames")).alias("names"), F.upper(s(F.coalesce(T.blank_to_null(F.col("a.type")), F.col("a.armGroupType")))).alias("declared"))
+    own = own.withColumn("text", F.concat_ws(" ", "arm_label", "arm_description", F.array_join("names", " ")))
+    table = lambda i: F.create_map(*(F.lit(x) for k, v in D.DECLARED_ARMS.items() for x in (k, v[i])))[F.col("declared")]
+    own = own.withColumn("comparator_type", F.coalesce(table(0), R.classify_arm(F.col("text"))))
+    return own.select(
+        "nct_id", "arm_label", "arm_description", F.array_join("names", "; ").alias("intervention_names"), F.coalesce(table(1), R.is_placebo(F.col("text"))).alias("is_placebo_arm"), "comparator_type",
+        F.when(F.col("comparator_type") == "experimental", "experimental").otherwise("control").alias("arm_role"), "query_name",
+    )
 
 
 def outcomes(docs: DataFrame) -> DataFrame:
