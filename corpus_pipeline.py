@@ -39,9 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     docs = docs.select(COLUMNS)
     found = jaccard_join.near_duplicates(docs, words=5, share=80)
     first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_hash")).alias("x")).select("x.doc_id", "x.row_hash")
-    keep = first.unionByName(found.where("label is null").select("doc_id", "row_hash")).select(F.col("doc_id").alias("k"), F.col("row_hash").alias("h")).distinct()
-    rows = docs.withColumn("h_", F.xxhash64("doc_id", "text"))
-    rows = rows.join(keep, (rows["h_"] == keep["h"]) & rows["doc_id"].eqNullSafe(keep["k"]))
+    keep = first.unionByName(found.where("label is null").select("doc_id", "row_hash")).groupBy(F.col("row_hash").alias("h_")).agg(F.collect_set(F.struct("doc_id")).alias("ids"))
+    # dealt by the hash alone, so that texts are shuffled once for the join and for what repeats
+    rows = docs.withColumn("h_", F.xxhash64("doc_id", "text")).join(keep, "h_").where(F.exists("ids", lambda x: x["doc_id"].eqNullSafe(F.col("doc_id"))))
     return rows.dropDuplicates(["doc_id", "h_"]).select(COLUMNS)
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import corpus_pipeline
 from test_jaccard_join import brute as near_brute
@@ -42,3 +43,11 @@ def test_stages(spark, tmp_path):
     assert not {502} & {r[0] for r in kept["language"]}
     whole = [tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert sorted(whole) == sorted(kept["sequences"])
+
+
+def test_near_duplicates_shuffle_texts_once(spark, tmp_path):
+    rows = [(i, f"one two three four five six {'seven' if i % 5 else i}", "en", "s", 9) for i in range(40)] + [(None, "a text of a row without an id", "en", "s", 9)] * 2
+    docs = spark.createDataFrame(rows + rows[:3], SCHEMA)
+    out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert not re.search(r"Exchange hashpartitioning\(doc_id#\d+L?, h_#", out._jdf.queryExecution().executedPlan().toString())
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect()) == [(False, 0), (False, 1), *((False, i) for i in range(5, 40, 5)), (True, 0)]
