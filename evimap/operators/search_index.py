@@ -13,9 +13,12 @@ that are not on indexed texts restrict nothing here; they are tested only.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from evimap.operators.explore import FilterState, search
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +27,54 @@ from pyspark.sql.types import StructType
 _POSTINGS = "text string, gram string, bucket long, bits binary"
 #: Rows of a bucket: the bits of one bitmap.
 BUCKET = 32768
-
-
-def grams(value: Column) -> Column:
-    """Distinct trigrams of a text in lower case."""
-    low = F.lower(F.coalesce(value.cast("string"), F.lit("")))
-    return F.array_distinct(F.when(F.length(low) >= 3, F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: F.substring(low, i, 3))).otherwise(F.array().cast("array<string>")))
+#: Bitmaps that a task makes at a time (4 MB).
+GRAMS = 1024
+#: Bytes of texts that a task looks at together.
+PIECE = 1 << 20
+
+
+def partial_postings(names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bitmaps of the rows of a batch (bucket, place, texts in lower case) by text, trigram and bucket.
+
+    Trigrams are taken once from each distinct text of a batch, and bits are set
+    in place: no row is made for a trigram of a row, and none is sorted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets, places = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for bucket in np.unique(buckets):
+                at = np.flatnonzero(buckets == bucket)
+                for i, name in enumerate(names):
+                    column = batch.column(2 + i).take(pa.array(at))
+                    cuts = np.flatnonzero(np.diff(np.cumsum(pc.binary_length(column).to_numpy().astype(np.int64)) // PIECE)) + 1
+                    for a, b in zip([0, *cuts], [*cuts, len(at)]):
+                        coded = column.slice(a, b - a).dictionary_encode()
+                        number: dict[str, int] = {}
+                        own = [[number.setdefault(g, len(number)) for g in {t[j : j + 3] for j in range(len(t) - 2)}] for t in coded.dictionary.to_pylist()]
+                        yield from _bitmaps(name, int(bucket), own, list(number), coded.indices.to_numpy(), places[at[a:b]])
+
+    return run
+
+
+def _bitmaps(name: str, bucket: int, own: list[list[int]], grams: list[str], codes: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each trigram, so many at a time; ``own`` are the trigrams (by number) of each text, ``codes`` the text of each place."""
+    size = np.array([len(x) for x in own], np.int64)
+    flat, first, n = np.array([g for x in own for g in x], np.int64), np.cumsum(size) - size, size[codes]
+    end = np.cumsum(n)
+    which = flat[np.arange(n.sum()) - np.repeat(end - n - first[codes], n)]
+    place = np.repeat(places, n)
+    order = np.argsort(which, kind="stable")
+    which, place = which[order], place[order]
+    for lo in range(0, len(grams), GRAMS):
+        a, b = np.searchsorted(which, [lo, lo + GRAMS])
+        bits = np.zeros((min(GRAMS, len(grams) - lo), BUCKET // 8), np.uint8)
+        np.bitwise_or.at(bits, (which[a:b] - lo, place[a:b] >> 3), np.left_shift(1, place[a:b] & 7).astype(np.uint8))
+        k = len(bits)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name] * k), pa.array(grams[lo : lo + k]), pa.array(np.full(k, bucket, np.int64)), pa.array([x.tobytes() for x in bits], pa.binary())],
+            ["text", "gram", "bucket", "bits"],
+        )
 
 
 def build(rows: DataFrame, texts: Mapping[str, Column], path: str) -> None:
@@ -44,9 +89,9 @@ def build(rows: DataFrame, texts: Mapping[str, Column], path: str) -> None:
     # postings come from the rows as written, whose places stay
     own = spark.read.schema(at.schema).parquet(f"{path}/rows")
     named = lambda name: lambda g: F.struct(F.lit(name).alias("text"), g.alias("gram"))
-    every = F.flatten(F.array(*(F.transform(grams(c), named(name)) for name, c in texts.items())))
-    each = own.select(F.col("_bucket").cast("long").alias("bucket"), "_place", F.explode(every).alias("x")).select("bucket", "_place", "x.*")
-    posted = each.groupBy("text", "gram", "bucket").agg(F.expr("bitmap_construct_agg(cast(_place as bigint))").alias("bits"))
+    texts = {name: F.lower(F.coalesce(c.cast("string"), F.lit(""))) for name, c in texts.items()}
+    each = own.select(F.col("_bucket").cast("long").alias("bucket"), "_place", *(c.alias(f"t{i}") for i, c in enumerate(texts.values()))).mapInArrow(partial_postings(list(texts)), _POSTINGS)
+    posted = each.groupBy("text", "gram", "bucket").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
     posted.repartitionByRange("text", "gram", "bucket").sortWithinPartitions("text", "gram", "bucket").write.parquet(f"{path}/postings")
 
 

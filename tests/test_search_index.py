@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 from evimap.operators import explore, search_index
 from pyspark.sql import functions as F
 
@@ -31,3 +32,23 @@ def test_same_as_a_scan(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*\(_bucket#\d+L? = \d+\)|PartitionFilters: \[[^\]]*_bucket#\d+L? IN \(\d+\)", plan) and df.rdd.getNumPartitions() == 9
     search_index.build(df.limit(0), {"title": F.col("title")}, str(tmp_path / "none"))
     assert search_index.Index(spark, str(tmp_path / "none")).filtered(explore.FilterState(contains={"title": "shock"})).collect() == []
+
+
+def test_bitmaps_of_a_batch_without_a_row_for_each_trigram(monkeypatch):
+    monkeypatch.setattr(search_index, "GRAMS", 3)
+    monkeypatch.setattr(search_index, "PIECE", 200)
+    rng, rows = random.Random(4), []
+    for i in range(400):
+        rows.append((i // 150, i % 150 * 217 % 32768, "".join(rng.choice("aab 語é😀") for _ in range(rng.randint(0, 9))), rng.choice(["brand#1", "brand#2", "", "xy"])))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows])], ["bucket", "_place", "t0", "t1"])
+    got, want = {}, {}
+    for out in search_index.partial_postings(["x", "y"])(iter([batch, batch.slice(0, 0)])):
+        for r in out.to_pylist():
+            places = {8 * i + k for i, byte in enumerate(r["bits"]) for k in range(8) if byte >> k & 1}
+            got.setdefault((r["text"], r["gram"], r["bucket"]), set()).update(places)
+            assert places and len(r["bits"]) == 4096
+    for b, place, *texts in rows:
+        for name, t in zip("xy", texts):
+            for j in range(len(t) - 2):
+                want.setdefault((name, t[j : j + 3], b), set()).add(place)
+    assert got == want and len({k[2] for k in got}) == 3
