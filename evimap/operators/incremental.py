@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from evimap.operators.dedup import last_per_key, top_per_key
 from evimap.operators.greedy import first_by_keys, placed
+from evimap.operators.lineage import settle, stored
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +44,31 @@ def insert_ignore(base: DataFrame, delta: DataFrame, unique: list[list[str]], or
     unique key; an ignored row stands in nobody's way, and a null in a key never
     collides.  Rows that tie in ``order`` come in the order of their values.
     """
-    keys = {f"_key{i}": F.when(_whole(k), F.struct(*k)) for i, k in enumerate(unique)}
+    return _aligned(base, inserted(base, delta, unique, order))
+
+
+def inserted(base: DataFrame, delta: DataFrame, unique: list[list[str]], order: list[str]) -> DataFrame:
+    """The delta rows that ``insert_ignore`` keeps.
+
+    A row whose keys no other new row has is kept as it is; only those that
+    meet another are put in order.  Hashes tell them apart, and what a hash
+    takes for one that meets another costs time alone.
+    """
     new = delta
     for k in unique:
-        new = new.join(base.where(_whole(k)).select(k).distinct(), k, "left_anti").select(delta.columns)
-    new = placed(new, [*(F.col(c) for c in order), *(F.col(c) for c in sorted(delta.columns) if c not in order)], "_place")
-    kept = first_by_keys(new.withColumns(keys).select("_place", *keys), "_place", list(keys))
-    return _aligned(base, new.join(kept, "_place", "left_semi").select(delta.columns))
+        new = new.join(base.where(_whole(k)).select(k), k, "left_anti").select(delta.columns)
+    new, hashes = settle(new), [F.when(_whole(k), F.xxhash64(F.lit(i), *k)) for i, k in enumerate(unique)]
+    met = stored(new.select(F.explode(F.array(*hashes)).alias("_h")).where("_h is not null").groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h"))
+    marked, meets = new, F.lit(False)
+    for i, h in enumerate(hashes):
+        own = met.select(F.col("_h").alias(f"_h{i}"), F.lit(True).alias(f"_m{i}"))
+        marked = marked.withColumn(f"_h{i}", F.coalesce(h, F.xxhash64(*delta.columns))).join(own, f"_h{i}", "left")  # no null, which would bring rows together
+        meets |= F.coalesce(f"_m{i}", F.lit(False))
+    alone, rest = (marked.where(x).select(delta.columns) for x in (~meets, meets))
+    rest = placed(settle(rest), [*(F.col(c) for c in order), *(F.col(c) for c in sorted(delta.columns) if c not in order)], "_place")
+    keys = {f"_key{i}": F.when(_whole(k), F.struct(*k)) for i, k in enumerate(unique)}
+    kept = first_by_keys(rest.withColumns(keys).select("_place", *keys), "_place", list(keys))
+    return alone.unionByName(rest.join(kept, "_place", "left_semi").select(delta.columns))
 
 
 def _whole(keys: list[str]) -> Column:

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 from evimap.operators.dedup import last_per_key
-from evimap.operators.incremental import insert_ignore, upsert
+from evimap.operators.incremental import insert_ignore, inserted, upsert
 from evimap.operators.provenance import table_hash
 from evimap.sources import landing
 from pyspark.errors import PySparkException
@@ -80,16 +80,20 @@ class Store:
         return self.spark.read.parquet(f"{self.path}/{source}/version={n}") if n else None
 
 
-def merged(base: DataFrame | None, rows: DataFrame, parser: landing.Parser) -> DataFrame:
-    """Rows put into the table by the parser's keys and policy."""
+def merged(base: DataFrame | None, rows: DataFrame, parser: landing.Parser) -> DataFrame | None:
+    """Rows put into the table by the parser's keys and policy; None if the policy ignores all of them."""
+    unique = [list(k) for k in parser.unique]
+    if parser.on_conflict == "ignore" and base is not None:
+        new = inserted(base, rows, unique, [])
+        return None if new.isEmpty() else base.unionByName(new.select([c for c in base.columns if c in new.columns]), allowMissingColumns=True)
     base = rows.limit(0) if base is None else base
     if parser.on_conflict == "ignore":
-        return insert_ignore(base, rows, [list(k) for k in parser.unique], [])
+        return insert_ignore(base, rows, unique, [])
     if parser.on_conflict != "replace":
         raise ValueError(f"no such policy: {parser.on_conflict}")
     for keys in parser.unique:  # a row replaces those it conflicts with, of the table and of its own increment
         rows = last_per_key(rows, list(keys), *sorted(c for c in rows.columns if c not in keys))
-    head, *others = [list(k) for k in parser.unique]
+    head, *others = unique
     for keys in others:
         base = base.join(rows.select(keys), keys, "left_anti").select(base.columns)
     return upsert(base, rows, head)
@@ -108,12 +112,15 @@ def run(spark: SparkSession, path: str, documents: Mapping[str, Callable[[], Dat
             try:
                 before = store.table(source)
                 table = merged(before, parsers[source].parse(documents[source]()), parsers[source])
-                number = store.version(source) + 1
-                table.write.mode("overwrite").parquet(f"{path}/{source}/version={number}")
-                after = spark.read.parquet(f"{path}/{source}/version={number}")
-                own = table_hash(after).first()
-                status, rows = ("unchanged" if before is not None and table_hash(before).first() == own else "ok"), own["rows"]
-                version = number if status == "ok" else None  # a version that no log row names is not there
+                if table is None:  # nothing came: no version is written
+                    status, rows = "unchanged", before.count()
+                else:
+                    number = store.version(source) + 1
+                    table.write.mode("overwrite").parquet(f"{path}/{source}/version={number}")
+                    after = spark.read.parquet(f"{path}/{source}/version={number}")
+                    own = table_hash(after).first()
+                    status, rows = ("unchanged" if before is not None and table_hash(before).first() == own else "ok"), own["rows"]
+                    version = number if status == "ok" else None  # a version that no log row names is not there
             except PySparkException as failure:
                 error = " ".join(str(failure).split())[:500]
             row = spark.range(1).select(F.lit(name).alias("run"), F.lit(phase).alias("phase"), F.lit(source).alias("source"), F.lit(status).alias("status"), F.lit(rows).cast("long").alias("rows"), F.lit(version).cast("long").alias("version"), F.lit(error).cast("string").alias("error"), F.current_timestamp().alias("at"))

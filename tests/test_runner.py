@@ -1,5 +1,6 @@
 """A source of the session read, stored by its policy and logged; a second run changes nothing."""
 
+from evimap.operators import incremental
 from evimap.sources import landing, runner
 from pyspark.sql import functions as F
 
@@ -60,3 +61,19 @@ def test_registered_parser(spark, tmp_path):
         assert sorted(map(tuple, runner.Store(spark, str(tmp_path / "s")).table("own").collect())) == [(1, "c"), (2, "b")]
     finally:
         del landing.PARSERS["own"]
+
+
+def test_only_rows_that_meet_are_put_in_order_and_nothing_new_writes_nothing(spark, tmp_path, monkeypatch):
+    shape, sizes, placed = "id string, v string", [], incremental.placed
+    monkeypatch.setattr(incremental, "placed", lambda rows, *more: sizes.append(rows.count()) or placed(rows, *more))
+    landing.register("own", landing.Parser(1, lambda docs: docs, (("id",), ("v",)), "ignore"))
+    try:
+        rows = [(f"k{i}", f"v{i}") for i in range(50)] + [("k1", "w"), ("x", "v2"), (None, "v3"), (None, None), (None, None)]
+        run = lambda more, name: runner.run(spark, str(tmp_path), {"own": lambda: spark.createDataFrame(rows + more, shape).repartition(3)}, name).first()
+        assert (run([], "one").rows, sizes) == (52, [6])
+        assert (run([], "two").status, (tmp_path / "own" / "version=2").exists()) == ("ok", True)  # rows without keys never collide
+        rows = [r for r in rows if any(r)]
+        assert (run([], "three").status, (tmp_path / "own" / "version=3").exists()) == ("unchanged", False)
+        assert [(r.status, r.rows, r.version) for r in [run([("new", "v1"), ("new", "new")], "four")]] == [("ok", 55, 3)]
+    finally:
+        del landing.PARSERS["own"]
