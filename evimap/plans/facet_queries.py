@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from evimap.functions import text as T
-from evimap.operators import charts, evidence, explore, facets, sampling, search_index
+from evimap.operators import charts, evidence, explore, facets, lineage, sampling, search_index
 from evimap.operators.dedup import top_per_key, with_most_values
 from evimap.operators.lineage import settle, tasks_for
 from evimap.plans.queries import query, table
@@ -14,10 +14,17 @@ _ROWS = "rows_ as (select l.*, o.o_orderstatus, o.o_orderpriority, o.o_custkey,
 
 
 def rows(spark, d):
-    """Lines with their part and order, dealt by order to tasks of so many rows; what is grouped by order (and more) stays where it is."""
+    """Lines with their part and order, dealt by order to tasks of so many rows; what is grouped by order (and more) stays where it is.
+
+    Parts that are more than the rows of a task are dealt like lines: their file is small, but not what a task holds of it.
+    """
     lines, o, p = table(spark, d, "lineitem"), table(spark, d, "orders").drop("o_totalprice"), table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
     n = tasks_for(lines)
-    out = lines.join(p, F.col("l_partkey") == F.col("p_partkey")).repartition(n, "l_orderkey").join(o.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if p.count() > lineage.TASK_ROWS:
+        mentions, p = lines.repartition(n, "l_partkey"), p.repartition(n, "p_partkey").hint("merge")
+    else:
+        mentions = lines
+    out = mentions.join(p, F.col("l_partkey") == F.col("p_partkey")).repartition(n, "l_orderkey").join(o.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return out.select(*lines.columns, *o.columns, *p.columns, (F.col("o_orderstatus") == "P").alias("flag"))
 
 

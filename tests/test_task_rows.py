@@ -21,3 +21,12 @@ def test_first_sums_are_made_in_as_many_tasks(spark, monkeypatch, name):
     monkeypatch.setattr(lineage, "TASK_ROWS", 100)
     plan = QUERIES[name](spark, D)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_many_parts_are_dealt_too(spark, monkeypatch):
+    want = sorted(map(str, rows(spark, D).collect()))
+    monkeypatch.setattr(lineage, "TASK_ROWS", 100)
+    lines = rows(spark, D)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [l_partkey" not in plan and plan.count("REPARTITION_BY_NUM") == 4
+    assert sorted(map(str, lines.collect())) == want
